@@ -1 +1,84 @@
-"""Placeholder."""
+"""Checks for streaming jobs. Streams run over the whole table; SQL twins keep the windows the watermark has closed."""
+
+from pyspark.sql import functions as F
+
+from staylytics.checks.monitoring import _DRIFT, drift_rounded
+from staylytics.checks.registry import query
+from staylytics.checks.views import view
+from staylytics.operators import monitoring
+from staylytics.session import scratch_path
+from staylytics.sources.models import prediction_log
+from staylytics.streaming import jobs
+
+_CLOSED = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)"
+_TS = "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+@query("T1_log_ingestion", "SELECT event_type AS domain, count(*) AS n, sum(round(value * 100)::BIGINT)::BIGINT AS cents FROM events GROUP BY 1")
+def _(lake):
+    stream = jobs.with_event_time(jobs.file_stream(lake.spark, lake.root, "events.parquet"))
+    return jobs.drained(stream, "ingest").groupBy("domain").agg(
+        F.count("*").alias("n"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents")
+    )
+
+
+view("rate_windows", """
+SELECT w AS window_start, event_type AS domain, count(*) AS n FROM (SELECT event_type, date_trunc('minute', ts) - to_minutes(unnest(range(5))) AS w FROM events) GROUP BY 1, 2""")
+
+
+@query("T2_event_rate_stream", f"""
+SELECT {_TS.format(c='window_start')} AS window_start, domain, n, n / 300 AS per_second FROM rate_windows WHERE window_start + INTERVAL 5 MINUTE <= {_CLOSED}""")
+def _(lake):
+    return jobs.drained(jobs.event_rate(jobs.event_stream(lake.spark, lake.root)), "rate")
+
+
+@query("T2_event_rate_batch", f"SELECT {_TS.format(c='window_start')} AS window_start, domain, n, n / 300 AS per_second FROM rate_windows")
+def _(lake):
+    return jobs.event_rate(jobs.with_event_time(lake.table("events")))
+
+
+_P95 = f"""SELECT {_TS.format(c='w')} AS window_start, domain, quantile_disc(value, 0.95) AS p95, count(*) AS n FROM (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS w, event_type AS domain, value FROM events) {{where}} GROUP BY w, domain"""
+
+
+@query("T3_latency_p95_stream", _P95.format(where=f"WHERE w + INTERVAL 5 MINUTE <= {_CLOSED}"))
+def _(lake):
+    return jobs.drained(jobs.latency_p95(jobs.event_stream(lake.spark, lake.root)), "p95")
+
+
+_SESSIONS = f"""
+SELECT user_id, {_TS.format(c='min(ts)')} AS session_start, {_TS.format(c='max(ts) + INTERVAL 30 MINUTE')} AS session_end, count(*) AS n FROM (
+  SELECT user_id, ts, sum(opens) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s FROM (
+    SELECT user_id, ts, coalesce((ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE)::INT, 0) AS opens FROM events))
+GROUP BY user_id, s"""
+
+
+@query("T4_session_stream", _SESSIONS + f" HAVING max(ts) + INTERVAL 30 MINUTE <= {_CLOSED}")
+def _(lake):
+    return jobs.drained(jobs.sessions(jobs.event_stream(lake.spark, lake.root)), "sessions")
+
+
+@query("T4_session_batch", _SESSIONS)
+def _(lake):
+    return jobs.batch_sessions(jobs.with_event_time(lake.table("events")))
+
+
+@query("T5_document_dedupe_stream", "SELECT DISTINCT sha256(text) AS hash FROM documents")
+def _(lake):
+    return jobs.drained(jobs.distinct_documents(jobs.file_stream(lake.spark, lake.root, "documents.parquet")), "dedupe")
+
+
+@query("T6_drift_after_ingestion", _DRIFT)
+def _(lake):
+    spark = lake.spark
+    lines, landed = scratch_path(spark, "lines"), scratch_path(spark, "landed")
+    prediction_log(lake).write.text(lines)
+    jobs.drain(spark.readStream.text(lines), landed)
+    return drift_rounded(monitoring.prediction_drift(monitoring.parse_log(spark.read.schema("value string").parquet(f"{landed}/data"))))
+
+
+@query("T7_late_rows_dropped")
+def _(lake):
+    events = lake.table("events")
+    edge = F.lit("2024-01-11").cast("timestamp_ntz")
+    return jobs.late_data(events.where(F.col("ts") >= edge), events.where(F.col("ts") < edge))

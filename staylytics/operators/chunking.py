@@ -1,54 +1,57 @@
-"""Text chunking as column expressions: whole documents stay rows, chunks are array elements."""
+"""Text chunking: documents stay rows, chunks are array elements, nothing is shuffled."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import partial
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylytics import constants as C
 from staylytics.operators.cleaning import strip
 
-# Separators from coarse to fine: (text, regex for split).
-_SEPARATORS = [("\n\n", r"\n\n"), ("\n", r"\n"), (". ", r"\. "), (" ", " ")]
-
 
 def squeeze(text: Column) -> Column:
     return strip(F.regexp_replace(text, r"[ \t]+", " "))
 
 
 def fixed_width(text: Column, size: int = C.CHUNK_SIZE) -> Column:
-    """Consecutive windows of ``size`` characters covering the whole text."""
-    count = F.ceil(F.length(text) / size).cast("int")
-    windows = F.transform(
-        F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: F.substring(text, i * size + 1, F.lit(size))
-    )
-    return F.when(F.length(text) > 0, windows).otherwise(F.array().cast("array<string>"))
-
-
-def _pack(parts: Column, separator: str, size: int) -> Column:
-    """Join neighbouring parts while they fit into ``size``; longer parts pass through on their own."""
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("held"))
-
-    def step(acc: Column, part: Column) -> Column:
-        held = acc["held"]
-        merged = F.when(held == "", part).otherwise(F.concat(held, F.lit(separator), part))
-        flushed = F.when(held == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(held)))
-        fits, oversize = F.length(merged) <= size, F.length(part) > size
-        done = F.when(fits, acc["done"]).when(oversize, F.concat(flushed, F.array(part))).otherwise(flushed)
-        keep = F.when(fits, merged).when(oversize, F.lit("")).otherwise(part)
-        return F.struct(done.alias("done"), keep.alias("held"))
-
-    def finish(acc: Column) -> Column:
-        return F.when(acc["held"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["held"])))
-
-    return F.aggregate(parts, start, step, finish)
-
-
-def _split_and_pack(text: Column, separator: str, pattern: str, size: int) -> Column:
-    return _pack(F.split(text, pattern), separator, size)
+    """Consecutive windows of ``size`` characters covering the whole text, in one pass over it."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+
+
+def _separator_chunker(size: int):
+    """Arrow-batched splitter; nested so that executors need nothing but pandas."""
+
+    @F.pandas_udf("array<string>")
+    def chunker(texts: pd.Series) -> pd.Series:
+        def pack(parts: list[str], separator: str) -> Iterator[str]:
+            """Join neighbouring parts while they fit; longer parts pass through on their own."""
+            held = ""
+            for part in parts:
+                merged = f"{held}{separator}{part}" if held else part
+                if len(merged) <= size:
+                    held = merged
+                    continue
+                if held:
+                    yield held
+                held = part
+                if len(part) > size:
+                    yield part
+                    held = ""
+            if held:
+                yield held
+
+        def split(text: str) -> list[str]:
+            pieces = [text] if text else []
+            for separator in ("\n\n", "\n", ". ", " "):
+                pieces = [q for p in pieces for q in ([p] if len(p) <= size else pack(p.split(separator), separator))]
+            return [p[i : i + size] for p in pieces for i in range(0, len(p), size)]
+
+        return texts.map(split, na_action="ignore")
+
+    return chunker
 
 
 def by_separators(df: DataFrame, text: str, out: str = "chunks", size: int = C.CHUNK_SIZE) -> DataFrame:
@@ -56,24 +59,19 @@ def by_separators(df: DataFrame, text: str, out: str = "chunks", size: int = C.C
 
     Each level rewrites only the pieces that are still too long, so one pass per separator is enough.
     """
-    df = df.withColumn(out, F.when(F.length(text) > 0, F.array(text)).otherwise(F.array().cast("array<string>")))
-
-    def refined(cut: Callable[[Column], Column]) -> Column:
-        return F.flatten(F.transform(out, lambda s: F.when(F.length(s) <= size, F.array(s)).otherwise(cut(s))))
-
-    for separator, pattern in _SEPARATORS:
-        df = df.withColumn(out, refined(partial(_split_and_pack, separator=separator, pattern=pattern, size=size)))
-    return df.withColumn(out, refined(partial(fixed_width, size=size)))
+    return df.withColumn(out, F.coalesce(_separator_chunker(size)(text), F.array().cast("array<string>")))
 
 
 def with_overlap(chunks: Column, overlap: int = C.CHUNK_OVERLAP) -> Column:
-    """Prefix every chunk after the first with the tail of the one before it."""
-    return F.transform(
-        chunks,
-        lambda c, i: F.when(i == 0, c).otherwise(
-            strip(F.concat(F.right(F.element_at(chunks, F.greatest(i, F.lit(1))), F.lit(overlap)), F.lit(" "), c))
-        ),
-    )
+    """Prefix every chunk after the first with the tail of the one before it.
+
+    The neighbour comes in through ``zip_with``: a lambda must not refer to the chunk column itself, since the
+    optimizer may inline that column's expression and so evaluate it once per element.
+    """
+    first = F.array(F.lit(None).cast("string"))
+    previous = F.slice(F.concat(first, chunks), F.lit(1), F.size(chunks))
+    joined = lambda c, p: F.when(p.isNull(), c).otherwise(strip(F.concat(F.right(p, F.lit(overlap)), F.lit(" "), c)))
+    return F.zip_with(chunks, previous, joined)
 
 
 def chunk_text(df: DataFrame, text: str, size: int = C.CHUNK_SIZE, overlap: int = C.CHUNK_OVERLAP) -> DataFrame:

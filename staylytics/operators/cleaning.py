@@ -9,11 +9,11 @@ from staylytics import constants as C
 from staylytics.operators.ordering import exact_quantile
 
 RATE = "adr_cents"
-_EDGE_SPACE = r"^\s+|\s+$"
+_SPACE = " \t\n\r\f\x0b"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(_SPACE))
 
 
 def dedupe_full_row(df: DataFrame) -> DataFrame:

@@ -10,6 +10,19 @@ TABLES = (
 ).split()
 
 
+# Tables whose rows are expensive to process.
+TEXT_TABLES = {"documents", "pages", "conversations", "embeddings"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than there are cores one partition per core.
+
+    Only small inputs are affected: a scan of many files already has more splits and is left without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 class Lake:
     """Lazy readers for the parquet tables below ``root``; columns and filters are pruned by the scan."""
 
@@ -23,4 +36,5 @@ class Lake:
         return f"{self.root}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(self.path(name))
+        return spread(df) if name in TEXT_TABLES else df
