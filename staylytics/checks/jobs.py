@@ -1 +1,96 @@
-"""Placeholder."""
+"""Checks for the composed batch jobs."""
+
+from pyspark.sql import functions as F
+
+from staylytics.checks import insights as ins
+from staylytics.checks import monitoring as mon
+from staylytics.checks import retrieval as ret
+from staylytics.checks.models import SIZES
+from staylytics.checks.registry import query
+from staylytics.operators import insights
+from staylytics.operators import retrieval as ops
+from staylytics.operators.chunking import chunk_rows, chunk_text
+from staylytics.plans import index, jobs, review_report
+from staylytics.session import scratch_path
+from staylytics.sources.reviews import reviews
+
+_CLEAN_COLUMNS = [
+    "hotel", "is_canceled", "lead_time", "arrival_date_year", "arrival_date_month", "arrival_date_day_of_month", "adults",
+    "children", "meal", "country", "market_segment", "distribution_channel", "agent", "company", "adr_cents",
+    "reservation_status", "is_adults_outlier",
+]
+
+
+@query("Z1_clean_job", f"""
+SELECT {', '.join(_CLEAN_COLUMNS)}, round(adr, 6) AS adr, arrival_date::VARCHAR AS arrival_date, reservation_status_date::VARCHAR AS reservation_status_date FROM cleaned""")
+def _(lake):
+    return jobs.clean_job(lake, scratch_path(lake.spark, "clean")).select(
+        *_CLEAN_COLUMNS, F.round("adr", 6).alias("adr"), "arrival_date", "reservation_status_date"
+    )
+
+
+@query("Z2_warehouse_job", """
+SELECT 'table' AS kind, 'dim_date' AS name, count(*) AS rows_or_orphans, true AS ok FROM dim_date
+UNION ALL SELECT 'table', 'dim_hotel', count(DISTINCT hotel), true FROM bookings UNION ALL SELECT 'table', 'dim_room_type', count(DISTINCT room_key), true FROM guest_rows
+UNION ALL SELECT 'table', 'dim_guest', count(*), true FROM dim_guest UNION ALL SELECT 'table', 'fact_booking', count(*), true FROM guest_rows
+UNION ALL SELECT 'foreign_key', k, 0, true FROM (VALUES ('room_key'), ('branch_key'), ('guest_key'), ('check_in_date_key'), ('check_out_date_key')) v(k)""")
+def _(lake):
+    return jobs.warehouse_job(lake, scratch_path(lake.spark, "warehouse"))
+
+
+@query("Z3_feature_job", """
+SELECT 'occupancy' AS domain, count(*) AS row_count FROM daily_base
+UNION ALL SELECT 'pricing', count(*) * (3 + (SELECT (count(*) > 0)::INT FROM guest_rows WHERE room_key = 0)) FROM daily_base
+UNION ALL SELECT 'restaurant', count(*) FROM branch_days UNION ALL SELECT 'staff', count(*) FROM mart_staff UNION ALL SELECT 'churn', count(*) FROM dim_guest""")
+def _(lake):
+    return jobs.feature_job(lake, scratch_path(lake.spark, "features"))
+
+
+@query("Z4_train_and_leaderboard")
+def _(lake):
+    path = scratch_path(lake.spark, "train")
+    out = jobs.train_domain(lake, "occupancy", SIZES, path)
+    for domain in ("pricing", "restaurant", "staffing", "churn"):
+        out = out.unionByName(jobs.train_domain(lake, domain, SIZES, path))
+    return jobs.leaderboard(out)
+
+
+@query("Z5_review_job", "SELECT hotel_id, period, csat, trend FROM csat_monthly JOIN csat_trends USING (hotel_id)")
+def _(lake):
+    path = scratch_path(lake.spark, "reviews")
+    review_report.analyze(reviews(lake), path)
+    return review_report.get_trends(lake.spark, path, "monthly")
+
+
+@query("Z6_index_and_answer")
+def _(lake):
+    """Chunk the stored documents, retrieve per question over the chunks, and assemble the prompts."""
+    docs = ret.store(lake).withColumn("metadata", F.create_map(F.lit("source"), F.col("doc_type"), F.lit("branch_id"), F.col("branch_id")))
+    path = scratch_path(lake.spark, "chunks")
+    pieces = chunk_rows(chunk_text(docs, "text"), "doc_id")
+    keyed = pieces.withColumn("chunk_id", F.col("doc_id") * 100000 + F.col("chunk_index"))
+    keyed.join(docs.select("doc_id", "doc_type", "branch_id", "date", "embedding"), "doc_id").write.parquet(path)
+    store = lake.spark.read.parquet(path).select(
+        F.col("chunk_id").alias("doc_id"), "text", "doc_type", "branch_id", "date", "embedding"
+    )
+    context = ops.compress_context(ops.hybrid(store, ret.asked(lake)))
+    return ret.asked(lake).join(context, "query_id", "left").select(
+        "query_id", ops.prompt(F.col("query_text"), F.col("context"), F.lit(None).cast("string")).alias("prompt"),
+        ops.fallback_answer(F.col("query_text"), F.col("context")).alias("answer"),
+    )
+
+
+@query("Z7_insight_job", """
+SELECT category, title, severity, priority_score, '[' || upper(severity) || '] ' || title AS headline FROM scored_findings ORDER BY priority_score DESC, category, title""")
+def _(lake):
+    ranked = insights.rank(insights.recommend(ins.all_findings(lake)))
+    return ranked.select("category", "title", "severity", "priority_score", F.regexp_extract("recommendation", r"^(\[[A-Z]+\] .*?)(?: \(delta: |\. Review )", 1).alias("headline"))
+
+
+@query("Z8_nightly_decision", f"""
+WITH r AS ({mon._RETRAIN})
+SELECT r.model_name, drift_breached, accuracy_breached, CASE WHEN s.staging_version IS NOT NULL THEN coalesce(CASE WHEN s.lower_is_better
+  THEN s.staging_metric < s.production_metric ELSE s.staging_metric > s.production_metric END, true) END AS beats_production
+FROM r JOIN stage_rows s USING (model_name) WHERE retrain""")
+def _(lake):
+    return jobs.retrain_decision(lake)

@@ -1 +1,94 @@
-"""Placeholder."""
+"""Checks for model jobs. Fits have no SQL twin; the arithmetic around them is checked elsewhere."""
+
+from pyspark.sql import functions as F
+
+from staylytics.checks.marts import daily
+from staylytics.checks.registry import query
+from staylytics.checks.features import churn_features
+from staylytics.operators import marts, warehouse
+from staylytics.plans import index, jobs, ml
+from staylytics.plans.scoring import meal_outputs, price_outputs
+from staylytics.session import scratch_path
+from staylytics.sources.bookings import bookings
+from staylytics.sources.calendar import calendar
+
+# Registered runs use few rounds; the library's defaults (ml.FULL_SIZES) are the full models.
+SIZES = {name: (8, depth) for name, (_, depth) in ml.FULL_SIZES.items()}
+
+
+def _train(lake, domain):
+    return jobs.train_domain(lake, domain, SIZES, scratch_path(lake.spark, f"train-{domain}"))
+
+
+@query("M10_boosted_regression")
+def _(lake):
+    out = _train(lake, "occupancy")
+    for domain in ("pricing", "staffing"):
+        out = out.unionByName(_train(lake, domain))
+    return out
+
+
+@query("M13_train_evaluate_report")
+def _(lake):
+    return _train(lake, "restaurant")
+
+
+@query("M11_churn_classifiers")
+def _(lake):
+    return _train(lake, "churn")
+
+
+@query("M12_daily_forecast")
+def _(lake):
+    return ml.forecast_occupancy(daily(lake))
+
+
+@query("R4_forecast_sentences")
+def _(lake):
+    return index.forecast_documents(ml.forecast_occupancy(daily(lake))).select("path", "text")
+
+
+@query("M14_price_scoring")
+def _(lake):
+    rows = bookings(lake)
+    df = ml.scaled_prices(ml.pricing_table(daily(lake), calendar(lake), warehouse.dim_room_type(rows))).persist()
+    model = ml.fit_regressor(df, ml.PRICING_FEATURES, "avg_daily_rate", SIZES["pricing"])
+    return ml.score_prices(model, df).select("branch_id", "date", "room_type_name", "recommended_price", "expected_revenue")
+
+
+@query("M14_price_arithmetic", """
+SELECT branch_id, occupancy_date::VARCHAR AS date, round_even(greatest(0.0, p), 2) AS recommended_price,
+  round_even(greatest(0.0, p) * occupancy_pct / 100 * total_rooms, 2) AS expected_revenue
+FROM (SELECT *, floor(avg_daily_rate) - 1500 AS p FROM daily_base)""")
+def _(lake):
+    shifted = daily(lake).withColumn("p", F.floor("avg_daily_rate").cast("double") - 1500)
+    return price_outputs(shifted, "p").select("branch_id", F.col("occupancy_date").alias("date"), "recommended_price", "expected_revenue")
+
+
+@query("M15_meal_scoring")
+def _(lake):
+    df = ml.restaurant_table(marts.mart_restaurant_daily(lake), calendar(lake)).persist()
+    return ml.score_meals(ml.fit_meals(df, SIZES["restaurant"]), df)
+
+
+@query("M15_meal_arithmetic", """
+SELECT branch_id, date::VARCHAR AS date, coalesce(round_even(lunch_revenue / nullif(avg_item_value, 0), 1), 0) AS expected_quantity, round_even(lunch_revenue, 2) AS expected_revenue FROM mart_restaurant""")
+def _(lake):
+    return meal_outputs(marts.mart_restaurant_daily(lake), "lunch_revenue", "avg_item_value").select(
+        "branch_id", "date", "expected_quantity", "expected_revenue"
+    )
+
+
+@query("M16_staffing_scoring")
+def _(lake):
+    df = ml.staffing_table(marts.mart_staff_daily(lake), calendar(lake)).persist()
+    return ml.score_staffing(ml.fit_regressor(df, ml.STAFFING_FEATURES, "present_employees", SIZES["staffing"]), df)
+
+
+@query("M17_churn_scoring")
+def _(lake):
+    guests = churn_features(lake).withColumn("split", F.lit("train")).persist()
+    model = ml.fit_churn(guests, "random_forest", SIZES["forest"])
+    # Every guest once, and for every guest an id that does not exist.
+    ids = guests.select(F.explode(F.array(F.col("guest_key"), -F.col("guest_key"))).alias("guest_id"))
+    return ml.score_guests(model, guests, ids, "random_forest")
