@@ -7,6 +7,7 @@ from staylytics.checks.registry import query
 from staylytics.checks.views import pipe, view
 from staylytics.operators import cleaning as ops
 from staylytics.operators import marts, warehouse
+from staylytics.session import settle
 from staylytics.sources.bookings import bookings, raw_bookings
 
 STRIP = r"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
@@ -97,7 +98,7 @@ SELECT hotel, round(max(cap), 6) AS winsor_cap, count(*) FILTER (WHERE adr_cents
   round(sum(least(adr_cents::DOUBLE, cap)) / 100, 2) AS sum_adr
 FROM unique_raw, rate_cap WHERE adr_cents >= 0 GROUP BY 1""")
 def _(lake):
-    rows = ops.drop_negative_rates(ops.dedupe_full_row(raw_bookings(lake)))
+    rows = settle(ops.drop_negative_rates(ops.dedupe_full_row(raw_bookings(lake))).select("hotel", "adr_cents"))
     return ops.winsorize_rates(rows).groupBy("hotel").agg(
         F.round(F.max("winsor_cap"), 6).alias("winsor_cap"),
         F.count_if(F.col("adr_cents") > F.col("winsor_cap")).alias("capped"),

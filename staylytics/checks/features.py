@@ -7,6 +7,7 @@ from staylytics.checks.registry import query
 from staylytics.checks.views import calendar_columns, hash63, view
 from staylytics.operators import features as ops
 from staylytics.operators import marts, warehouse, windows
+from staylytics.session import settle
 from staylytics.sources.bookings import bookings
 from staylytics.sources.calendar import calendar
 
@@ -155,7 +156,7 @@ view("churn_features", f"SELECT *, (recency_days > 180)::INT AS churn FROM ({_CH
 
 def churn_features(lake):
     rows = bookings(lake)
-    return ops.churn_features(warehouse.dim_guest(rows), warehouse.fact_rows(rows))
+    return ops.churn_features(settle(warehouse.dim_guest(rows)), warehouse.fact_rows(rows))
 
 
 @query("M5_churn_features", """

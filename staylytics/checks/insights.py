@@ -12,6 +12,7 @@ from staylytics.checks.views import view
 from staylytics.operators import insights as ops
 from staylytics.operators import marts
 from staylytics.operators import reviews as rv
+from staylytics.session import settle
 from staylytics.sources.reviews import reviews
 
 SHOWN = ["category", "title", "metric", "metric_delta", "severity", "branch_id", "citation"]
@@ -109,13 +110,14 @@ def review_findings(lake):
 
 
 def all_findings(lake):
-    revenue_mart = marts.mart_revenue_daily(lake)
+    """Findings of all rules. The day-grain marts are stored once and read by every rule that needs them."""
+    revenue_mart = settle(marts.mart_revenue_daily(lake))
     parts = [
         ops.revenue(revenue_mart), ops.occupancy(marts.mart_occupancy_daily(daily(lake))), ops.pricing(revenue_mart),
         ops.restaurant_waste(marts.mart_restaurant_daily(lake)), ops.staff(marts.mart_staff_daily(lake)),
         ops.anomaly(revenue_mart, "total_revenue"), ops.churn(churn_scored(lake)), review_findings(lake),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return settle(reduce(DataFrame.unionByName, parts))
 
 
 @query("I1_revenue_rule", "SELECT * FROM i_revenue")

@@ -20,8 +20,10 @@ def joined(columns: Iterable[Column | str]) -> Column:
 
 def hash63(text: Column) -> Column:
     """First 8 bytes of SHA-256, big-endian, masked to 63 bits so it fits a signed BIGINT."""
-    top = F.conv(F.substring(F.sha2(text, 256), 1, 16), 16, 10).cast("decimal(20,0)")
-    return F.pmod(top, F.lit(str(2**63)).cast("decimal(20,0)")).cast("long")
+    digest = F.sha2(text, 256)
+    high = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long").bitwiseAND(F.lit(2**31 - 1))
+    low = F.conv(F.substring(digest, 9, 8), 16, 10).cast("long")
+    return F.shiftleft(high, 32).bitwiseOR(low)
 
 
 def guest_key() -> Column:

@@ -82,7 +82,7 @@ def chunk_text(df: DataFrame, text: str, size: int = C.CHUNK_SIZE, overlap: int
 
 def chunk_rows(df: DataFrame, key: str, chunks: str = "chunks", metadata: str = "metadata") -> DataFrame:
     """One row per chunk, the document's metadata extended by the chunk's position."""
-    rows = df.select(key, metadata, F.posexplode(chunks).alias("chunk_index", "text"))
+    rows = df.select(key, metadata, F.posexplode_outer(chunks).alias("chunk_index", "text")).where("text is not null")
     position = F.create_map(F.lit("chunk_index"), F.col("chunk_index").cast("string"))
     return rows.withColumn(metadata, F.map_concat(metadata, position))
 
@@ -95,7 +95,7 @@ def heading_sections(df: DataFrame, text: str, heading: str, title: str) -> Data
     pieces = F.split(F.col(text), f"(?={heading})")
     starts = F.filter(pieces, lambda p: p.rlike(f"^(?:{heading})"))
     sections = F.when(F.size(starts) > 0, starts).otherwise(F.array(text))
-    out = df.select("*", F.posexplode(sections).alias("section", "section_text"))
+    out = df.select("*", F.posexplode_outer(sections).alias("section", "section_text"))
     found = F.regexp_extract("section_text", title, 1)
     return out.withColumns({
         "heading": F.when(F.col("section_text").rlike(f"^(?:{heading})"), strip(found)),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from staylytics import constants as C
 from staylytics.operators.ordering import exact_quantile
+from staylytics.session import settle
 
 RATE = "adr_cents"
 _SPACE = " \t\n\r\f\x0b"
@@ -78,9 +79,12 @@ def changed_types(before: DataFrame, after: DataFrame) -> list[str]:
 
 
 def clean(df: DataFrame) -> DataFrame:
-    """All steps in order: one shuffle for the dedupe, one small one for the rate cap, the rest fused."""
+    """All steps in order: one shuffle for the dedupe, one small one for the rate cap, the rest fused.
+
+    The deduplicated rows are settled, so that the rate cap reads one column of them and not the whole input again.
+    """
     return (
-        df.transform(dedupe_full_row)
+        settle(dedupe_full_row(df))
         .transform(replace_undefined_with_null)
         .transform(impute_constants)
         .transform(fix_country_code)
@@ -96,7 +100,7 @@ def clean(df: DataFrame) -> DataFrame:
 def clean_audit(df: DataFrame) -> DataFrame:
     """Rows before/after and values changed for each of the 11 steps, from one pass over the deduplicated rows."""
     columns = df.columns
-    unique = df.groupBy(*columns).agg(F.count("*").alias("copies"))
+    unique = settle(df.groupBy(*columns).agg(F.count("*").alias("copies")))
     kept = F.col(RATE) >= 0
     cap = exact_quantile(drop_negative_rates(unique), RATE, 0.995).scalar()
     country = F.coalesce(F.col("country"), F.lit("UNK"))

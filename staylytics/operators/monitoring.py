@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylytics import constants as C
@@ -41,7 +41,7 @@ def windowed_log(log: DataFrame, window_days: int = 7) -> DataFrame:
 
 def log_fields(log: DataFrame) -> DataFrame:
     """One row per numeric field of each record."""
-    entries = log.select("domain", "window", F.explode("fields").alias("field", "text"))
+    entries = log.select("domain", "window", F.explode_outer("fields").alias("field", "text"))
     return entries.withColumn("number", json_number(F.col("text"))).where("number is not null").drop("text")
 
 
@@ -55,22 +55,26 @@ def shared_fields(log: DataFrame) -> DataFrame:
 def prediction_drift(log: DataFrame, window_days: int = 7) -> DataFrame:
     """Mean and population deviation per domain and field in the recent and prior window, with a verdict.
 
-    Domains with fewer than two records in either window, and such fields, are left out.
+    Domains with fewer than two records in either window, and such fields, are left out. Records are counted in the
+    same aggregate as the fields, through a marker field that every record carries.
     """
-    labelled = windowed_log(log, window_days)
-    recent, prior = F.col("window") == "recent", F.col("window") == "prior"
-    enough = labelled.groupBy("domain").agg(
-        F.count_if(recent).alias("recent_count"), F.count_if(prior).alias("prior_count")
-    ).where("recent_count >= 2 AND prior_count >= 2")
-    n = F.col("number")
+    marker = F.create_map(F.lit("_records"), F.lit("1"))
+    labelled = windowed_log(log, window_days).withColumn("fields", F.map_concat("fields", marker))
+    recent, prior, n = F.col("window") == "recent", F.col("window") == "prior", F.col("number")
     stats = log_fields(labelled).groupBy("domain", "field").agg(
         F.count_if(recent).alias("n_recent"), F.count_if(prior).alias("n_prior"),
         F.avg(F.when(recent, n)).alias("recent_mean"), F.stddev_pop(F.when(recent, n)).alias("recent_std"),
         F.avg(F.when(prior, n)).alias("prior_mean"), F.stddev_pop(F.when(prior, n)).alias("prior_std"),
-    ).where("n_recent >= 2 AND n_prior >= 2")
+    )
+    # One row per domain and field from here on.
+    per_domain, records = Window.partitionBy("domain"), F.col("field") == "_records"
+    stats = stats.withColumns({
+        "recent_count": F.max(F.when(records, F.col("n_recent"))).over(per_domain),
+        "prior_count": F.max(F.when(records, F.col("n_prior"))).over(per_domain),
+    }).where(~records & F.expr("recent_count >= 2 AND prior_count >= 2 AND n_recent >= 2 AND n_prior >= 2"))
     limit = F.greatest(F.col("prior_std") * 0.5, F.abs("prior_mean") * 0.2, F.lit(1e-9))
     stable = F.abs(F.col("recent_mean") - F.col("prior_mean")) <= limit
-    return stats.join(enough, "domain").withColumn("stable", stable).drop("n_recent", "n_prior")
+    return stats.withColumn("stable", stable).drop("n_recent", "n_prior")
 
 
 # ---- data drift and fingerprints -------------------------------------------------------------------------------

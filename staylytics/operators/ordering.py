@@ -2,7 +2,7 @@
 
 A plain ``Window.partitionBy(key)`` sends a whole key to one task. These helpers range-partition on
 (key, order) instead, so a key holding a third of the rows is spread over a third of the tasks, and carry
-per-slice totals across slices. The slice placement is checkpointed first because both passes must see it.
+per-slice totals across slices. The placed rows are written to the shared folder first because both passes must see them.
 """
 
 from __future__ import annotations

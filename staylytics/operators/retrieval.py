@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylytics import constants as C
+from staylytics.functions.arrays import exploded
 from staylytics.operators.cleaning import strip
 from staylytics.operators.joins import lookup_join, salted_join
 
@@ -88,7 +89,7 @@ def bm25_scores(docs: DataFrame, queries: DataFrame) -> DataFrame:
     tokens = docs.select("doc_id", whitespace_tokens(F.col("text")).alias("tokens"))
     corpus = tokens.agg(F.struct(F.count("*").alias("n"), F.avg(F.size("tokens")).alias("avgdl")).alias("c")).scalar()
     postings = (
-        tokens.select("doc_id", F.size("tokens").alias("dl"), F.explode("tokens").alias("term"))
+        exploded(tokens, "tokens", "term", "doc_id", F.size("tokens").alias("dl"))
         .groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
     )
     df = F.col("df")
@@ -98,7 +99,7 @@ def bm25_scores(docs: DataFrame, queries: DataFrame) -> DataFrame:
     floor = terms.agg(F.avg("raw_idf") * _BM25_EPSILON).scalar()
     idf = terms.select("term", F.when(F.col("raw_idf") < 0, floor).otherwise(F.col("raw_idf")).alias("idf"))
     wanted = (
-        queries.select("query_id", F.explode(whitespace_tokens(F.col("query_text"))).alias("term"))
+        exploded(queries, whitespace_tokens(F.col("query_text")), "term", "query_id")
         .groupBy("query_id", "term").agg(F.count("*").alias("qn"))
         .join(idf, "term")
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from staylytics.functions.arrays import exploded
 from staylytics.operators.monitoring import fingerprint, ks_drift
 
 
@@ -24,7 +25,7 @@ def lexicon_snapshot(reviews: DataFrame, entries: Sequence[str]) -> DataFrame:
     """Lexicon entries in use per hotel: count and hash of the sorted list (at most the lexicon's size per hotel)."""
     low = F.lower("review")
     used = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(w)), w) for w in entries]))
-    seen = reviews.select("hotel_id", F.explode(used).alias("entry")).distinct()
+    seen = exploded(reviews, used, "entry", "hotel_id").distinct()
     return seen.groupBy("hotel_id").agg(
         F.count("*").alias("vocab_size"), F.sha2(F.concat_ws(",", F.array_sort(F.collect_list("entry"))), 256).alias("content_hash")
     )
