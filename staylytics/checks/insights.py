@@ -134,9 +134,9 @@ def _(lake):
 
 @query("I3_pricing_rule", _finding("pricing", "'Potential under-pricing at branch ' || branch_id", "avg_daily_rate_growth_pct",
      "round_even(growth, 2)", "'medium'", "branch_id", "mart_revenue_daily",
-     "(SELECT * REPLACE (occupancy_pct * 4 AS occupancy_pct) FROM price_last) WHERE occupancy_pct >= 85 AND growth < 2"))
+     "(SELECT * REPLACE (occupancy_pct * 40 AS occupancy_pct) FROM price_last) WHERE occupancy_pct >= 85 AND growth < 2"))
 def _(lake):
-    busy = marts.mart_revenue_daily(lake).withColumn("occupancy_pct", F.col("occupancy_pct") * 4)
+    busy = marts.mart_revenue_daily(lake).withColumn("occupancy_pct", F.col("occupancy_pct") * 40)
     return ops.pricing(busy).select(*SHOWN)
 
 

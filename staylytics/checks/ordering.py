@@ -11,9 +11,9 @@ from staylytics.sources.models import model_records
 
 
 @query("A9_exact_quantile", """
-SELECT hotel, quantile_cont(adr_cents, 0.995) AS p995 FROM bookings GROUP BY 1""")
+SELECT hotel, round(quantile_cont(adr_cents, 0.995), 6) AS p995 FROM bookings GROUP BY 1""")
 def _(lake):
-    return exact_quantile(bookings(lake).select("hotel", "adr_cents"), "adr_cents", 0.995, ["hotel"], "p995")
+    return exact_quantile(bookings(lake).select("hotel", "adr_cents"), "adr_cents", 0.995, ["hotel"], "p995").withColumn("p995", F.round("p995", 6))
 
 
 @query("U1_union_all", """

@@ -29,15 +29,20 @@ def get_session(app: str = "staylytics", cores: str | int | None = None) -> Spar
     return spark
 
 
+_local_scratch: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``; a temp folder only for local masters."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="staylytics-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if context.applicationId not in _local_scratch:
+        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="staylytics-")
+    return _local_scratch[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
