@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from staylytics.operators.ordering import with_running_totals
-from staylytics.sources.lake import Lake
+from staylytics.sources.lake import Lake, spread
 
 TASKS = ["occupancy", "pricing", "restaurant", "staffing", "churn"]
 
@@ -52,7 +52,7 @@ def prediction_log(lake: Lake) -> DataFrame:
         F.get_json_object("props", "$.k"), F.lit(',"cached":false'),
     )
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return lake.table("events").select(
+    return spread(lake.table("events")).select(
         F.when(event % 97 == 0, F.concat(F.lit('{"domain":"'), F.col("event_type")))
         .when(event % 101 == 0, "")
         .when(event % 103 == 0, F.concat(head, F.lit("}")))
