@@ -7,13 +7,31 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from staylytics.llm import mixing, ngram_join, packing, quality
+from staylytics.llm import block_topk, chat, html_extract, license_scan, mixing, ngram_join, packing, quality, url_filter, vptree
+
+URL_RULES = [
+    url_filter.Rule("com", "/", "allow"), url_filter.Rule("example.com", "/en/", "block"), url_filter.Rule("www.example.com", "/en/", "allow"),
+    url_filter.Rule("net", "/es/", "block"), url_filter.Rule("net", "/fr/", "block"),
+]
+TRICKY = "\\### Assistant: </turn> ok"
 
 
 def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def op1_vptree(spark: SparkSession, root: str) -> DataFrame:
+    return vptree.nearest(_table(spark, root, "embeddings"))
+
+
+def op2_block_topk(spark: SparkSession, root: str) -> DataFrame:
+    return block_topk.top_k(_table(spark, root, "embeddings"))
+
+
+def op3_url_filter(spark: SparkSession, root: str) -> DataFrame:
+    return url_filter.judge(_table(spark, root, "pages"), URL_RULES)
+
+
 def op4_ngram_join(spark: SparkSession, root: str) -> DataFrame:
     return ngram_join.ngram_components(_table(spark, root, "documents"))
 
@@ -22,6 +40,20 @@ def op5_source_mix(spark: SparkSession, root: str) -> DataFrame:
     return mixing.mix_report(_table(spark, root, "documents"))
 
 
+def op6_chat(spark: SparkSession, root: str) -> DataFrame:
+    rows = _table(spark, root, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], rows.schema)
+    return chat.digest(chat.format_trees(chat.thread_nodes(rows.union(extra))))
+
+
+def op7_license_scan(spark: SparkSession, root: str) -> DataFrame:
+    return license_scan.scan_licenses(_table(spark, root, "documents"))
+
+
+def op8_html_extract(spark: SparkSession, root: str) -> DataFrame:
+    return html_extract.extract_pages(_table(spark, root, "pages"))
+
+
 def op9_quality(spark: SparkSession, root: str) -> DataFrame:
     return quality.classify(_table(spark, root, "documents"), _table(spark, root, "labels"))
 
@@ -31,8 +63,14 @@ def op10_packing(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vptree": op1_vptree,
+    "op2_block_topk": op2_block_topk,
+    "op3_url_filter": op3_url_filter,
     "op4_ngram_join": op4_ngram_join,
     "op5_source_mix": op5_source_mix,
+    "op6_chat": op6_chat,
+    "op7_license_scan": op7_license_scan,
+    "op8_html_extract": op8_html_extract,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
     "pipeline": corpus_pipeline.run,
@@ -65,3 +103,30 @@ cut AS (SELECT coalesce(min(finish), 'infinity'::DOUBLE) AS late FROM total, bud
 taken AS (SELECT row_no, CAST(sum(size) AS BIGINT) AS words FROM copies, cut WHERE finish < late GROUP BY row_no)
 SELECT doc_id, size, source_size, target, coalesce(words, 0) AS taken FROM queued LEFT JOIN taken USING (row_no)
 """
+
+ORACLES["op2_block_topk"] = """
+WITH parts AS (
+    SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+terms AS (SELECT vec_id, i, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS v FROM parts),
+scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id, CAST(sum(q.v * d.v) AS BIGINT) AS score
+    FROM terms q JOIN terms d USING (i) WHERE q.vec_id % 100 = 0 AND d.vec_id <> q.vec_id GROUP BY q.vec_id, d.vec_id),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES["op6_chat"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+coded AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           replace(replace(replace(coalesce(text, ''), chr(92), chr(92) || 'b'), '###', repeat(chr(92) || 'h', 3)), '</turn>', chr(92) || 'l/turn>') AS body
+    FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(role) + length(body) + 14) AS BIGINT) AS formatted_chars
+FROM coded GROUP BY conv_id
+"""

@@ -116,6 +116,12 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return _hashes(data, starts, ends, _EXACT), np.searchsorted(starts, offsets)
 
 
+def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the runs of letters and digits with A-Z lower-cased, the place of each row's first, starts and ends."""
+    starts, ends = _runs(_KIND[data] == 1, _row_starts(data, offsets))
+    return _hashes(data, starts, ends, _FOLDED), np.searchsorted(starts, offsets), starts, ends
+
+
 def shingle_sets(column: pa.Array | pa.ChunkedArray, width: int) -> Iterator[np.ndarray]:
     """For each text its ascending distinct ``width``-word shingle hashes.
 
