@@ -25,7 +25,7 @@ def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Exact inner products of integer-valued matrices as long, held at the ends of its range."""
     if not queries.size or not rows.size:
         return np.zeros((len(queries), len(rows)), np.int64)
-    if np.abs(queries).max() * np.abs(rows).max() * queries.shape[1] < _EXACT:
+    if float(np.abs(queries).max()) * float(np.abs(rows).max()) * queries.shape[1] < _EXACT:
         return (queries @ rows.T).astype(np.int64)
     whole = np.frompyfunc(int, 1, 1)
     exact = whole(queries).astype(object) @ whole(rows).astype(object).T

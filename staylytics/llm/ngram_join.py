@@ -4,7 +4,8 @@
    each task counts shingles in a hashed table of fixed size, which gives one global order: rare first, then by hash.
 2. ``_keys``: two sets that reach the threshold share one of their first ``n - ceil(t n) + 1`` elements in any global
    order, so each class is filed under those only. A frequent passage comes last and is no key.
-3. ``_routes``: under each key the smallest class is the pivot; members meet at the pivot instead of in pairs.
+3. ``_routes``: the classes under a key fall into runs of sizes between which a link is possible, given the place of the key
+   in each set. The smallest class of a run is its pivot; members meet at the pivot instead of in pairs.
 4. ``_trie_links``: the sets that meet at a pivot are stored in a compressed trie in the global order. A probe walks
    it once, adding up overlap along shared branches, and leaves a branch when the lengths that remain cannot reach the
    threshold, or when all its sets are connected with the probe already.
@@ -23,13 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staylytics.llm import counters
 from staylytics.llm import text as tx
 from staylytics.llm.components import components
 from staylytics.session import settle
 
 SKETCH_BITS = 20  # counters of the shingle order
-SLICE = 1 << 14  # counters per shipped row
-FAN_IN = 64  # partial counter tables added up in one task
 KEYS_PER_PART = 1_000_000
 HOT_KEY = 200_000  # classes under one key above which the key is dealt over several parts
 MEMBER_WEIGHT = 400  # fixed weight of a set beside its length
@@ -59,8 +59,6 @@ def profile(docs: DataFrame, width: int) -> DataFrame:
     """Rows (doc_id, class, n) of all documents and rows (slice, task, counts) of the shingle counters, written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             classes, sizes = [], []
@@ -73,42 +71,16 @@ def profile(docs: DataFrame, width: int) -> DataFrame:
                 "doc_id": batch.column("doc_id"), "class": pa.array(classes, pa.int64()), "n": pa.array(sizes, pa.int64()),
                 "slice": none.cast(pa.int32()), "task": none.cast(pa.int32()), "counts": none.cast(pa.binary()),
             })
-        k = counts.size // SLICE
-        none = pa.nulls(k, pa.int64())
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": none, "class": none, "n": none, "slice": pa.array(range(k), pa.int32()),
-            "task": pa.array([TaskContext.get().partitionId()] * k, pa.int32()),
-            "counts": pa.array([c.tobytes() for c in counts.reshape(k, SLICE)], pa.binary()),
-        })
+        table = counters.ship(counts)
+        none = pa.nulls(len(table["slice"]), pa.int64())
+        yield pa.RecordBatch.from_pydict({"doc_id": none, "class": none, "n": none, **table})
 
-    schema = "doc_id long, class long, n long, slice int, task int, counts binary"
+    schema = f"doc_id long, class long, n long, {counters.SCHEMA}"
     return settle(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema))
 
 
-def shingle_counts(profiled: DataFrame) -> np.ndarray:
-    """The added counters (fixed size), summed by a tree of tasks with at most ``FAN_IN`` tables each."""
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py(), np.uint32).astype(np.uint64) for x in table.column("counts"))
-        clipped = np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
-        return pa.table({"slice": table.column("slice")[:1], "task": pa.array([table.column("task")[0].as_py() // FAN_IN], pa.int32()),
-                         "counts": pa.array([clipped.tobytes()], pa.binary())})
-
-    parts = profiled.where("slice IS NOT NULL").select("slice", "task", "counts")
-    tables = (parts.agg(F.max("task")).first()[0] or 0) + 1
-    while True:
-        parts = parts.groupBy("slice", (F.col("task") / FAN_IN).cast("int")).applyInArrow(add, "slice int, task int, counts binary")
-        tables = -(-tables // FAN_IN)
-        if tables <= 1:
-            break
-        parts = settle(parts)
-    out = np.zeros(1 << SKETCH_BITS, np.uint32)
-    for row in parts.collect():  # one row for each of the 2 ** SKETCH_BITS / SLICE slices
-        out[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(row["counts"], np.uint32)
-    return out
-
-
-_ENTRY = np.dtype([("h", np.uint64), ("c", np.int64)])
+# key, class, size of the set, and how far into the prefix the key stands (0 to 255, rounded down)
+_ENTRY = np.dtype([("h", np.uint64), ("c", np.int64), ("n", np.uint32), ("at", np.uint8)])
 
 
 def _keys(docs: DataFrame, shared, width: int, num: int, den: int, parts: int) -> DataFrame:
@@ -137,7 +109,8 @@ def _keys(docs: DataFrame, shared, width: int, num: int, den: int, parts: int) -
                 seen.add(own)
                 entry = np.empty(prefix_length(len(values), num, den), _ENTRY)
                 entry["h"] = values[_global_order(values, counts)[: len(entry)]]
-                entry["c"] = own
+                entry["c"], entry["n"] = own, len(values)
+                entry["at"] = np.arange(len(entry)) * 255 // max(1, len(entry) - 1)
                 held.append(entry)
                 size += len(entry)
                 if size >= KEYS_PER_PART:
@@ -149,22 +122,32 @@ def _keys(docs: DataFrame, shared, width: int, num: int, den: int, parts: int) -
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "part long, entries binary")
 
 
-def _routes(keys: DataFrame, shared) -> DataFrame:
-    """Distinct (pivot, class): classes that share a key with a smaller class, the pivot of that key."""
+def _routes(keys: DataFrame, shared, num: int, den: int) -> DataFrame:
+    """Distinct (pivot, class): classes in one run under a key with a smaller class, the pivot of that run."""
 
     def pair(table: pa.Table) -> pa.Table:
         e = np.concatenate([np.frombuffer(x.as_buffer(), _ENTRY) for x in table.column("entries")])
-        e = e[np.lexsort((e["c"], e["h"]))]
-        fresh = np.ones(len(e), bool)
-        fresh[1:] = e["h"][1:] != e["h"][:-1]
-        pivot = e["c"][np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+        e = e[np.lexsort((e["n"], e["h"]))]
+        n = e["n"].astype(np.float64)
+        first = np.ones(len(e), bool)
+        first[1:] = e["h"][1:] != e["h"][:-1]
+        over = shared.value[_buckets(e["h"])].astype(np.int64) - int(np.median(shared.value))
+        dealt = over >= HOT_KEY  # such a key is spread over several parts and stays one run
+        # if this key is the first that two linked sets share, what follows it in each must hold the needed overlap;
+        # that bounds the size of the other set
+        before = e["at"] / 255 * np.maximum(n - np.ceil(n * num / den), 0)
+        largest = (num + den) / num * (n - before) - n + 0.5
+        key = np.cumsum(first) * (largest.max() + n.max() + 1)
+        reach = np.maximum.accumulate(largest + key)
+        fresh = first.copy()
+        fresh[1:] |= (n[1:] + key[1:] > reach[:-1]) & ~dealt[1:]
+        pivot = np.minimum.reduceat(e["c"], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
         met = pivot != e["c"]
         pairs = np.unique(np.stack([pivot[met], e["c"][met]]), axis=1)
-        over = shared.value[_buckets(e["h"])].astype(np.int64) - int(np.median(shared.value))
-        dealt = fresh & (over >= HOT_KEY)  # this key has a pivot in several parts
+        tops = first & dealt
         return pa.table({
-            "dealt": np.concatenate([np.zeros(pairs.shape[1], bool), np.ones(dealt.sum(), bool)]),
-            "a": np.concatenate([pairs[0], e["h"][dealt].view(np.int64)]), "b": np.concatenate([pairs[1], e["c"][dealt]]),
+            "dealt": np.concatenate([np.zeros(pairs.shape[1], bool), np.ones(tops.sum(), bool)]),
+            "a": np.concatenate([pairs[0], e["h"][tops].view(np.int64)]), "b": np.concatenate([pairs[1], pivot[tops]]),
         })
 
     found = settle(keys.groupBy("part").applyInArrow(pair, "dealt boolean, a long, b long"))
@@ -309,12 +292,12 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 75, den: int =
     spark = docs.sparkSession
     seen = profile(docs, width)
     rows = seen.where("slice IS NULL").select("doc_id", "class", "n")
-    shared = spark.sparkContext.broadcast(shingle_counts(seen))  # 2 ** SKETCH_BITS counters
+    shared = spark.sparkContext.broadcast(counters.added(seen.where("slice IS NOT NULL").select("slice", "task", "counts"), 1 << SKETCH_BITS))  # 2 ** SKETCH_BITS counters
     classes = settle(rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")))
     kept = F.col("n") - F.ceil(F.col("n") * num / den) + 1
     total = classes.agg(F.sum(kept)).first()[0] or 0
     parts = max(64, -(-int(total) // KEYS_PER_PART))
-    routes = _routes(_keys(docs, shared, width, num, den, parts), shared)
+    routes = _routes(_keys(docs, shared, width, num, den, parts), shared, num, den)
 
     pivots = routes.select("pivot").distinct()
     members = routes.union(pivots.select("pivot", F.col("pivot").alias("class"))).join(classes.select("class", "n"), "class")
