@@ -1,12 +1,13 @@
 """Mixing sources to target weights by weighted fair queueing, in DataFrame operations only.
 
 Each source is a queue of its documents in a fixed shuffled order, read twice at most. A copy's virtual finish time is
-the words of its queue up to and including it, divided by the target of the source; the mix takes copies in the order
-of virtual finish time while the words taken stay within the total budget.
+the words of its queue up to and including it, divided by the target of the source. The targets add up to the total
+budget, so the budget is used up at virtual time one: the mix is all copies in the order of finish time, cut there. A
+copy that straddles the cut is taken if at least half of it lies before, so no source ends farther from its target than
+half a document.
 
-A source may hold most rows, so no window spans one: queues are cut at ``BUCKETS`` ranges of the shuffle key, whose
-totals are carried forward. The cut of the global order is found by narrowing ``BINS`` ranges of finish time, each
-step one grouped sum.
+A source may hold most rows, so no window spans one: queues are cut at 4096 ranges of the shuffle key, whose totals
+are carried forward.
 """
 
 from __future__ import annotations
@@ -20,8 +21,6 @@ from staylytics.operators.ordering import with_global_index
 from staylytics.session import settle
 
 WORD = r"[^\x20\x09-\x0D]+"
-BINS = 1024
-SMALL = 10_000  # copies in the range of the cut that one task may order
 
 
 def word_count(text: str | Column = "text") -> Column:
@@ -30,7 +29,7 @@ def word_count(text: str | Column = "text") -> Column:
 
 
 def _place(doc_id: Column) -> Column:
-    """Shuffle key of a document; its first three digits number one of 4096 equal ranges (the BUCKETS)."""
+    """Shuffle key of a document; its first three digits number one of 4096 equal ranges."""
     return F.md5(F.concat(F.lit("mix:"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
 
 
@@ -56,63 +55,31 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
     return table.select("source", "source_size", F.when(full, F.col("cap")).otherwise(F.col("w") * F.lit(rate)).alias("target"))
 
 
-def _finish_times(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, place, size, first, second): finish times of both copies; rows of one doc_id finish together."""
-    rows = rows.withColumn("bucket", F.substring("place", 1, 3))
-    upto = Window.partitionBy("source", "bucket").orderBy("place")
+def _queues(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source, place, source_size, target, upto, own): words up to each place of a queue, and of the place itself.
+
+    Rows that repeat a doc_id have one place. Sources without words have no queue.
+    """
+    queue = rows.groupBy("source", "place").agg(F.sum("size").alias("own")).withColumn("bucket", F.substring("place", 1, 3))
+    upto = Window.partitionBy("source", "bucket").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = rows.groupBy("source", "bucket").agg(F.sum("size").alias("s"))
+    carried = queue.groupBy("source", "bucket").agg(F.sum("own").alias("s"))
     carried = carried.select(F.col("source").alias("_s"), F.col("bucket").alias("_b"), F.coalesce(F.sum("s").over(before), F.lit(0)).alias("carry"))
-    inside = rows.withColumn("inside", F.sum("size").over(upto))
+    inside = queue.withColumn("inside", F.sum("own").over(upto))
     done = inside.join(carried, inside["source"].eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
     goal = targets.withColumnRenamed("source", "_t")
     done = done.join(goal, done["source"].eqNullSafe(F.col("_t"))).where("target > 0")
-    total = F.col("inside") + F.col("carry")
-    return done.select(
-        "source", "place", "size", (total / F.col("target")).alias("first"),
-        ((total + F.col("source_size")) / F.col("target")).alias("second"),
-    )
-
-
-def _cut(times: DataFrame, budget: float) -> float | None:
-    """The earliest finish time whose copies would take the mix over ``budget``; None if nothing does."""
-    copies = times.select(F.explode(F.array("first", "second")).alias("t"), "size")
-    taken, (lo, hi, rows) = 0, copies.agg(F.min("t"), F.max("t"), F.count("*")).first()
-    while rows > SMALL and lo < hi:
-        bin_ = F.least(F.floor((F.col("t") - lo) / (hi - lo) * BINS), F.lit(BINS - 1))
-        bins = copies.where(F.col("t").between(lo, hi)).groupBy(bin_.alias("bin"))
-        sums = bins.agg(F.sum("size").alias("s"), F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi"))
-        for row in sorted(sums.collect(), key=lambda r: r["lo"]):  # BINS rows at most
-            if taken + row["s"] > budget:
-                lo, hi, rows = row["lo"], row["hi"], row["n"]
-                break
-            taken += row["s"]
-        else:
-            return None
-    if not rows:
-        return None
-    upto = F.sum("s").over(Window.orderBy("t"))
-    last = copies.where(F.col("t").between(lo, hi)).groupBy("t").agg(F.sum("size").alias("s")).withColumn("upto", upto + taken)
-    return last.where(F.col("upto") > budget).agg(F.min("t")).first()[0]
-
-
-def _plan(rows: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
-    """(source, source_size, target, end1, end2): places before end1 (end2) are taken at least once (twice)."""
-    targets = settle(source_targets(rows, weights, share, most))
-    times = settle(_finish_times(rows, targets))
-    budget = float(targets.agg(F.sum("source_size")).first()[0] or 0) * share
-    cut = _cut(times, budget)
-    late = F.lit(False) if cut is None else F.lit(cut)
-    ends = times.groupBy("source").agg(*[
-        F.min(F.when(late if cut is None else F.col(c) >= late, F.col("place"))).alias(e) for c, e in (("first", "end1"), ("second", "end2"))
-    ])
-    return targets.join(ends.withColumnRenamed("source", "_e"), targets["source"].eqNullSafe(F.col("_e")), "left").drop("_e")
+    return done.select("source", "place", "source_size", "target", (F.col("inside") + F.col("carry")).alias("upto"), "own")
+
 
+def _taken(copy: int) -> Column:
+    """Whether the middle of the first (0) or second (1) copy lies within the target."""
+    return F.col("upto") - F.col("own") / 2 + F.col("source_size") * copy <= F.col("target")
 
-def _copies() -> Column:
-    """A document is taken once or twice by its place in its source's queue; sources without words are left out."""
-    times = sum((F.coalesce(F.col("place") < F.col(end), F.lit(True)).cast("int") for end in ("end1", "end2")), F.lit(0))
-    return F.when(F.col("target") > 0, times).otherwise(0)
+
+def _rows(docs: DataFrame) -> DataFrame:
+    size, place = word_count(), _place(F.col("doc_id"))
+    return settle(docs.select("doc_id", F.col("source").cast("string"), size.alias("size"), place.alias("place")))
 
 
 def mix_report(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -121,17 +88,27 @@ def mix_report(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: flo
     ``taken`` counts words, repeats included; it is 0, 1 or 2 times ``size``. A null or empty text has size 0. Rows that
     repeat a doc_id within a source are taken or left together, and so are rows with a null doc_id. ``most`` is at most 2.
     """
-    size = word_count()
-    rows = settle(docs.select("doc_id", F.col("source").cast("string"), size.alias("size"), _place(F.col("doc_id")).alias("place")))
-    plan = _plan(rows, weights, share, most).withColumnRenamed("source", "_p")
+    rows = _rows(docs)
+    targets = settle(source_targets(rows, weights, share, most))
+    # whether a copy is taken only depends on how far its place is in the queue: one end for each copy of a source
+    ends = _queues(rows, targets).groupBy("source").agg(*[F.min(F.when(~_taken(k), F.col("place"))).alias(f"end{k}") for k in (0, 1)])
+    plan = targets.join(ends.withColumnRenamed("source", "_e"), targets["source"].eqNullSafe(F.col("_e")), "left").drop("_e")
+    plan = plan.withColumnRenamed("source", "_p")
+    copies = sum((F.coalesce(F.col("place") < F.col(f"end{k}"), F.lit(True)).cast("int") for k in (0, 1)), F.lit(0))
     both = rows.join(plan, rows["source"].eqNullSafe(F.col("_p")))
-    return both.select("doc_id", "size", "source_size", "target", (_copies() * F.col("size")).alias("taken"))
+    return both.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """The mix itself: every taken row of ``docs``, columns unchanged, once per copy. Whole documents only."""
-    rows = docs.select("doc_id", F.col("source").cast("string"), word_count().alias("size"), _place(F.col("doc_id")).alias("place"))
-    plan = _plan(settle(rows), weights, share, most).withColumnRenamed("source", "_p")
+    """The mix itself: every taken row of ``docs``, columns unchanged, once per copy, range-sorted by virtual finish time.
+
+    Whole documents only. A source without any word is left out. See ``mix_report``.
+    """
+    rows = _rows(docs)
+    queues = _queues(rows, settle(source_targets(rows, weights, share, most)))
+    finish = [F.when(_taken(k), (F.col("upto") + F.col("source_size") * k) / F.col("target")) for k in (0, 1)]
+    taken = queues.select(F.col("source").alias("_p"), F.col("place").alias("_q"), F.array_compact(F.array(*finish)).alias("finish")).where(F.size("finish") > 0)
     held = docs.select(F.struct("*").alias("_row"), F.col("source").cast("string").alias("_source"), _place(F.col("doc_id")).alias("place"))
-    both = held.join(plan, F.col("_source").eqNullSafe(F.col("_p")))
-    return both.select("_row", F.explode(F.array_repeat(F.lit(1), _copies()))).select("_row.*")
+    both = held.join(taken.hint("shuffle_hash"), F.col("_source").eqNullSafe(F.col("_p")) & (F.col("place") == F.col("_q")))
+    copies = both.select("_row", F.explode("finish").alias("finish"), "place")
+    return copies.repartitionByRange("finish", "place").sortWithinPartitions("finish", "place").select("_row.*")

@@ -80,7 +80,7 @@ ORACLES: dict[str, str] = {}
 
 ORACLES["op5_source_mix"] = r"""
 WITH rows AS (
-    SELECT row_number() OVER () AS row_no, doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+    SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
            coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
     FROM documents),
 totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM rows GROUP BY source),
@@ -94,14 +94,11 @@ filled AS (
 rates AS (SELECT max((b - used) / open_w) AS rate FROM filled, budget WHERE (b - used) / open_w * w <= cap),
 targets AS (SELECT source, source_size, CASE WHEN w * rate > cap THEN cap ELSE w * rate END AS target FROM weighed, rates),
 queued AS (
-    SELECT r.*, source_size, target, sum(size) OVER (PARTITION BY r.source ORDER BY place) AS upto
-    FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source),
-copies AS (
-    SELECT row_no, size, CAST(upto + k * source_size AS BIGINT) / target AS finish FROM queued, (VALUES (0), (1)) copy(k) WHERE target > 0),
-total AS (SELECT row_no, size, finish, sum(size) OVER (ORDER BY finish) AS words FROM copies),
-cut AS (SELECT coalesce(min(finish), 'infinity'::DOUBLE) AS late FROM total, budget WHERE words > b),
-taken AS (SELECT row_no, CAST(sum(size) AS BIGINT) AS words FROM copies, cut WHERE finish < late GROUP BY row_no)
-SELECT doc_id, size, source_size, target, coalesce(words, 0) AS taken FROM queued LEFT JOIN taken USING (row_no)
+    SELECT r.*, source_size, target, sum(size) OVER (PARTITION BY r.source ORDER BY place) AS upto, sum(size) OVER (PARTITION BY r.source, place) AS own
+    FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (CAST(upto - own / 2 <= target AS INTEGER) + CAST(upto - own / 2 + source_size <= target AS INTEGER)) AS BIGINT) AS taken
+FROM queued
 """
 
 ORACLES["op2_block_topk"] = """

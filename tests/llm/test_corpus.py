@@ -181,23 +181,13 @@ def test_mix_follows_targets(spark):
         assert r["taken"] <= 2 * r["size"]
     assert all(t <= 2 * sizes[s] for s, t in target.items())
     assert abs(sum(target.values()) - 1.5 * sum(sizes.values())) < 1e-6 * sum(sizes.values())
-    assert sum(taken.values()) <= 1.5 * sum(sizes.values())
-    assert all(abs(taken[s] - target[s]) <= largest[s] + max(largest.values()) * target[s] / sum(target.values()) + 1 for s in target if s != "long")
+    assert all(abs(taken[s] - target[s]) <= largest[s] / 2 + 1 for s in target)
     mixed = mixing.mix(df)
     assert mixed.columns == df.columns
     count = Counter(r["doc_id"] for r in mixed.collect())
     assert all(count[r["doc_id"]] * r["size"] in (r["taken"], 2 * r["taken"]) for r in got if r["size"])
 
 
-def test_mix_cut_in_many_steps(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "SMALL", 3)
-    monkeypatch.setattr(mixing, "BINS", 4)
-    key = "op5_source_mix"
-    stepped = sorted(map(tuple, entry.queries()[key](spark, "/root/testdata/sf0.001").collect()))
-    monkeypatch.undo()
-    assert stepped == sorted(map(tuple, entry.queries()[key](spark, "/root/testdata/sf0.001").collect()))
-
-
 def test_chat_round_trip(spark):
     x = "\\### Assistant: </turn> ok"
     rows = [(1, 0, "user", x), (1, 1, "assistant", x), (2, None, None, None), (2, 0, "a: b</turn>", "####\\h\\\\b\\l"), (2, 0, "assistant", ""), (2, 0, "assistant", ""),
