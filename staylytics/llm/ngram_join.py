@@ -17,11 +17,11 @@ Shingles are compared by 64-bit hash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staylytics.llm import counters
@@ -35,6 +35,7 @@ HOT_KEY = 200_000  # classes under one key above which the key is dealt over sev
 MEMBER_WEIGHT = 400  # fixed weight of a set beside its length
 GROUP_WEIGHT = 400_000  # weight of one chunk of a pivot group
 TASK_WEIGHT = 2_000_000
+FILTER_BITS = 24  # bits of the filter on identifiers whose texts are fetched
 
 
 def set_class(values: np.ndarray) -> int:
@@ -235,9 +236,28 @@ def _trie_links(sets: list[np.ndarray], counts: np.ndarray, num: int, den: int,
     return links
 
 
+def _may_be_wanted(wanted: DataFrame) -> Callable[[Column], Column]:
+    """Condition on doc_id that holds for all of ``wanted`` and few others: a bitmap of hashed identifiers of fixed size.
+
+    It only spares shuffling texts; the join that follows decides.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    words = wanted.select(F.shiftright(place, 6).alias("word"), (place % 64).cast("int").alias("bit"))
+    marks = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()  # 2 ** FILTER_BITS / 64 rows at most
+    bitmap = np.zeros(1 << FILTER_BITS - 6, np.int64)
+    bitmap[marks.column("word").to_numpy()] = marks.column("bits").to_numpy()
+    shared = wanted.sparkSession.sparkContext.broadcast(bitmap)
+
+    def marked(places: pa.Array) -> pa.Array:
+        at = places.to_numpy()
+        return pa.array((shared.value[at >> 6] >> (at & 63) & 1).astype(bool))
+
+    return lambda doc_id: F.arrow_udf(marked, "boolean")(F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS)))
+
+
 def _meet(docs: DataFrame, wanted: DataFrame, shared, width: int, num: int, den: int, tasks: int) -> DataFrame:
     """Edges (a, b) found where texts meet. ``wanted``: doc_id, class, pivot, chunk, probe (null: all with all)."""
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(_may_be_wanted(wanted)(F.col("doc_id").cast("long")))
     sent = (
         texts.join(wanted.hint("shuffle_hash"), texts["doc_id"].eqNullSafe(wanted["doc_id"]))
         .select("text", "class", "pivot", "chunk", "probe")
@@ -315,11 +335,12 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 75, den: int =
     )
     first = classes.select("class", "doc_id")
     tasks = max(64, int((groups.agg(F.sum(F.col("n") + MEMBER_WEIGHT)).first()[0] or 0) // TASK_WEIGHT) + 1)
-    wanted = groups.select("class", "pivot", "chunk", F.lit(None).cast("boolean").alias("probe")).join(first, "class")
+    wanted = settle(groups.select("class", "pivot", "chunk", F.lit(None).cast("boolean").alias("probe")).join(first, "class"))
     edges = settle(_meet(docs, wanted, shared, width, num, den, tasks))
     rest = _across_chunks(groups, first, edges)
     if rest is not None:
         rest = settle(rest)
+    if rest is not None and not rest.isEmpty():
         tasks = max(64, int(rest.join(classes.select("class", "n"), "class").agg(F.sum(F.col("n") + MEMBER_WEIGHT)).first()[0] or 0) // TASK_WEIGHT + 1)
         edges = edges.union(_meet(docs, rest, shared, width, num, den, tasks))
 
