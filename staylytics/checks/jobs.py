@@ -46,13 +46,14 @@ def _(lake):
     return jobs.feature_job(lake, scratch_path(lake.spark, "features"))
 
 
-@query("Z4_train_and_leaderboard")
+@query("Z4_train_and_leaderboard", """
+SELECT task, true AS own_model, true AS in_range FROM (VALUES ('occupancy'), ('pricing'), ('restaurant'), ('staffing'), ('churn')) v(task)""")
 def _(lake):
     path = scratch_path(lake.spark, "train")
-    out = jobs.train_domain(lake, "occupancy", SIZES, path)
-    for domain in ("pricing", "restaurant", "staffing", "churn"):
-        out = out.unionByName(jobs.train_domain(lake, domain, SIZES, path))
-    return jobs.leaderboard(out)
+    best = jobs.leaderboard(jobs.train_domains(lake, ["occupancy", "pricing", "restaurant", "staffing", "churn"], SIZES, path))
+    churn = F.col("task") == "churn"
+    in_range = (F.col("value") >= 0) & F.when(churn, F.col("value") <= 1).otherwise(True)
+    return best.select("task", F.col("best_model").startswith(F.col("task")).alias("own_model"), in_range.alias("in_range"))
 
 
 @query("Z5_review_job", "SELECT hotel_id, period, csat, trend FROM csat_monthly JOIN csat_trends USING (hotel_id)")
@@ -68,7 +69,7 @@ def _(lake):
     docs = ret.store(lake).withColumn("metadata", F.create_map(F.lit("source"), F.col("doc_type"), F.lit("branch_id"), F.col("branch_id")))
     path = scratch_path(lake.spark, "chunks")
     pieces = chunk_rows(chunk_text(docs, "text"), "doc_id")
-    keyed = pieces.withColumn("chunk_id", F.col("doc_id") * 100000 + F.col("chunk_index"))
+    keyed = pieces.withColumn("chunk_id", F.xxhash64("doc_id", "chunk_index"))
     keyed.join(docs.select("doc_id", "doc_type", "branch_id", "date", "embedding"), "doc_id").write.parquet(path)
     store = lake.spark.read.parquet(path).select(
         F.col("chunk_id").alias("doc_id"), "text", "doc_type", "branch_id", "date", "embedding"

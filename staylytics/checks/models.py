@@ -2,58 +2,83 @@
 
 from pyspark.sql import functions as F
 
+from staylytics import constants as C
 from staylytics.checks.marts import daily
 from staylytics.checks.registry import query
 from staylytics.checks.features import churn_features
+from staylytics.operators import features as fe
 from staylytics.operators import marts, warehouse
 from staylytics.plans import index, jobs, ml
 from staylytics.plans.scoring import meal_outputs, price_outputs
-from staylytics.session import scratch_path
+from staylytics.session import scratch_path, settle
 from staylytics.sources.bookings import bookings
 from staylytics.sources.calendar import calendar
 
-# Registered runs use few rounds; the library's defaults (ml.FULL_SIZES) are the full models.
-SIZES = {name: (8, depth) for name, (_, depth) in ml.FULL_SIZES.items()}
+# The full models; the same sizes at every scale.
+SIZES = ml.FULL_SIZES
 
 
-def _train(lake, domain):
-    return jobs.train_domain(lake, domain, SIZES, scratch_path(lake.spark, f"train-{domain}"))
+def _trained(lake, domains):
+    """Metric names of each model and whether every value is in its range; the values themselves depend on the learner."""
+    metrics = jobs.train_domains(lake, domains, SIZES, scratch_path(lake.spark, "train"))
+    share = F.col("metric").isin("accuracy", "precision", "recall", "f1", "roc_auc")
+    sound = (F.col("value") >= 0) & (~share | (F.col("value") <= 1))
+    return metrics.select("model_name", "metric", F.coalesce(sound, F.lit(False)).alias("in_range"))
 
 
-@query("M10_boosted_regression")
+def _metric_sql(models, metrics):
+    rows = ", ".join(f"('{m}', '{k}')" for m in models for k in metrics)
+    return f"SELECT model_name, metric, true AS in_range FROM (VALUES {rows}) v(model_name, metric)"
+
+
+_REGRESSION = ["mae", "rmse", "mape"]
+
+
+@query("M10_boosted_regression", _metric_sql([f"{d}_boosted" for d in ("occupancy", "pricing", "staffing")], _REGRESSION))
 def _(lake):
-    out = _train(lake, "occupancy")
-    for domain in ("pricing", "staffing"):
-        out = out.unionByName(_train(lake, domain))
-    return out
+    return _trained(lake, ["occupancy", "pricing", "staffing"])
 
 
-@query("M13_train_evaluate_report")
+@query("M13_train_evaluate_report", _metric_sql([f"restaurant_{m}" for m in C.MEALS], _REGRESSION))
 def _(lake):
-    return _train(lake, "restaurant")
+    return _trained(lake, ["restaurant"])
 
 
-@query("M11_churn_classifiers")
+@query("M11_churn_classifiers", _metric_sql(["churn_random_forest", "churn_boosted"], ["accuracy", "precision", "recall", "f1", "roc_auc"]))
 def _(lake):
-    return _train(lake, "churn")
+    return _trained(lake, ["churn"])
 
 
-@query("M12_daily_forecast")
+@query("M12_daily_forecast", """
+SELECT branch_id, (last + step)::DATE::VARCHAR AS occupancy_date, true AS ordered, 'trend_and_season' AS model_used
+FROM (SELECT branch_id, max(occupancy_date) AS last FROM daily_base GROUP BY 1), (SELECT unnest(range(1, 31))::INT AS step)""")
 def _(lake):
-    return ml.forecast_occupancy(daily(lake))
+    found = ml.forecast_occupancy(daily(lake))
+    ordered = F.col("predicted_occupancy_pct").between(F.col("ci_lower"), F.col("ci_upper"))
+    return found.select("branch_id", "occupancy_date", ordered.alias("ordered"), "model_used")
 
 
-@query("R4_forecast_sentences")
+@query("R4_forecast_sentences", """
+SELECT 'forecast/' || branch_id || '/' || (last + step)::DATE AS path, 'Occupancy forecast for branch ' || branch_id || ' on ' || (last + step)::DATE AS head, true AS whole
+FROM (SELECT branch_id, max(occupancy_date) AS last FROM daily_base GROUP BY 1), (SELECT unnest(range(1, 31))::INT AS step)""")
 def _(lake):
-    return index.forecast_documents(ml.forecast_occupancy(daily(lake))).select("path", "text")
+    docs = index.forecast_documents(ml.forecast_occupancy(daily(lake)))
+    whole = F.col("text").rlike(r": -?[0-9.E-]+% \(range -?[0-9.E-]+--?[0-9.E-]+%, model trend_and_season\)\.$")
+    return docs.select("path", F.substring_index("text", ": ", 1).alias("head"), whole.alias("whole"))
 
 
-@query("M14_price_scoring")
+@query("M14_price_scoring", """
+SELECT branch_id, occupancy_date::VARCHAR AS date, count(*) AS room_types, true AS priced FROM daily_base,
+  (SELECT 1 FROM (SELECT unnest(range(3 + (SELECT (count(*) > 0)::INT FROM guest_rows WHERE room_key = 0)))))  GROUP BY 1, 2""")
 def _(lake):
     rows = bookings(lake)
-    df = ml.scaled_prices(ml.pricing_table(daily(lake), calendar(lake), warehouse.dim_room_type(rows))).persist()
-    model = ml.fit_regressor(df, ml.PRICING_FEATURES, "avg_daily_rate", SIZES["pricing"])
-    return ml.score_prices(model, df).select("branch_id", "date", "room_type_name", "recommended_price", "expected_revenue")
+    df = settle(ml.scaled_prices(ml.pricing_table(daily(lake), calendar(lake), warehouse.dim_room_type(rows))))
+    model = ml.fit_regressor(df, C.PRICING_FEATURES, "avg_daily_rate", SIZES["pricing"])
+    scored = ml.score_prices(model, df)
+    revenue = F.col("recommended_price") * F.col("occupancy_pct") / 100 * F.col("total_rooms")
+    # price and revenue are rounded apart, each by half a cent at most
+    sound = (F.col("recommended_price") >= 0) & (F.abs(F.col("expected_revenue") - revenue) <= 0.006 * (1 + F.col("total_rooms")))
+    return scored.groupBy("branch_id", "date").agg(F.count("*").alias("room_types"), F.bool_and(sound).alias("priced"))
 
 
 @query("M14_price_arithmetic", """
@@ -65,10 +90,12 @@ def _(lake):
     return price_outputs(shifted, "p").select("branch_id", F.col("occupancy_date").alias("date"), "recommended_price", "expected_revenue")
 
 
-@query("M15_meal_scoring")
+@query("M15_meal_scoring", f"""
+SELECT branch_id, date::VARCHAR AS date, meal, true AS sound FROM mart_restaurant, (VALUES {', '.join(f"('{m}')" for m in C.MEALS)}) v(meal)""")
 def _(lake):
-    df = ml.restaurant_table(marts.mart_restaurant_daily(lake), calendar(lake)).persist()
-    return ml.score_meals(ml.fit_meals(df, SIZES["restaurant"]), df)
+    df = settle(ml.restaurant_table(marts.mart_restaurant_daily(lake), calendar(lake)))
+    sound = (F.col("expected_quantity") >= 0) & (F.col("expected_revenue") >= 0)
+    return ml.score_meals(ml.fit_meals(df, SIZES["restaurant"]), df).select("branch_id", "date", "meal", sound.alias("sound"))
 
 
 @query("M15_meal_arithmetic", """
@@ -79,16 +106,24 @@ def _(lake):
     )
 
 
-@query("M16_staffing_scoring")
+@query("M16_staffing_scoring", "SELECT branch_id, department_name, date::VARCHAR AS date, true AS sound FROM mart_staff")
 def _(lake):
-    df = ml.staffing_table(marts.mart_staff_daily(lake), calendar(lake)).persist()
-    return ml.score_staffing(ml.fit_regressor(df, ml.STAFFING_FEATURES, "present_employees", SIZES["staffing"]), df)
+    df = settle(ml.staffing_table(marts.mart_staff_daily(lake), calendar(lake)))
+    scored = ml.score_staffing(ml.fit_regressor(df, C.STAFFING_FEATURES, "present_employees", SIZES["staffing"]), df)
+    return scored.select("branch_id", "department_name", "date", (F.col("required_staff") >= 0).alias("sound"))
 
 
-@query("M17_churn_scoring")
+@query("M17_churn_scoring", """
+SELECT known * guest_key AS guest_id,
+  known = 1 AND lifetime_bookings >= 1 AND recency_days + frequency + monetary + avg_spend_per_stay + total_nights IS NOT NULL AS scored, true AS level_fits, CASE WHEN known = -1 THEN 'guest_id ' || -guest_key || ' not found' END AS error
+FROM churn_features, (VALUES (1), (-1)) v(known)""")
 def _(lake):
-    guests = churn_features(lake).withColumn("split", F.lit("train")).persist()
-    model = ml.fit_churn(guests, "random_forest", SIZES["forest"])
+    guests = settle(churn_features(lake).withColumn("split", fe.hash_split(F.col("guest_key"))))
+    model = ml.fit_churn(guests.na.drop(subset=C.CHURN_FEATURES), "random_forest", SIZES["forest"])
     # Every guest once, and for every guest an id that does not exist.
     ids = guests.select(F.explode(F.array(F.col("guest_key"), -F.col("guest_key"))).alias("guest_id"))
-    return ml.score_guests(model, guests, ids, "random_forest")
+    scored = ml.score_guests(model, guests, ids, "random_forest")
+    p = F.col("churn_probability")
+    fits = F.when(p.isNull(), F.coalesce(F.col("risk_level"), F.lit("Unknown")) == "Unknown").otherwise(
+        p.between(0, 1) & F.col("risk_level").isin("Low", "Medium", "High"))
+    return scored.select("guest_id", p.isNotNull().alias("scored"), fits.alias("level_fits"), "error")

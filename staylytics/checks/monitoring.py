@@ -189,14 +189,14 @@ def _(lake):
 
 
 view("labelled", """
-SELECT source, quality AS y, least(n_chars, 1000) / 1000 AS score, (least(n_chars, 1000) / 1000 >= 0.5)::INT AS yhat
+SELECT source, quality AS y, n_chars AS score, (n_chars >= 500)::INT AS yhat
 FROM labels JOIN documents USING (doc_id)""")
 
 
 def labelled(lake):
-    score = F.least(F.col("n_chars"), F.lit(1000)) / 1000
+    score = F.col("n_chars")
     return lake.table("labels").join(lake.table("documents").select("doc_id", "source", "n_chars"), "doc_id").select(
-        "source", F.col("quality").alias("y"), score.alias("score"), (score >= 0.5).cast("int").alias("yhat")
+        "source", F.col("quality").alias("y"), score.alias("score"), (score >= 500).cast("int").alias("yhat")
     )
 
 

@@ -83,15 +83,11 @@ def _(lake):
     return customer.select(index.row_text(customer.columns).alias("text"))
 
 
-def _newest(mart, order):
-    return f"(SELECT * FROM {mart} ORDER BY date DESC, {order} LIMIT 200)"
-
-
-_SENTENCES = f"""
-SELECT 'mart_occupancy_daily' AS source, branch_id::VARCHAR AS branch_id, 'Branch ' || branch_id || ' occupancy on ' || date || ' was ' || occupancy_pct || '% (' || occupied_rooms || '/' || total_rooms || ' rooms occupied).' AS text FROM {_newest('mart_occupancy', 'branch_id')}
-UNION ALL SELECT 'mart_revenue_daily', branch_id::VARCHAR, 'Branch ' || branch_id || ' total revenue on ' || date || ' was ' || total_revenue || ' (RevPAR ' || revpar || ', ADR ' || avg_daily_rate || ').' FROM {_newest('mart_revenue', 'branch_id')}
-UNION ALL SELECT 'mart_restaurant_daily', branch_id::VARCHAR, 'Branch ' || branch_id || ' restaurant revenue on ' || date || ' was ' || total_revenue || ' across ' || total_orders || ' orders (avg order value ' || avg_order_value || ').' FROM {_newest('mart_restaurant', 'branch_id')}
-UNION ALL SELECT 'mart_staff_daily', branch_id::VARCHAR, 'Branch ' || branch_id || ' ' || department_name || ' on ' || date || ' had ' || present_employees || '/' || scheduled_employees || ' staff present (' || attendance_rate_pct || '% attendance).' FROM {_newest('mart_staff', 'branch_id, department_name')}"""
+_SENTENCES = """
+SELECT 'mart_occupancy_daily' AS source, branch_id::VARCHAR AS branch_id, 'Branch ' || branch_id || ' occupancy on ' || date || ' was ' || occupancy_pct || '% (' || occupied_rooms || '/' || total_rooms || ' rooms occupied).' AS text FROM mart_occupancy
+UNION ALL SELECT 'mart_revenue_daily', branch_id::VARCHAR, 'Branch ' || branch_id || ' total revenue on ' || date || ' was ' || total_revenue || ' (RevPAR ' || revpar || ', ADR ' || avg_daily_rate || ').' FROM mart_revenue
+UNION ALL SELECT 'mart_restaurant_daily', branch_id::VARCHAR, 'Branch ' || branch_id || ' restaurant revenue on ' || date || ' was ' || total_revenue || ' across ' || total_orders || ' orders (avg order value ' || avg_order_value || ').' FROM mart_restaurant
+UNION ALL SELECT 'mart_staff_daily', branch_id::VARCHAR, 'Branch ' || branch_id || ' ' || department_name || ' on ' || date || ' had ' || present_employees || '/' || scheduled_employees || ' staff present (' || attendance_rate_pct || '% attendance).' FROM mart_staff"""
 
 
 def mart_docs(lake):

@@ -36,7 +36,7 @@ SELECT *, CASE WHEN sentiment = 'negative' THEN CASE WHEN {_any(C.ANGRY_WORDS)}
 FROM (SELECT *, CASE WHEN pos > neg THEN 'positive' WHEN neg > pos THEN 'negative' ELSE 'neutral' END AS sentiment
   FROM (SELECT *, {_count(C.POSITIVE_WORDS)} AS pos, {_count(C.NEGATIVE_WORDS)} AS neg FROM (SELECT *, lower(review) AS low FROM reviews)))""")
 _CASES = ", ".join(
-    f"CASE WHEN list_has_any(words, {_list(words)}) THEN {_lit(name)} END" for name, words in ops.COMPLAINT_WORDS.items())
+    f"CASE WHEN list_has_any(words, {_list(words)}) THEN {_lit(name)} END" for name, words in C.COMPLAINT_WORDS.items())
 view("complaints", f"""
 SELECT doc_id, list_filter([{_CASES}], lambda x: x IS NOT NULL) AS complaints
 FROM (SELECT doc_id, regexp_extract_all(lower(review), '[a-z]+') AS words FROM reviews)""")
@@ -122,7 +122,7 @@ FROM reviews WHERE language = 'en'""")
 view("terms_en", """
 SELECT doc_id, unnest(t || list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS term FROM tokens_en""")
 view("tf_en", "SELECT doc_id, term, count(*) AS tf FROM terms_en GROUP BY 1, 2")
-view("vocab_en", "SELECT term, sum(tf) AS total, count(*) AS df FROM tf_en GROUP BY 1 ORDER BY total DESC, term LIMIT 500")
+view("vocab_en", "SELECT term, sum(tf) AS total, count(*) AS df FROM tf_en GROUP BY 1")
 view("weights_en", """
 SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM (
   SELECT doc_id, term, tf * (ln((1.0::DOUBLE + (SELECT count(*) FROM tokens_en)) / (1.0::DOUBLE + df)) + 1) AS w FROM tf_en JOIN vocab_en USING (term))""")

@@ -43,7 +43,7 @@ _P95 = f"""SELECT {_TS.format(c='w')} AS window_start, domain, quantile_disc(val
 
 @query("T3_latency_p95_stream", _P95.format(where=f"WHERE w + INTERVAL 5 MINUTE <= {_CLOSED}"))
 def _(lake):
-    return jobs.drained(jobs.latency_p95(jobs.event_stream(lake.spark, lake.root)), "p95")
+    return jobs.histogram_p95(jobs.drained(jobs.latency_histogram(jobs.event_stream(lake.spark, lake.root)), "p95"))
 
 
 _SESSIONS = f"""
@@ -77,7 +77,13 @@ def _(lake):
     return drift_rounded(monitoring.prediction_drift(monitoring.parse_log(spark.read.schema("value string").parquet(f"{landed}/data"))))
 
 
-@query("T7_late_rows_dropped")
+_SEEN = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events WHERE ts >= TIMESTAMP '2024-01-11')"
+
+
+@query("T7_late_rows_dropped", f"""
+SELECT event_type AS domain, count(*) AS counted, count(DISTINCT w) AS windows,
+  (SELECT count(*) FROM events WHERE ts < TIMESTAMP '2024-01-11' AND time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= {_SEEN}) AS dropped_total
+FROM (SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS w FROM events WHERE ts >= TIMESTAMP '2024-01-11') WHERE w + INTERVAL 5 MINUTE <= {_SEEN} GROUP BY 1""")
 def _(lake):
     events = lake.table("events")
     edge = F.lit("2024-01-11").cast("timestamp_ntz")

@@ -2,7 +2,6 @@
 
 # Hotel name -> key and short code (closed set: an unknown name is an error).
 HOTEL_KEYS = {"Resort Hotel": 1, "City Hotel": 2}
-HOTEL_CODES = {"Resort Hotel": "RESORT", "City Hotel": "CITY"}
 TOTAL_ROOMS = {"Resort Hotel": 200, "City Hotel": 300}
 
 # Room letter -> tier id; any other letter is tier 0.
@@ -76,6 +75,44 @@ COMPLAINT_STOPWORDS = [
     "this", "that", "very", "so", "but", "had", "have", "has",
 ]
 
+# Words that give away a complaint, per category: fixed values.
+COMPLAINT_WORDS = {
+    "cleanliness": [
+        "checked", "dust", "everywhere", "looked", "mold", "not", "sheets", "used", "visible", "when",
+    ],
+    "food": [
+        "bland", "by", "cold", "got", "often", "overpriced", "quite", "repetitive", "time",
+    ],
+    "staff": [
+        "asked", "assistance", "complaints", "forever", "indifferent", "respond", "rude", "seemed", "took",
+        "unhelpful", "whenever",
+    ],
+    "price": [
+        "compared", "expensive", "felt", "hotels", "nearby", "overcharged", "received", "similar", "too", "way",
+    ],
+    "location": [
+        "around", "car", "center", "city", "far", "from", "get", "hard", "inconvenient", "neighborhood", "noisy",
+        "without",
+    ],
+    "noise": [
+        "barely", "clearly", "could", "due", "extremely", "hear", "meant", "neighboring", "noise", "noisy", "rooms",
+        "thin", "traffic", "walls",
+    ],
+    "maintenance": [
+        "air", "conditioning", "door", "entire", "faulty", "fixed", "leaked", "lock", "nobody", "shower", "stay",
+    ],
+    "wifi": [
+        "calls", "disconnecting", "kept", "painfully", "slow", "unusable", "video",
+    ],
+    "parking": [
+        "always", "an", "away", "blocks", "fee", "full", "lot", "no", "park", "several", "surprise", "unpleasant",
+    ],
+    "other": [
+        "again", "disappointing", "expected", "experience", "fell", "here", "not", "price", "range", "short",
+        "well", "what", "would",
+    ],
+}
+
 # Phrase banks per complaint category: (category, praising phrases, complaining phrases).
 PHRASE_BANK = [
     ("cleanliness",
@@ -142,3 +179,31 @@ KEYWORD_STOPWORDS = [
     "too", "under", "until", "up", "very", "was", "we", "were", "what", "when", "where", "which", "while", "who",
     "whom", "why", "will", "with", "would", "you", "your", "yours",
 ]
+
+# Inputs of the models: fixed values.
+OCCUPANCY_FEATURES = [
+    "month", "quarter", "day_of_week", "is_weekend", "is_holiday", "is_event", "total_rooms", "occupancy_pct_lag_1",
+    "occupancy_pct_lag_7", "occupancy_pct_lag_30", "occupancy_pct_rolling_mean_7", "occupancy_pct_rolling_mean_30",
+]
+PRICING_NUMERIC = [
+    "occupancy_pct", "occupancy_7day_avg", "demand_index", "is_weekend", "is_holiday", "is_event", "base_price_multiplier",
+]
+PRICING_FEATURES = [*PRICING_NUMERIC, "season_code", "room_type_name_code"]
+RESTAURANT_FEATURES = [
+    "month", "quarter", "day_of_week", "is_weekend", "is_holiday", "is_event", "total_orders_lag_1", "total_orders_lag_7",
+    "total_orders_rolling_mean_7",
+]
+STAFFING_FEATURES = [
+    "month", "quarter", "day_of_week", "is_weekend", "is_holiday", "scheduled_employees", "present_employees_lag_7",
+    "present_employees_rolling_mean_7", "department_name_code",
+]
+CHURN_FEATURES = ["recency_days", "frequency", "monetary", "avg_spend_per_stay", "total_nights"]
+
+# Texts of prompts and answers: fixed values.
+NO_CONTEXT = "Context: (no relevant context retrieved)"
+CONTEXT_HEAD = "Context:\n"
+HISTORY_HEAD = "Conversation so far:\n"
+QUESTION_HEAD = "Question: "
+NO_ANSWER = "I don't have an LLM provider available right now, and no relevant indexed context was found for this question."
+FALLBACK_HEAD = "No LLM provider is available/configured, so here is the most relevant retrieved context for your question ('"
+FALLBACK_JOIN = "'):\n\n"

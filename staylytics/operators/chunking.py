@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,44 +22,47 @@ def fixed_width(text: Column, size: int = C.CHUNK_SIZE) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
 
 
-def _separator_chunker(size: int):
-    """Arrow-batched splitter; nested so that executors need nothing but pandas."""
+SEPARATORS = ("\n\n", "\n", ". ", " ")
+
+
+def separator_spans(text: str, size: int) -> list[tuple[int, int]]:
+    """Places of the pieces of ``text``: each ends at the last separator that keeps it within ``size``.
+
+    The places of a separator are looked up once per text and cuts found by binary search. Spans still too long go on
+    to the next separator, at last to windows. A separator at a cut, or at the start of a span, belongs to no piece.
+    """
+    spans = [(0, len(text))] if text else []
+    for separator in SEPARATORS:
+        long = [(a, b) for a, b in spans if b - a > size]
+        if not long:
+            break
+        width, places = len(separator), np.array([m.start() for m in re.finditer(re.escape(separator), text)], dtype=np.int64)
+        cut = []
+        for a, b in spans:
+            inside = places[np.searchsorted(places, a) : np.searchsorted(places, b - width, "right")] if b - a > size else places[:0]
+            ends = np.append(inside, b)
+            while a < b:
+                at = np.searchsorted(ends, a)
+                if len(inside) and at < len(inside) and ends[at] == a:
+                    a += width
+                    continue
+                end = int(ends[max(at, np.searchsorted(ends, a + size, "right") - 1)])
+                cut.append((a, end))
+                a = end + width
+        spans = cut
+    return [(i, min(i + size, b)) for a, b in spans for i in range(a, b, size)]
 
+
+def _separator_chunker(size: int):
     @F.pandas_udf("array<string>")
     def chunker(texts: pd.Series) -> pd.Series:
-        def pack(parts: list[str], separator: str) -> Iterator[str]:
-            """Join neighbouring parts while they fit; longer parts pass through on their own."""
-            held = ""
-            for part in parts:
-                merged = f"{held}{separator}{part}" if held else part
-                if len(merged) <= size:
-                    held = merged
-                    continue
-                if held:
-                    yield held
-                held = part
-                if len(part) > size:
-                    yield part
-                    held = ""
-            if held:
-                yield held
-
-        def split(text: str) -> list[str]:
-            pieces = [text] if text else []
-            for separator in ("\n\n", "\n", ". ", " "):
-                pieces = [q for p in pieces for q in ([p] if len(p) <= size else pack(p.split(separator), separator))]
-            return [p[i : i + size] for p in pieces for i in range(0, len(p), size)]
-
-        return texts.map(split, na_action="ignore")
+        return texts.map(lambda text: [text[a:b] for a, b in separator_spans(text, size)], na_action="ignore")
 
     return chunker
 
 
 def by_separators(df: DataFrame, text: str, out: str = "chunks", size: int = C.CHUNK_SIZE) -> DataFrame:
-    """Split at ever finer separators until every piece fits, packing neighbours greedily; then hard windows.
-
-    Each level rewrites only the pieces that are still too long, so one pass per separator is enough.
-    """
+    """Split at ever finer separators until every piece fits, filling each as far as it goes; then hard windows."""
     return df.withColumn(out, F.coalesce(_separator_chunker(size)(text), F.array().cast("array<string>")))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from staylytics import constants as C
 from staylytics.functions.keys import hash63, joined
+from staylytics.operators.joins import null_safe_join
 from staylytics.operators.ordering import exact_quantile, with_running_totals
 
 # ---- prediction logs -------------------------------------------------------------------------------------------
@@ -36,7 +37,7 @@ def windowed_log(log: DataFrame, window_days: int = 7) -> DataFrame:
     span = F.expr(f"INTERVAL {int(window_days)} DAYS")
     t, now = F.col("logged_at"), F.col("now")
     label = F.when(t > now - span, "recent").when((t > now - span - span), "prior")
-    return log.join(anchors, "domain").withColumn("window", label).where(F.col("window").isNotNull()).drop("now")
+    return null_safe_join(log, anchors, ["domain"]).withColumn("window", label).where(F.col("window").isNotNull()).drop("now")
 
 
 def log_fields(log: DataFrame) -> DataFrame:
@@ -93,7 +94,7 @@ def ks_drift(values: DataFrame, keys: Sequence[str]) -> DataFrame:
     running = with_running_totals(hist, keys, ["v"], {"ref_cum": F.col("ref"), "cur_cum": F.col("cur")})
     sizes = hist.groupBy(*keys).agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     gap = F.abs(F.col("ref_cum") / F.col("n_ref") - F.col("cur_cum") / F.col("n_cur"))
-    found = running.join(sizes.where("n_ref > 0 AND n_cur > 0"), keys).groupBy(*keys, "n_ref", "n_cur").agg(
+    found = null_safe_join(running, sizes.where("n_ref > 0 AND n_cur > 0"), keys).groupBy(*keys, "n_ref", "n_cur").agg(
         F.max(gap).alias("ks")
     )
     bound = F.sqrt((F.col("n_ref") + F.col("n_cur")) / (F.col("n_ref") * F.col("n_cur"))) * 1.3581
@@ -180,7 +181,7 @@ def latency_panel(df: DataFrame) -> DataFrame:
     """Predictions, errors and exact p95 latency per domain and version."""
     keys = ["domain", "model_version"]
     counts = df.groupBy(*keys).agg(F.count("*").alias("predictions"), F.count_if("is_error").alias("errors"))
-    return counts.join(exact_quantile(df, "latency", 0.95, keys, "p95"), keys)
+    return null_safe_join(counts, exact_quantile(df, "latency", 0.95, keys, "p95"), keys, "left")
 
 
 # ---- model records ---------------------------------------------------------------------------------------------

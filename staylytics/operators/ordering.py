@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from staylytics.operators.joins import null_safe_join
 from staylytics.session import settle
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position within its partition in the low 33 bits
@@ -42,7 +43,11 @@ def with_global_index(df: DataFrame, order: Sequence[str], name: str = "row_inde
 def with_running_totals(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: dict[str, Column]
 ) -> DataFrame:
-    """Inclusive running sums per key in ``order``; keys must be non-null and the order total within a key."""
+    """Inclusive running sums per key in ``order``, a total order within a key; NULL is a key like any other.
+
+    Placed by range, a key can reach over a slice border; only then do rows need a carry. Each slice has at most one
+    such key, so the carries are at most as many as the slices and are broadcast.
+    """
     keys = list(keys)
     placed = settle(df.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()))
     upto = Window.partitionBy("_slice", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -52,10 +57,12 @@ def with_running_totals(
     carried = (
         placed.groupBy("_slice", *keys)
         .agg(*[F.sum(c).alias(f"_t_{n}") for n, c in totals.items()])
-        .select("_slice", *keys, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in totals])
+        .select("_slice", *keys, F.row_number().over(Window.partitionBy(*keys).orderBy("_slice")).alias("_part"),
+                *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in totals])
+        .where("_part > 1").drop("_part")
     )
-    out = local.join(carried, ["_slice", *keys])
-    return out.select(*df.columns, *[(F.col(n) + F.col(f"_c_{n}")).alias(n) for n in totals])
+    out = null_safe_join(local, F.broadcast(carried), ["_slice", *keys], "left")
+    return out.select(*df.columns, *[(F.col(n) + F.coalesce(f"_c_{n}", F.lit(0))).alias(n) for n in totals])
 
 
 def exact_quantile(df: DataFrame, value: str, q: float, keys: Sequence[str] = (), name: str = "quantile") -> DataFrame:
@@ -68,7 +75,7 @@ def exact_quantile(df: DataFrame, value: str, q: float, keys: Sequence[str] = ()
     hist = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
     ranked = with_running_totals(hist, keys, ["_v"], {"_cum": F.col("_n")})
     size = ranked.groupBy(*keys).agg(F.max("_cum").alias("_size"))
-    ranked = ranked.join(size, keys) if keys else ranked.withColumn("_size", size.scalar())
+    ranked = null_safe_join(ranked, size, keys) if keys else ranked.withColumn("_size", size.scalar())
     place = (F.col("_size") - 1) * F.lit(float(q))
     return (
         ranked.withColumn("_place", place)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,8 +13,10 @@ from staylytics import constants as C
 from staylytics.functions.arrays import exploded
 from staylytics.operators.cleaning import strip
 from staylytics.operators.joins import lookup_join, salted_join
+from staylytics.session import settle
 
-QUERIES_PER_PASS = 4096  # query vectors sent to the executors at once
+SHARD_VECTORS, BLOCK_QUERIES = 16384, 4096  # what one task holds
+PRODUCT_QUERIES = 64  # queries in one matrix product
 
 _BM25_K1, _BM25_B, _BM25_EPSILON = 1.5, 0.75, 0.25
 
@@ -24,51 +24,36 @@ _BM25_K1, _BM25_B, _BM25_EPSILON = 1.5, 0.75, 0.25
 # ---- dense -----------------------------------------------------------------------------------------------------
 
 
-def _one_pass(vectors: DataFrame, queries: list, k: int) -> DataFrame:
-    names = np.array([r[0] for r in queries], dtype=np.int64)
-    matrix = np.array([r[1] for r in queries], dtype=np.float64)
-    shared = vectors.sparkSession.sparkContext.broadcast((names, matrix))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, query_matrix = shared.value
-
-        def best_of(ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
-            """Positions of the k best by (score descending, id ascending)."""
-            keep = np.arange(len(scores))
-            if len(scores) > k:
-                keep = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
-            return keep[np.lexsort((ids[keep], -scores[keep]))][:k]
-
-        for batch in batches:
-            if batch.empty:
-                continue
-            ids = batch["vec_id"].to_numpy()
-            products = np.round(query_matrix @ np.stack(batch["embedding"].to_numpy()).astype(np.float64).T, 9)
-            best = [best_of(ids, row) for row in products]
-            yield pd.DataFrame({
-                "query_id": np.repeat(query_ids, [len(b) for b in best]),
-                "vec_id": np.concatenate([ids[b] for b in best]),
-                "score": np.concatenate([row[b] for row, b in zip(products, best)]),
-            })
-
-    return vectors.select("vec_id", "embedding").mapInPandas(score, "query_id long, vec_id long, score double")
-
-
 def dense_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k vectors with the largest inner product per query, exactly.
 
-    Every Arrow batch is scored with one matrix product and reduced to k rows per query before anything is shuffled.
-    Query vectors are broadcast in passes of about ``QUERIES_PER_PASS``; more queries mean more passes over the
-    vectors, not a larger broadcast.
+    Vectors are dealt over shards and queries over blocks of bounded size; each task meets one shard with one block and
+    returns k rows per query. Nothing passes through the driver, and a task's memory does not depend on the number
+    of queries.
     """
-    count = queries.count()
-    if count == 0:
-        return vectors.sparkSession.createDataFrame([], "query_id long, vec_id long, score double, rank int")
-    passes = -(-count // QUERIES_PER_PASS)
-    slot = F.pmod(F.xxhash64("query_id"), F.lit(passes))
-    rows = queries.select(F.col("query_id").cast("long"), "embedding")
-    blocks = [rows.where(slot == i).collect() for i in range(passes)]
-    scored = reduce(DataFrame.unionByName, [_one_pass(vectors, b, k) for b in blocks if b])
+    vectors = vectors.select(F.col("vec_id").cast("long"), "embedding")
+    queries = queries.select(F.col("query_id").cast("long"), "embedding")
+    shards = max(1, -(-vectors.count() // SHARD_VECTORS))
+    blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
+    left = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+
+    def score(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+        if held.empty or asked.empty:
+            return empty
+        ids, rows = held["vec_id"].to_numpy(), np.stack(held["embedding"].to_numpy()).astype(np.float64)
+        names, wanted = asked["query_id"].to_numpy(), np.stack(asked["embedding"].to_numpy()).astype(np.float64)
+        found = []
+        for at in range(0, len(wanted), PRODUCT_QUERIES):
+            for name, scores in zip(names[at : at + PRODUCT_QUERIES], np.round(wanted[at : at + PRODUCT_QUERIES] @ rows.T, 9), strict=True):
+                # all that reach the k-th score, then by score and identifier
+                keep = np.flatnonzero(scores >= np.partition(scores, -k)[-k]) if len(scores) > k else np.arange(len(scores))
+                keep = keep[np.lexsort((ids[keep], -scores[keep]))][:k]
+                found.append(pd.DataFrame({"query_id": name, "vec_id": ids[keep], "score": scores[keep]}))
+        return pd.concat(found)
+
+    scored = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(score, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
@@ -88,7 +73,7 @@ def bm25_scores(docs: DataFrame, queries: DataFrame) -> DataFrame:
     """
     tokens = docs.select("doc_id", whitespace_tokens(F.col("text")).alias("tokens"))
     corpus = tokens.agg(F.struct(F.count("*").alias("n"), F.avg(F.size("tokens")).alias("avgdl")).alias("c")).scalar()
-    postings = (
+    postings = settle(
         exploded(tokens, "tokens", "term", "doc_id", F.size("tokens").alias("dl"))
         .groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
     )
@@ -196,23 +181,17 @@ def history_text(turns: DataFrame) -> DataFrame:
 
 
 def prompt(question: Column, context: Column, history: Column) -> Column:
-    head = F.when(F.coalesce(context, F.lit("")) == "", "Context: (no relevant context retrieved)").otherwise(
-        F.concat(F.lit("Context:\n"), context)
+    head = F.when(F.coalesce(context, F.lit("")) == "", C.NO_CONTEXT).otherwise(
+        F.concat(F.lit(C.CONTEXT_HEAD), context)
     )
-    past = F.when(F.coalesce(history, F.lit("")) != "", F.concat(F.lit("Conversation so far:\n"), history))
-    return F.concat_ws("\n\n", head, past, F.concat(F.lit("Question: "), question))
+    past = F.when(F.coalesce(history, F.lit("")) != "", F.concat(F.lit(C.HISTORY_HEAD), history))
+    return F.concat_ws("\n\n", head, past, F.concat(F.lit(C.QUESTION_HEAD), question))
 
 
 def fallback_answer(question: Column, context: Column) -> Column:
     """Answer template for when no generator is configured."""
-    nothing = F.lit(
-        "I don't have an LLM provider available right now, and no relevant indexed context was found for this question."
-    )
-    found = F.concat(
-        F.lit("No LLM provider is available/configured, so here is the most relevant retrieved context for your question ('"),
-        question, F.lit("'):\n\n"), F.substring(context, 1, 1000),
-    )
-    return F.when(F.coalesce(context, F.lit("")) == "", nothing).otherwise(found)
+    found = F.concat(F.lit(C.FALLBACK_HEAD), question, F.lit(C.FALLBACK_JOIN), F.substring(context, 1, 1000))
+    return F.when(F.coalesce(context, F.lit("")) == "", C.NO_ANSWER).otherwise(found)
 
 
 # ---- caches and manifests --------------------------------------------------------------------------------------

@@ -10,6 +10,7 @@ from staylytics.functions import keys
 from staylytics.functions.dates import is_weekend
 from staylytics.operators.ordering import with_global_index
 from staylytics.sources.bookings import HASH_COLUMNS
+from staylytics.session import settle
 
 FACT_ORDER = ["arrival_date", "hotel", "lead_time", "adr_cents", "row_hash"]
 
@@ -151,7 +152,7 @@ def foreign_key_check(name: str, child: DataFrame, child_key: str, parent: DataF
     """Distinct child keys missing from the parent: count and the five smallest."""
     wanted = child.select(F.col(child_key).alias("k")).where("k is not null").distinct()
     present = parent.select(F.col(parent_key).alias("k")).distinct()
-    orphans = wanted.join(present, "k", "left_anti")
+    orphans = settle(wanted.join(present, "k", "left_anti"))
     sample = orphans.orderBy("k").limit(5).agg(F.concat_ws(",", F.sort_array(F.collect_list("k"))))
     return orphans.agg(F.count("*").alias("orphan_count")).select(
         F.lit(name).alias("fk_name"), "orphan_count", sample.scalar().alias("sample_orphans")

@@ -36,10 +36,10 @@ def mart_sentence(name: str) -> Column:
     return F.concat(*[F.lit(p) if i % 2 == 0 else F.col(p).cast("string") for i, p in enumerate(pieces)])
 
 
-def mart_documents(mart: DataFrame, name: str, max_rows: int = 200) -> DataFrame:
-    """The newest rows of a mart as sentences with metadata."""
+def mart_documents(mart: DataFrame, name: str, max_rows: int | None = None) -> DataFrame:
+    """The rows of a mart as sentences with metadata; with ``max_rows`` only the newest."""
     tie = [c for c in ("branch_id", "department_name") if c in mart.columns]
-    newest = mart.orderBy(F.desc("date"), *tie).limit(max_rows)
+    newest = mart if max_rows is None else mart.orderBy(F.desc("date"), *tie).limit(max_rows)
     metadata = F.create_map(
         F.lit("source"), F.lit(name), F.lit("doc_type"), F.lit("warehouse"), F.lit("branch_id"),
         F.col("branch_id").cast("string"), F.lit("date"), F.col("date").cast("string"),

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staylytics import constants as C
 from staylytics.operators import cleaning, features, marts, monitoring, warehouse
 from staylytics.plans import ml
 from staylytics.sources.bookings import bookings, raw_bookings
@@ -93,7 +94,9 @@ def train_domain(lake: Lake, domain: str, sizes: dict[str, tuple[int, int]], pat
     rows, cal = bookings(lake), calendar(lake)
     if domain == "churn":
         df = ml.churn_table(warehouse.dim_guest(rows), warehouse.fact_rows(rows)).persist()
-        models = {k: ml.fit_churn(df, k, sizes["forest" if k == "random_forest" else "churn"]) for k in ("random_forest", "boosted")}
+        kinds = ["random_forest", "boosted"]
+        fits = ml.side_by_side(lambda k: ml.fit_churn(df, k, sizes["forest" if k == "random_forest" else "churn"]), kinds)
+        models = dict(zip(kinds, fits, strict=True))
         results = [ml.evaluate_churn(m, df, f"churn_{k}") for k, m in models.items()]
     elif domain == "restaurant":
         df = ml.restaurant_table(marts.mart_restaurant_daily(lake), cal).persist()
@@ -102,14 +105,14 @@ def train_domain(lake: Lake, domain: str, sizes: dict[str, tuple[int, int]], pat
     else:
         if domain == "occupancy":
             df = ml.occupancy_table(marts.daily_occupancy(warehouse.fact_rows(rows)), cal)
-            inputs, label = ml.OCCUPANCY_FEATURES, "occupancy_pct"
+            inputs, label = C.OCCUPANCY_FEATURES, "occupancy_pct"
         elif domain == "pricing":
             daily = marts.daily_occupancy(warehouse.fact_rows(rows))
             df = ml.scaled_prices(ml.pricing_table(daily, cal, warehouse.dim_room_type(rows)))
-            inputs, label = ml.PRICING_FEATURES, "avg_daily_rate"
+            inputs, label = C.PRICING_FEATURES, "avg_daily_rate"
         elif domain == "staffing":
             df = ml.staffing_table(marts.mart_staff_daily(lake), cal)
-            inputs, label = ml.STAFFING_FEATURES, "present_employees"
+            inputs, label = C.STAFFING_FEATURES, "present_employees"
         else:
             raise ValueError(f"unknown domain {domain}")
         df = df.persist()
@@ -124,6 +127,11 @@ def train_domain(lake: Lake, domain: str, sizes: dict[str, tuple[int, int]], pat
     return lake.spark.read.schema("task string, model_name string, metric string, value double").json(f"{path}/latest_{domain}.json")
 
 
+def train_domains(lake: Lake, domains: list[str], sizes: dict[str, tuple[int, int]], path: str) -> DataFrame:
+    """The metrics of several domains, trained side by side."""
+    return reduce(DataFrame.unionByName, ml.side_by_side(lambda d: train_domain(lake, d, sizes, f"{path}/{d}"), domains))
+
+
 def leaderboard(metrics: DataFrame) -> DataFrame:
     """Best model per task by its primary metric: ROC-AUC for churn, MAPE elsewhere."""
     churn = F.col("task") == "churn"

@@ -23,6 +23,8 @@ def get_session(app: str = "staylytics", cores: str | int | None = None) -> Spar
     )
     if cores is not None:
         builder = builder.master(f"local[{cores}]").config("spark.ui.enabled", "false")
+        # small inputs are cut in as many splits as there are cores
+        builder = builder.config("spark.sql.files.minPartitionNum", str(cores))
         builder = builder.config("spark.sql.shuffle.partitions", os.environ.get("STAY_SHUFFLE_PARTITIONS", str(cores)))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -41,9 +41,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def save_both(df: DataFrame, path: str) -> None:
-    """Parquet for engines, CSV for people."""
+    """Parquet for engines, CSV for people; the rows are computed once and the CSV is written from the parquet."""
     df.write.mode("overwrite").parquet(f"{path}/parquet")
-    write_csv(df, f"{path}/csv")
+    write_csv(df.sparkSession.read.schema(df.schema).parquet(f"{path}/parquet"), f"{path}/csv")
 
 
 def append_log(df: DataFrame, path: str) -> None:

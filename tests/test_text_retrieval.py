@@ -48,7 +48,8 @@ def test_markdown_sections(spark):
 
 @pytest.mark.parametrize("per_pass", [4096, 2])
 def test_dense_top_k_with_many_copies(spark, monkeypatch, per_pass):
-    monkeypatch.setattr(retrieval, "QUERIES_PER_PASS", per_pass)
+    monkeypatch.setattr(retrieval, "BLOCK_QUERIES", per_pass)
+    monkeypatch.setattr(retrieval, "SHARD_VECTORS", 100)
     rng = np.random.default_rng(1)
     m = rng.normal(size=(300, 8)).astype("float32")
     m[::3] = m[0]  # a third of the vectors are copies
