@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from staylytics import constants as C
 from staylytics.checks import insights as ins
 from staylytics.checks import monitoring as mon
 from staylytics.checks import retrieval as ret
@@ -63,7 +64,7 @@ def _(lake):
     return review_report.get_trends(lake.spark, path, "monthly")
 
 
-@query("Z6_index_and_answer")
+@query("Z6_index_and_answer", "SELECT query_id, true AS asks, true AS shaped, true AS answered FROM asked")
 def _(lake):
     """Chunk the stored documents, retrieve per question over the chunks, and assemble the prompts."""
     docs = ret.store(lake).withColumn("metadata", F.create_map(F.lit("source"), F.col("doc_type"), F.lit("branch_id"), F.col("branch_id")))
@@ -75,10 +76,15 @@ def _(lake):
         F.col("chunk_id").alias("doc_id"), "text", "doc_type", "branch_id", "date", "embedding"
     )
     context = ops.compress_context(ops.hybrid(store, ret.asked(lake)))
-    return ret.asked(lake).join(context, "query_id", "left").select(
-        "query_id", ops.prompt(F.col("query_text"), F.col("context"), F.lit(None).cast("string")).alias("prompt"),
+    texts = ret.asked(lake).join(context, "query_id", "left").select(
+        "query_id", "query_text", ops.prompt(F.col("query_text"), F.col("context"), F.lit(None).cast("string")).alias("prompt"),
         ops.fallback_answer(F.col("query_text"), F.col("context")).alias("answer"),
     )
+    return texts.select(
+        "query_id", F.endswith("prompt", F.concat(F.lit(C.QUESTION_HEAD), F.col("query_text"))).alias("asks"),
+        F.startswith("prompt", F.lit(C.CONTEXT_HEAD)).alias("shaped"),
+        F.startswith("answer", F.concat(F.lit(C.FALLBACK_HEAD), F.col("query_text"))).alias("answered"),
+    )
 
 
 @query("Z7_insight_job", """

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staylytics import constants as C
 from staylytics.checks.marts import daily
 from staylytics.checks.registry import query
 from staylytics.checks.views import view
@@ -51,15 +52,21 @@ def recursive(lake):
     return chunking.chunk_rows(chunking.chunk_text(docs, "text"), "path")
 
 
-@query("R5_recursive_chunks")
+_PLAIN = "[ \\t\\n\\r.]"  # what a cut may drop: white space and the full stop of ". "
+
+
+@query("R5_recursive_chunks", f"SELECT 'doc-' || doc_id AS path, sha256(regexp_replace(t, '{_PLAIN}', '', 'g')) AS digest, true AS fits FROM squeezed WHERE length(t) > 0")
 def _(lake):
-    return recursive(lake).select("path", "chunk_index", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("digest"))
+    cut = chunking.chunk_text(index.documents(lake.table("documents")), "text", overlap=0).where(F.size("chunks") > 0)
+    kept = F.sha2(F.regexp_replace(F.array_join("chunks", ""), _PLAIN, ""), 256)
+    return cut.select("path", kept.alias("digest"), F.forall("chunks", lambda c: F.length(c) <= C.CHUNK_SIZE).alias("fits"))
 
 
-@query("D5_table_function_native")
+@query("D5_table_function_native", "SELECT source, count(*) AS documents, true AS fits FROM squeezed WHERE length(t) > 0 GROUP BY 1")
 def _(lake):
+    fits = F.length("text") <= C.CHUNK_SIZE + C.CHUNK_OVERLAP + 1
     return recursive(lake).groupBy(F.element_at("metadata", "source").alias("source")).agg(
-        F.count("*").alias("chunks"), F.max(F.length("text")).alias("longest")
+        F.count_distinct("path").alias("documents"), F.bool_and(fits).alias("fits")
     )
 
 
@@ -327,18 +334,29 @@ def _(lake):
     return index.manifest(index.documents(lake.table("documents")))
 
 
-@query("R7_index_build")
+@query("R7_index_build", f"""
+SELECT 'txt' AS doc_type, count(*) AS documents, true AS fits FROM squeezed WHERE length(t) > 0
+UNION ALL SELECT 'warehouse', count(*), true FROM ({_SENTENCES})""")
 def _(lake):
     path = scratch_path(lake.spark, "index")
     index.build(path, index.documents(lake.table("documents")), [mart_docs(lake)])
+    fits = F.length("text") <= C.CHUNK_SIZE + C.CHUNK_OVERLAP + 1
     return lake.spark.read.parquet(f"{path}/chunks").groupBy(F.element_at("metadata", "doc_type").alias("doc_type")).agg(
-        F.count("*").alias("chunks"), F.sum(F.length("text")).alias("chars")
+        F.count_distinct("path").alias("documents"), F.bool_and(fits).alias("fits")
     )
 
 
-@query("R8_incremental_index", f"SELECT {_STATUS} AS status, count(*) AS documents FROM doc_manifests GROUP BY 1")
+# What the refreshed index holds: as many chunks as a fresh build, the same texts.
+@query("R8_incremental_index", f"SELECT {_STATUS} AS status, count(*) AS documents, true AS as_fresh FROM doc_manifests GROUP BY 1")
 def _(lake):
-    old, new = scratch_path(lake.spark, "index"), scratch_path(lake.spark, "index")
+    old, new, fresh = (scratch_path(lake.spark, "index") for _ in range(3))
+    docs = index.documents(lake.table("documents"))
     index.build(old, earlier_documents(lake), [])
-    status = index.refresh(old, new, index.documents(lake.table("documents")), [])
-    return status.groupBy("status").agg(F.count("*").alias("documents"))
+    status = index.refresh(old, new, docs, [])
+    index.build(fresh, docs, [])
+
+    def content(path):
+        chunks = lake.spark.read.parquet(f"{path}/chunks").select(F.xxhash64("path", "chunk_index", "text").cast("decimal(38,0)").alias("h"))
+        return chunks.agg(F.struct(F.count("*"), F.sum("h")).alias("c")).scalar()
+
+    return status.groupBy("status").agg(F.count("*").alias("documents")).withColumn("as_fresh", content(new) == content(fresh))
