@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -10,7 +11,7 @@ from staylytics.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return get_session("staylytics-tests", cores=8)
+    return get_session("staylytics-tests", cores=os.environ.get("TEST_CPUS", "8"))
 
 
 def values(df, *columns):
