@@ -7,9 +7,10 @@ from staylytics.checks.registry import query
 from staylytics.checks.views import calendar_columns, hash63, view
 from staylytics.operators import features as ops
 from staylytics.operators import marts, warehouse, windows
-from staylytics.session import settle
+from staylytics.session import scratch_path, settle
 from staylytics.sources.bookings import bookings
-from staylytics.sources.calendar import calendar
+from staylytics.sources.calendar import calendar, read_calendar
+from staylytics.sources.io import write_csv
 
 _DOUBLES = ["revenue_7day_avg", "occupancy_7day_avg", "occupancy_30day_avg"]
 # Quotients of exact integers are the same in both engines and stay unrounded (rounding them could hit a tie).
@@ -56,7 +57,9 @@ def _(lake):
 
 @query("S3_calendar_dimension", "SELECT date::VARCHAR AS date, is_public_holiday, is_local_event, event_name FROM calendar")
 def _(lake):
-    return calendar(lake)
+    path = scratch_path(lake.spark, "calendar")
+    write_csv(calendar(lake), path)
+    return read_calendar(lake.spark, path)
 
 
 @query("J4_calendar_left_join", f"""

@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from staylytics import constants as C
+from staylytics.checks import features
 from staylytics.checks import insights as ins
 from staylytics.checks import monitoring as mon
 from staylytics.checks import retrieval as ret
 from staylytics.checks.models import SIZES
-from staylytics.checks.registry import query
+from staylytics.checks.registry import ORACLES, query
 from staylytics.operators import insights
 from staylytics.operators import retrieval as ops
 from staylytics.operators.chunking import chunk_rows, chunk_text
@@ -39,12 +40,18 @@ def _(lake):
     return jobs.warehouse_job(lake, scratch_path(lake.spark, "warehouse"))
 
 
-@query("Z3_feature_job", """
-SELECT 'occupancy' AS domain, count(*) AS row_count FROM daily_base
-UNION ALL SELECT 'pricing', count(*) * (3 + (SELECT (count(*) > 0)::INT FROM guest_rows WHERE room_key = 0)) FROM daily_base
-UNION ALL SELECT 'restaurant', count(*) FROM branch_days UNION ALL SELECT 'staff', count(*) FROM mart_staff UNION ALL SELECT 'churn', count(*) FROM dim_guest""")
+_REPORTED = features._CORR_COLUMNS
+
+
+@query("Z3_feature_job", f"""
+SELECT 'occupancy' AS domain, 'rows' AS name, count(*)::DOUBLE AS value FROM daily_base
+UNION ALL SELECT 'pricing', 'rows', (count(*) * (3 + (SELECT (count(*) > 0)::INT FROM guest_rows WHERE room_key = 0)))::DOUBLE FROM daily_base
+UNION ALL SELECT 'restaurant', 'rows', count(*)::DOUBLE FROM branch_days UNION ALL SELECT 'staff', 'rows', count(*)::DOUBLE FROM mart_staff
+UNION ALL SELECT 'churn', 'rows', count(*)::DOUBLE FROM dim_guest
+UNION ALL {' UNION ALL '.join(f"SELECT 'occupancy', 'mean of {c}', round(avg({c}), 3) FROM occ_features" for c in _REPORTED)}
+UNION ALL SELECT 'occupancy', feature_a || ' with ' || feature_b, abs_corr FROM ({ORACLES['A12_top_correlations']})""")
 def _(lake):
-    return jobs.feature_job(lake, scratch_path(lake.spark, "features"))
+    return jobs.feature_job(lake, scratch_path(lake.spark, "features"), _REPORTED)
 
 
 @query("Z4_train_and_leaderboard", """

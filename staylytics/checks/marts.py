@@ -7,8 +7,9 @@ from staylytics.operators import features
 from staylytics.operators import marts as ops
 from staylytics.operators import warehouse
 from staylytics.operators.windows import ordered
+from staylytics.session import scratch_path
 from staylytics.sources.bookings import bookings
-from staylytics.sources.sql import run_query
+from staylytics.sources.sql import run_query_file
 
 
 def daily(lake):
@@ -85,8 +86,10 @@ FROM mart_staff WHERE branch_id = 1 AND date BETWEEN DATE '2024-01-05' AND DATE
 def _(lake):
     text = """SELECT branch_id, department_name, date, scheduled_employees, present_employees FROM {mart}
       WHERE branch_id = :branch_id AND date BETWEEN :start_date AND :end_date ORDER BY department_name, date"""
-    return run_query(
-        lake.spark, text, {"branch_id": 1, "start_date": "2024-01-05", "end_date": "2024-01-25"},
+    path = scratch_path(lake.spark, "sql")
+    lake.spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    return run_query_file(
+        lake.spark, path, {"branch_id": 1, "start_date": "2024-01-05", "end_date": "2024-01-25"},
         mart=ops.mart_staff_daily(lake),
     )
 

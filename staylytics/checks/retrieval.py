@@ -329,9 +329,13 @@ def _(lake):
     return ops.manifest_diff(index.manifest(earlier_documents(lake)), index.manifest(index.documents(lake.table("documents"))))
 
 
-@query("S12_document_hashes", "SELECT 'doc-' || doc_id AS path, sha256(text) AS hash FROM documents")
+# One text file per document; the writer ends each with a newline.
+@query("S12_document_hashes", "SELECT 'doc-' || doc_id AS path, sha256(text || chr(10)) AS hash FROM documents")
 def _(lake):
-    return index.manifest(index.documents(lake.table("documents")))
+    folder = scratch_path(lake.spark, "texts")
+    lake.table("documents").select("doc_id", "text").write.partitionBy("doc_id").text(folder)
+    found = index.scan_text_files(lake.spark, folder)
+    return found.select(F.concat(F.lit("doc-"), F.regexp_extract("path", r"doc_id=(\d+)", 1)).alias("path"), "hash")
 
 
 @query("R7_index_build", f"""

@@ -70,10 +70,7 @@ def documents(table: DataFrame) -> DataFrame:
 
 def scan_text_files(spark: SparkSession, folder: str, suffix: str = ".txt") -> DataFrame:
     """Whole text files below a folder with their content hash."""
-    files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
-        .text(folder)
-    )
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
     metadata = F.create_map(F.lit("source"), F.col("_metadata.file_path"), F.lit("doc_type"), F.lit(suffix.lstrip(".")))
     return files.select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"), metadata.alias("metadata"),

@@ -62,8 +62,9 @@ def warehouse_job(lake: Lake, path: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [*checks, *orphans])
 
 
-def feature_job(lake: Lake, path: str) -> DataFrame:
-    """Write the five feature tables; the daily mart is stored once and read by all that need it."""
+def feature_job(lake: Lake, path: str, report_columns: list[str]) -> DataFrame:
+    """Write the five feature tables and report their sizes, with means and strongest correlations of the occupancy
+    table; the daily mart is stored once and read by all that need it."""
     spark, rows, cal = lake.spark, bookings(lake), calendar(lake)
     fact = warehouse.fact_rows(rows)
     marts.daily_occupancy(fact).write.mode("overwrite").parquet(f"{path}/daily")
@@ -77,9 +78,15 @@ def feature_job(lake: Lake, path: str) -> DataFrame:
     }
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(f"{path}/{name}")
-    return reduce(DataFrame.unionByName, [
-        spark.read.parquet(f"{path}/{n}").agg(F.count("*").alias("row_count")).select(F.lit(n).alias("domain"), "row_count")
+    counts = [
+        spark.read.parquet(f"{path}/{n}").agg(F.count("*").cast("double").alias("value")).select(F.lit(n).alias("domain"), F.lit("rows").alias("name"), "value")
         for n in tables
+    ]
+    statistics, correlations = feature_reports(path, lake, "occupancy", report_columns)
+    return reduce(DataFrame.unionByName, [
+        *counts,
+        statistics.select(F.lit("occupancy").alias("domain"), F.concat(F.lit("mean of "), "column_name").alias("name"), F.col("mean").alias("value")),
+        correlations.select(F.lit("occupancy").alias("domain"), F.concat_ws(" with ", "feature_a", "feature_b").alias("name"), F.col("abs_corr").alias("value")),
     ])
 
 

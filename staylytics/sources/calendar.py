@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from staylytics.sources.lake import Lake
@@ -11,6 +11,15 @@ HOLIDAYS = {(1, 1): "New Year", (5, 1): "Labour Day", (12, 25): "Christmas", (12
 LOCAL_EVENT_DAY = 15
 
 
+SCHEMA = "date date, is_public_holiday int, is_local_event int, event_name string"
+
+
+def read_calendar(spark: SparkSession, path: str) -> DataFrame:
+    """Calendar dimension from CSV with a header; dates are ISO and a malformed line fails the read."""
+    options = {"header": True, "enforceSchema": False, "dateFormat": "yyyy-MM-dd", "mode": "FAILFAST"}
+    return spark.read.schema(SCHEMA).options(**options).csv(path)
+
+
 def calendar(lake: Lake) -> DataFrame:
     """One row per ship date with holiday and local-event flags."""
     day = F.col("date")

@@ -11,5 +11,5 @@ def run_query(spark: SparkSession, text: str, params: dict | None = None, **fram
 
 
 def run_query_file(spark: SparkSession, path: str, params: dict | None = None, **frames: DataFrame) -> DataFrame:
-    with open(path, encoding="utf-8") as handle:
-        return run_query(spark, handle.read(), params, **frames)
+    """The same for a file in any store that Spark reads."""
+    return run_query(spark, spark.read.text(path, wholetext=True).first()[0], params, **frames)
