@@ -103,20 +103,26 @@ def churn_scored(lake):
 
 
 def review_findings(lake):
-    rows = reviews(lake)
+    rows = settle(reviews(lake).select("hotel_id", "date", "rating", "review"))
     trends = rv.csat_trend(rv.csat_by_period(rows, "weekly"))
     complaints = rv.complaint_counts(rv.with_complaints(rows))
     return ops.guest_experience(rv.csat_by_hotel(rows), complaints, trends)
 
 
-def all_findings(lake):
-    """Findings of all rules. The day-grain marts are stored once and read by every rule that needs them."""
-    revenue_mart = settle(marts.mart_revenue_daily(lake))
-    parts = [
-        ops.revenue(revenue_mart), ops.occupancy(marts.mart_occupancy_daily(daily(lake))), ops.pricing(revenue_mart),
-        ops.restaurant_waste(marts.mart_restaurant_daily(lake)), ops.staff(marts.mart_staff_daily(lake)),
-        ops.anomaly(revenue_mart, "total_revenue"), ops.churn(churn_scored(lake)), review_findings(lake),
-    ]
+def all_findings(lake, categories=None):
+    """Findings of all rules, or of the rules of some categories only: others are not computed at all.
+
+    The order lines are summed per branch and day once, and that table is stored and read by all rules that need it.
+    """
+    days = settle(marts.branch_days(lake)) if categories is None or set(categories) & {"revenue", "pricing", "anomaly", "restaurant"} else None
+    revenue_mart = settle(marts.mart_revenue_daily(lake, days)) if days is not None else None
+    rules = {
+        "revenue": lambda: ops.revenue(revenue_mart), "occupancy": lambda: ops.occupancy(marts.mart_occupancy_daily(daily(lake))),
+        "pricing": lambda: ops.pricing(revenue_mart), "restaurant": lambda: ops.restaurant_waste(marts.mart_restaurant_daily(lake, days)),
+        "staff": lambda: ops.staff(marts.mart_staff_daily(lake)), "anomaly": lambda: ops.anomaly(revenue_mart, "total_revenue"),
+        "churn": lambda: ops.churn(churn_scored(lake)), "guest_experience": lambda: review_findings(lake),
+    }
+    parts = [rule() for category, rule in rules.items() if categories is None or category in categories]
     return settle(reduce(DataFrame.unionByName, parts))
 
 
@@ -174,7 +180,7 @@ def _(lake):
 
 @query("I10_category_and_severity_filter", "SELECT * FROM all_findings WHERE category = 'staff' AND severity IN ('high', 'critical')")
 def _(lake):
-    return ops.with_min_severity(ops.with_category(all_findings(lake), "staff"), "high").select(*SHOWN)
+    return ops.with_min_severity(ops.with_category(all_findings(lake, ["staff"]), "staff"), "high").select(*SHOWN)
 
 
 @query("I11_recommendation_text", """

@@ -87,9 +87,9 @@ def branch_days(lake: Lake) -> DataFrame:
     )
 
 
-def mart_revenue_daily(lake: Lake) -> DataFrame:
+def mart_revenue_daily(lake: Lake, days: DataFrame | None = None) -> DataFrame:
     room = F.col("lunch_cents") + F.col("dinner_cents")
-    mart = branch_days(lake).select(
+    mart = (branch_days(lake) if days is None else days).select(
         "branch_id", "date", (F.col("total_cents") / 100).alias("total_revenue"), (room / 100).alias("room_revenue"),
         (F.col("breakfast_cents") / 100).alias("fb_revenue"),
         (F.col("total_cents") / (F.col("items_sold") * 100)).alias("avg_daily_rate"),
@@ -100,8 +100,8 @@ def mart_revenue_daily(lake: Lake) -> DataFrame:
     return mart.withColumn("revenue_7day_avg", F.coalesce(mean, F.col("total_revenue")))
 
 
-def mart_restaurant_daily(lake: Lake) -> DataFrame:
-    return branch_days(lake).select(
+def mart_restaurant_daily(lake: Lake, days: DataFrame | None = None) -> DataFrame:
+    return (branch_days(lake) if days is None else days).select(
         "branch_id", "date", "total_orders", "items_sold", (F.col("total_cents") / 100).alias("total_revenue"),
         (F.col("total_cents") / (F.col("total_orders") * 100)).alias("avg_order_value"),
         (F.col("total_cents") / (F.col("items_sold") * 100)).alias("avg_item_value"),
