@@ -93,7 +93,7 @@ def mix_report(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: flo
     # whether a copy is taken only depends on how far its place is in the queue: one end for each copy of a source
     ends = _queues(rows, targets).groupBy("source").agg(*[F.min(F.when(~_taken(k), F.col("place"))).alias(f"end{k}") for k in (0, 1)])
     plan = targets.join(ends.withColumnRenamed("source", "_e"), targets["source"].eqNullSafe(F.col("_e")), "left").drop("_e")
-    plan = plan.withColumnRenamed("source", "_p")
+    plan = settle(plan.withColumnRenamed("source", "_p"))  # its size is then known before the rows are placed by source
     copies = sum((F.coalesce(F.col("place") < F.col(f"end{k}"), F.lit(True)).cast("int") for k in (0, 1)), F.lit(0))
     both = rows.join(plan, rows["source"].eqNullSafe(F.col("_p")))
     return both.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"))
