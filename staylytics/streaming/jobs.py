@@ -96,18 +96,23 @@ def _gap_ids(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
 def batch_sessions(events: DataFrame) -> DataFrame:
     """The same sessions in batch, balanced for very active users.
 
-    Events are first sessionized within (user, day), which spreads a heavy user over the days; the much fewer partial
-    sessions are then joined across day borders.
+    Rows are placed by (user, time), so a user's events spread over many slices, and sessionized inside each. Only the
+    first and the last session of a user in a slice can go on in another one; these, at most two for each slice
+    that a user reaches into, are joined across the borders.
     """
-    days = _gap_ids(events.select("user_id", "ts", F.to_date("ts").alias("day")), ["user_id", "day"], "ts", "ts")
-    partial = days.groupBy("user_id", "day", "_s").agg(
+    placed = settle(events.select("user_id", "ts").repartitionByRange("user_id", "ts").withColumn("_slice", F.spark_partition_id()))
+    keys = ["_slice", "user_id"]
+    partial = _gap_ids(placed, keys, "ts", "ts").groupBy(*keys, "_s").agg(
         F.min("ts").alias("first"), F.max("ts").alias("last"), F.count("*").alias("n")
-    ).drop("_s")
-    whole = _gap_ids(partial, ["user_id"], "first", "last").groupBy("user_id", "_s").agg(
-        F.min("first").alias("session_start"), F.max("last").alias("last"), F.sum("n").alias("n")
     )
-    return whole.select(
-        "user_id", "session_start", (F.col("last") + F.expr(f"INTERVAL {SESSION_GAP}")).alias("session_end"), "n"
+    newest = F.max("_s").over(Window.partitionBy(*keys))
+    partial = settle(partial.withColumn("edge", (F.col("_s") == 0) | (F.col("_s") == newest)).drop("_s"))
+    whole = _gap_ids(partial.where("edge"), ["user_id"], "first", "last").groupBy("user_id", "_s").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n")
+    )
+    both = whole.select("user_id", "first", "last", "n").union(partial.where("NOT edge").select("user_id", "first", "last", "n"))
+    return both.select(
+        "user_id", F.col("first").alias("session_start"), (F.col("last") + F.expr(f"INTERVAL {SESSION_GAP}")).alias("session_end"), "n"
     )
 
 

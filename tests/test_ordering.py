@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from conftest import values
 from pyspark.sql import functions as F
 
 from staylytics.operators.joins import lookup_join, salted_join
@@ -58,3 +59,18 @@ def test_joins_keep_every_row_of_a_hot_key(spark, skewed):
         assert sorted(r["id"] for r in got.collect()) == sorted(r[2] for r in rows if r[0] in ("hot", "k1", "k2"))
     left = lookup_join(df, right, "k")
     assert left.count() == len(rows) and left.where("k NOT IN ('hot', 'k1', 'k2') AND name IS NOT NULL").count() == 0
+
+
+def test_null_is_a_group_of_its_own(spark):
+    rows = [("a", 1.0), ("a", 3.0), (None, 5.0), (None, 7.0), (None, 9.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    assert values(exact_quantile(df, "v", 0.5, ["k"]), "k", "quantile") == [("a", 2.0), (None, 7.0)]
+    running = with_running_totals(df, ["k"], ["v"], {"upto": F.col("v")})
+    assert values(running, "k", "upto") == sorted([("a", 1.0), ("a", 4.0), (None, 5.0), (None, 12.0), (None, 21.0)], key=repr)
+
+
+def test_lookup_join_keeps_null_keys_apart(spark):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (4, None)], "id long, k string")
+    right = spark.createDataFrame([("a", 10), (None, 99)], "k string, v int")
+    assert values(lookup_join(left, right, "k"), "id", "v") == [(1, 10), (2, None), (3, None), (4, None)]
+    assert values(lookup_join(left, right, "k", "inner"), "id", "v") == [(1, 10)]
