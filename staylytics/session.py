@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -32,6 +34,7 @@ def get_session(app: str = "staylytics", cores: str | int | None = None) -> Spar
 
 
 _local_scratch: dict[str, str] = {}
+_made: dict[str, list[str]] = {}  # paths handed out, by application
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -43,13 +46,24 @@ def scratch_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _local_scratch:
-        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="staylytics-")
+        _local_scratch[context.applicationId] = folder = tempfile.mkdtemp(prefix="staylytics-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return _local_scratch[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared scratch folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete every scratch path of this application; call it when the results of a job have been written or read."""
+    context = spark.sparkContext
+    for name in _made.pop(context.applicationId, []):
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -6,12 +6,14 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from staylytics.session import get_session  # noqa: E402
+from staylytics.session import get_session, release_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    return get_session("staylytics-tests", cores=os.environ.get("TEST_CPUS", "8"))
+    session = get_session("staylytics-tests", cores=os.environ.get("TEST_CPUS", "8"))
+    yield session
+    release_scratch(session)
 
 
 def values(df, *columns):

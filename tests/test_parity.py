@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from staylytics.sources.lake import TABLES
 
-ROOT = "/root/testdata/sf0.001"
+ROOT = os.environ.get("SMOKE_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 SAMPLE = """A1_dedupe_full_row A2_dim_date A5_dim_guest A6_daily_occupancy A9_exact_quantile A14_csat A18_roc_auc A19_prediction_drift
 A20_column_drift A21_dataset_fingerprint A23_latency_panel D1_row_key_hash F1_date_parts F7_hashes F10_word_arrays G1_retrain_signal
