@@ -153,7 +153,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", ["op2_block_topk", "op5_source_mix", "op6_chat"])
+@pytest.mark.parametrize("key", ["op2_block_topk", "op4_ngram_join", "op5_source_mix", "op6_chat"])
 def test_matches_duckdb(spark, duck, key):
     plain = lambda v: round(v, 9) + 0.0 if isinstance(v, float) else v
     cursor = duck.execute(entry.oracle_sql()[key])
