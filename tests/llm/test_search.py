@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+import __spark_entry__ as entry
 from staylytics.llm import block_topk, vptree
 
 SCHEMA = "vec_id long, embedding array<float>, score string"
@@ -90,3 +91,15 @@ def test_few_rows_and_empty_tables(spark):
         assert search(one.limit(0)).collect() == []
     two = spark.createDataFrame([(0, [1.0, 2.0], "x"), (3, [1.0, 1.0], "x")], SCHEMA)
     assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in vptree.nearest(two).collect()] == [(0, 1, 3, 3.0)]
+
+
+def test_recall_on_the_embeddings_table(spark):
+    root = "/root/testdata/sf0.1"
+    rows = spark.read.parquet(f"{root}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, vecs = [r[0] for r in rows], np.array([r[1] for r in rows], float)
+    want = best(ids, vecs, 20, 20)
+    got = {}
+    for r in entry.queries()["op1_vptree"](spark, root).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert got.keys() == want.keys()
+    assert sum(len(got[k] & {x for x, _ in v}) for k, v in want.items()) >= 0.99 * sum(map(len, want.values()))
