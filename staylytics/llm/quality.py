@@ -37,14 +37,22 @@ class Model:
 
 
 def features(column: pa.Array, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each text the hashed places of its token unigrams and bigrams and their unit-length log counts."""
+    """For each text the hashed places of its token n-grams and their unit-length log counts.
+
+    N-grams are unigrams, bigrams, and two patterns without regard to the words: a token equal to the one before it, or
+    to the second before it, as in lines that repeat a word.
+    """
     shift = np.uint64(64 - bits)
+    patterns = tx.mix(np.array([1, 2], np.uint64)) >> shift
     for _, data, offsets in tx.pieces(column):
         one, first = tx.tokens(data, offsets)
+        again = [np.concatenate([[0], np.cumsum(one[k:] == one[:-k])]) for k in (1, 2)]
         two = tx.mix(one[:-1] * np.uint64(0x9FB21C651E98DF25) + one[1:]) >> shift
         one = tx.mix(one) >> shift
         for a, b in zip(first[:-1], first[1:], strict=True):
             places, counts = np.unique(np.concatenate([one[a:b], two[a : max(a, b - 1)]]), return_counts=True)
+            repeats = np.array([c[max(a, b - k)] - c[a] if b - a > k else 0 for k, c in zip((1, 2), again, strict=True)])
+            places, counts = np.append(places, patterns[repeats > 0]), np.append(counts, repeats[repeats > 0])
             values = np.log1p(counts)
             norm = np.sqrt((values * values).sum())
             yield places, values / norm if norm else values
