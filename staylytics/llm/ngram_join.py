@@ -320,11 +320,14 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 75, den: int =
     routes = _routes(_keys(docs, shared, width, num, den, parts), shared, num, den)
 
     pivots = routes.select("pivot").distinct()
-    members = routes.union(pivots.select("pivot", F.col("pivot").alias("class"))).join(classes.select("class", "n"), "class")
+    members = settle(routes.union(pivots.select("pivot", F.col("pivot").alias("class"))).join(classes.select("class", "n"), "class"))
     weight = members.groupBy("pivot").agg(F.sum(F.col("n") + MEMBER_WEIGHT).alias("w"))
     chunks = F.ceil(F.col("w") / GROUP_WEIGHT).cast("long")
+    # few groups need more than one chunk; all others go on without being placed by their pivot
+    large = settle(weight.select("pivot", chunks.alias("chunks")).where("chunks > 1"))
+    one = F.coalesce("chunks", F.lit(1).cast("long"))
     groups = settle(
-        members.join(weight.select("pivot", chunks.alias("chunks"), "w"), "pivot").withColumn(
+        members.join(large, "pivot", "left").withColumn("chunks", one).withColumn(
             "chunk",
             F.explode(
                 F.when(F.col("class") == F.col("pivot"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(
