@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,12 @@ def get_session(app: str = "staylytics", cores: str | int | None = None) -> Spar
     return spark
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Let Python workers of this machine find the package where the driver found it; a cluster gets it by --py-files."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
+    return spark
+
+
 _local_scratch: dict[str, str] = {}
 _made: dict[str, list[str]] = {}  # paths handed out, by application
 
