@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from staylytics.llm import mixing, ngram_join, packing, quality
-from staylytics.session import settle
+from staylytics.session import reachable, settle
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least 0.7; the model is fitted on labelled rows of ``docs``."""
-    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.keep_good(docs, reachable(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: the one with the smallest doc_id."""
+    reachable(spark)
     return ngram_join.keep_one(docs)
 
 
@@ -25,6 +26,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bins of 2048 words."""
+    reachable(spark)
     return packing.pack(docs)
 
 
