@@ -169,6 +169,23 @@ def test_pages_table_against_its_article_element(spark):
         assert got[r["page_id"]] == "\n".join(b for b in blocks if b)
 
 
+def extracted(spark, pages):
+    df = spark.createDataFrame([(i, f"http://h/{i}", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in html_extract.extract_pages(df).collect()}
+
+
+def test_every_layout_and_every_size_of_page_is_aligned(spark):
+    pages = []
+    for k in range(5):  # five layouts of twelve pages, of which every fourth has over 400 elements
+        for i in range(12):
+            body = "".join(f"<p>words {j} of page {k} {i}</p>" for j in range(500 if i % 4 == 0 else 3))
+            pages.append(f"<body><div class=top{'xyzuv'[k]}>Site part {k} greets you</div><div class=b>{body}</div><div>All rights {k}</div>")
+    got = extracted(spark, pages)
+    assert all(got[n] == "\n".join(re.findall("<p>(.*?)</p>", p)) for n, p in enumerate(pages))
+    two = [f"<body><div>Our site greets you</div><div class=x><p>{w * 9} text of page {w}</p><p>{w * 8} more</p></div>" for w in "ab"]
+    assert extracted(spark, two) == {0: "aaaaaaaaa text of page a\naaaaaaaa more", 1: "bbbbbbbbb text of page b\nbbbbbbbb more"}
+
+
 def test_quality_on_held_out_rows(spark):
     got = entry.queries()["op9_quality"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
