@@ -174,6 +174,15 @@ def extracted(spark, pages):
     return {r["page_id"]: r["text"] for r in html_extract.extract_pages(df).collect()}
 
 
+def test_template_text_inside_articles_is_dropped(spark):
+    pages = [f"<article><h1>Title {w}</h1><p>{w} text of page {w} with its words</p><p>Call our shop now</p></article>" for w in "abcde"]
+    want = [f"Title {w}\n{w} text of page {w} with its words" for w in "abcde"]
+    assert extracted(spark, pages) == dict(enumerate(want))
+    assert [html_extract.extract(p, html_extract.induce(pages)) for p in pages] == want
+    copies = [f"<article><p>the same long article in all of them</p><p>{w}</p></article>" for w in "abcdefgh"]
+    assert extracted(spark, copies)[0] == "the same long article in all of them\na"
+
+
 def test_every_layout_and_every_size_of_page_is_aligned(spark):
     pages = []
     for k in range(5):  # five layouts of twelve pages, of which every fourth has over 400 elements
