@@ -195,6 +195,19 @@ def test_every_layout_and_every_size_of_page_is_aligned(spark):
     assert extracted(spark, two) == {0: "aaaaaaaaa text of page a\naaaaaaaa more", 1: "bbbbbbbbb text of page b\nbbbbbbbb more"}
 
 
+def test_class_words_are_evidence_only(spark):
+    para = "".join(f'<div class="elementor-widget-container"><p>words {k} of the text</p></div>' for k in range(4))
+    text = "\n".join(f"words {k} of the text" for k in range(4))
+    for page in (f"<article>{para}</article>", f'<div class="layout sidebar-right"><article>{para}</article></div>', f"<form><main>{para}</main></form>",
+                 f'<div class="layout sidebar-right"><div class="ad">Buy</div>{para}</div>'):
+        assert html_extract.extract(page, None) == text
+        assert extracted(spark, [page]) == {0: text}
+    pages = [f'<article><p>{w} is what page {w} tells us</p><div class="note">{w} notes</div><div class="alert">Call us</div><div class="share"><a>{w} {w}</a></div></article>' for w in "abc"]
+    want = {i: f"{w} is what page {w} tells us\n{w} notes" for i, w in enumerate("abc")}
+    assert extracted(spark, pages) == want
+    assert {i: html_extract.extract(p, html_extract.induce(pages)) for i, p in enumerate(pages)} == want
+
+
 def test_quality_on_held_out_rows(spark):
     got = entry.queries()["op9_quality"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
