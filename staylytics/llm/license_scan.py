@@ -1,15 +1,17 @@
-"""License scan: winnowed fingerprints of templates pick candidates, banded alignment reports spans and coverage.
-
-Templates and texts are sequences of words (runs of letters and digits, A-Z lower-cased). Of every ``WINDOW`` successive
-``GRAM``-word hashes the smallest is a fingerprint, so a common run of GRAM + WINDOW - 1 words always shares one. The
-templates' fingerprints form an inverted index; hits of a text on nearby diagonals of a template are one candidate. Its
-neighbourhood is aligned with the template inside a band around these diagonals. The template set is a parameter and
-bounds the index; texts are only mapped, never shuffled.
+"""License scan: words that a match cannot do without pick candidates, banded alignment reports spans and coverage.
+
+Templates and texts are sequences of words (runs of letters and digits, A-Z lower-cased). A match at ``least`` may miss
+n - ceil(least n) of a template's n words, so of any n - ceil(least n) + 1 places it holds one at least, whatever is inserted
+between. The fingerprints of a template are the words at so many of its places, rare ones among the templates first. They
+form an inverted index. The neighbourhoods of the hits of a text are aligned with the template inside a band around the
+diagonals hit, and what is left on both sides of an alignment again, until nothing reaches ``least``. The template set is a
+parameter and bounds the index; texts are only mapped, never shuffled.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import math
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -20,7 +22,6 @@ from pyspark.sql import functions as F
 
 from staylytics.llm import text as tx
 
-GRAM, WINDOW = 3, 3
 BAND = 8  # words an alignment may drift beyond the diagonals hit
 MATCH, OTHER, GAP = 2, -1, -1  # scores of the alignment
 
@@ -50,39 +51,26 @@ TEMPLATES = {
 class Index:
     names: list[str]
     words: list[np.ndarray]
-    places: dict[int, list[tuple[int, int]]]  # fingerprint: (template, place of its first word)
+    needs: list[int]  # equal words of a match
+    places: dict[int, list[tuple[int, int]]]  # fingerprint: (template, place)
     prints: np.ndarray  # all fingerprints, ascending
 
 
-def grams(hashed: np.ndarray) -> np.ndarray:
-    """Hashes of successive ``GRAM`` words; one of all words where there are fewer."""
-    size = min(GRAM, len(hashed))
-    out = np.zeros(len(hashed) - size + 1 if size else 0, np.uint64)
-    for k in range(size):
-        out = tx.mix(out + hashed[k : k + len(out)])
-    return out
-
-
-def winnow(hashed: np.ndarray) -> np.ndarray:
-    """Places of the fingerprints: the smallest gram of each window, every one of several equal ones."""
-    window = min(WINDOW, len(hashed))
-    if not window:
-        return np.zeros(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(hashed, window)
-    return np.unique(np.argwhere(views == views.min(1, keepdims=True)).sum(1))
-
-
-def index(templates: Mapping[str, str]) -> Index:
+def index(templates: Mapping[str, str], least: float) -> Index:
     """Templates without words have no fingerprints and are never found."""
     names = sorted(templates)
-    words, places = [], defaultdict(list)
-    for t, name in enumerate(names):
+    words = []
+    for name in names:
         _, data, offsets = next(tx.pieces(pa.array([templates[name]])))
-        hashed = tx.terms(data, offsets)[0]
-        words.append(hashed)
-        for at in winnow(g := grams(hashed)).tolist():
-            places[int(g[at])].append((t, at))
-    return Index(names, words, dict(places), np.array(sorted(places), np.uint64))
+        words.append(tx.terms(data, offsets)[0])
+    common = Counter(w for t in words for w in t.tolist())
+    needs = [max(1, math.ceil(least * len(t) - 1e-9)) for t in words]
+    places = defaultdict(list)
+    for t, hashed in enumerate(words):
+        rare = sorted(range(len(hashed)), key=lambda i: (common[int(hashed[i])], i))
+        for at in rare[: len(hashed) - needs[t] + 1]:
+            places[int(hashed[at])].append((t, at))
+    return Index(names, words, needs, dict(places), np.array(sorted(places), np.uint64))
 
 
 def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int, int]:
@@ -90,55 +78,87 @@ def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[
 
     Returns (score, equal words, first and last + 1 word of the text); of equal scores the one that ends first.
     """
+    low, high = max(low, -len(template)), min(high, len(text))
+    width = high - low + 1
     best = (0, 0, 0, 0)
-    above: dict[int, tuple[int, int, int]] = {}  # text place: (score, equal, start) with the template up to the last row
-    for i, word in enumerate(template.tolist()):
-        row: dict[int, tuple[int, int, int]] = {}
-        for j in range(max(0, i + low), min(len(text), i + high + 1)):
-            equal = text[j] == word
-            score, same, start = above.get(j - 1, (0, 0, j))
-            cell = (score + (MATCH if equal else OTHER), same + equal, start)
-            for other in (above.get(j), row.get(j - 1)):
-                if other and other[0] + GAP > cell[0]:
-                    cell = (other[0] + GAP, other[1], other[2])
-            if cell[0] > 0:
-                row[j] = cell
-                if cell[0] > best[0]:
-                    best = (cell[0], int(cell[1]), cell[2], j + 1)
-        above = row
+    if width <= 0:
+        return best
+    across = np.arange(width)
+    padded = np.zeros(len(template) + width + 1, text.dtype)  # words at low, low + 1, ...
+    a, b = max(0, low), min(len(text), low + len(padded))
+    padded[a - low : b - low] = text[a:b]
+    score, same, start = np.zeros((3, width + 1), np.int64)  # of the row above, by diagonal; one closed diagonal at the end
+    for i, word in enumerate(template):
+        j = across + i + low
+        equal = padded[i : i + width] == word
+        fresh = score[:-1] == 0
+        cell = score[:-1] + np.where(equal, MATCH, OTHER)
+        hits, first = np.where(fresh, 0, same[:-1]) + equal, np.where(fresh, j, start[:-1])
+        up = score[1:] + GAP
+        better = (up > cell) & (score[1:] > 0)
+        cell, hits, first = np.where(better, up, cell), np.where(better, same[1:], hits), np.where(better, start[1:], first)
+        cell[(j < 0) | (j >= len(text)) | (cell < 0)] = 0
+        slope = cell - GAP * across
+        top = np.maximum.accumulate(slope)
+        source = np.maximum.accumulate(np.where(slope == top, across, 0))
+        row = top + GAP * across
+        row[(j < 0) | (j >= len(text)) | (row < 0)] = 0
+        score[:-1], same[:-1], start[:-1] = row, hits[source], first[source]
+        k = int(row.argmax())
+        if row[k] > best[0]:
+            best = (int(row[k]), int(same[k]), int(start[k]), int(j[k]) + 1)
     return best
 
 
-def scan(hashed: np.ndarray, ix: Index, least: float) -> list[tuple[int, int, int, int]]:
-    """(template, equal words, first word, last word + 1) of every match that covers ``least`` of its template."""
-    g = grams(hashed)
-    if not len(g) or not len(ix.prints) or not np.isin(g, ix.prints).any():
-        return []
+def _within(template: np.ndarray, need: int, text: np.ndarray, held: np.ndarray, ats: np.ndarray, diagonals: np.ndarray, lo: int, hi: int) -> list[tuple[int, int, int]]:
+    """(equal words, first word, last word + 1) of the matches between ``lo`` and ``hi``: the best, then those beside it."""
+    out, open_ = [], [(lo, hi)]
+    while open_:
+        a, b = open_.pop()
+        x, y = np.searchsorted(ats, (a, b))
+        if x == y or held[b] - held[a] < need:  # too few words of the template at all
+            continue
+        low, high = int(diagonals[x:y].min()) - BAND - a, int(diagonals[x:y].max()) + BAND - a
+        _, equal, first, end = align(template, text[a:b], low, high)
+        if not equal:
+            continue
+        if equal >= need:
+            out.append((equal, a + first, a + end))
+        open_ += [(a, a + first), (a + end, b)]
+    return out
+
+
+def scan(hashed: np.ndarray, ix: Index) -> list[tuple[int, int, int, int]]:
+    """(template, equal words, first word, last word + 1) of every match that has the words its template needs."""
     hits = defaultdict(list)
-    for at in winnow(g).tolist():
-        for t, place in ix.places.get(int(g[at]), ()):
-            hits[t].append((at, at - place))
+    if not len(ix.prints):
+        return []
+    known = ix.prints[np.minimum(np.searchsorted(ix.prints, hashed), len(ix.prints) - 1)] == hashed
+    for at in np.flatnonzero(known).tolist():
+        for t, place in ix.places[int(hashed[at])]:
+            if len(hashed) >= ix.needs[t]:
+                hits[t].append((at, at - place))
     out = []
     for t, found in hits.items():
-        n = len(ix.words[t])
-        groups, last = [], None
-        for at, diagonal in sorted(found, key=lambda h: (h[1], h[0])):
-            if last is None or diagonal - last > BAND:
-                groups.append([])
-            groups[-1].append((at, diagonal))
-            last = diagonal
-        matches = []
-        for group in groups:
-            low, high = group[0][1] - BAND, group[-1][1] + BAND
-            first, end = max(0, low), min(len(hashed), high + n + 1)
-            score, equal, a, b = align(ix.words[t], hashed[first:end], low - first, high - first)
-            if equal >= least * n:
-                matches.append((score, equal, first + a, first + b))
-        taken: list[tuple[int, int]] = []
-        for _, equal, a, b in sorted(matches, key=lambda m: (-m[0], m[2])):
-            if all(b <= x or y <= a for x, y in taken):
-                taken.append((a, b))
-                out.append((t, equal, a, b))
+        template, need = ix.words[t], ix.needs[t]
+        n = len(template)
+        held = np.concatenate([[0], np.cumsum(np.isin(hashed, template))])
+        regions: list[list[int]] = []
+        for diagonal in sorted({d for _, d in found}):
+            a, b = max(0, diagonal - BAND), min(len(hashed), diagonal + n + BAND)
+            if regions and a <= regions[-1][1]:
+                regions[-1][1] = max(b, regions[-1][1])
+            else:
+                regions.append([a, b])
+        ats, diagonals = np.array(sorted(found), np.int64).T
+        half = 3 * n + 2 * BAND  # no alignment of positive score is longer than 3 n
+        for a, b in regions:
+            while b - a >= need:
+                end = min(b, a + 2 * half)
+                matches = _within(template, need, hashed, held, ats, diagonals, a, end)
+                whole = [m for m in matches if end == b or m[1] < a + half]
+                out += [(t, *m) for m in whole]
+                a = b if end == b else max([a + half, *(m[2] for m in whole)])
     return sorted(out, key=lambda m: (m[2], m[3], m[0]))
 
 
@@ -149,7 +169,7 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] | None = None, l
     the alignment pairs with equal words, at least ``least``. Matches of one template never overlap. Null and empty texts
     give no row; repeated rows are scanned each.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(index(TEMPLATES if templates is None else templates))
+    shared = docs.sparkSession.sparkContext.broadcast(index(TEMPLATES if templates is None else templates, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value
@@ -159,7 +179,7 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] | None = None, l
                 hashed, places, starts, ends = tx.terms(data, offsets)
                 for i in range(len(offsets) - 1):
                     a, b = places[i], places[i + 1]
-                    found = scan(hashed[a:b], ix, least)
+                    found = scan(hashed[a:b], ix)
                     if not found:
                         continue
                     points = np.concatenate([[0], np.cumsum((data[offsets[i] : offsets[i + 1]] & 0xC0) != 0x80)])

@@ -101,6 +101,15 @@ def test_license_spans(spark):
     assert license_scan.scan_licenses(df, {"none": "", "long": notice * 3}).collect() == []
 
 
+def test_licenses_back_to_back_and_far_from_the_letter(spark):
+    mit, cc = license_scan.TEMPLATES["MIT"], license_scan.TEMPLATES["CC-BY-NC-4.0"]
+    docs = [(1, "\n".join([mit] * 10)), (2, "Released under an MIT License."), (3, "Released x under x the x MIT x License"), (4, " ".join([cc] * 3)), (5, f"{mit} " * 3_000)]
+    got = license_scan.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    spans = sorted((r["doc_id"], r["license"], r["start"], r["length"], r["matched"]) for r in got if r["doc_id"] < 5)
+    assert spans == [*[(1, "MIT", 32 * k, 30, 5) for k in range(10)], (2, "MIT", 0, 29, 4), (3, "MIT", 0, 38, 5), *[(4, "CC-BY-NC-4.0", 29 * k, 27, 7) for k in range(3)]]
+    assert [r["start"] for r in got if r["doc_id"] == 5] == [32 * k for k in range(3_000)]
+
+
 def test_license_alignment_against_plain_dynamic_programming():
     rng = np.random.default_rng(2)
     for _ in range(40):
