@@ -14,6 +14,8 @@ import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import cache
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -25,32 +27,41 @@ from staylytics.llm import text as tx
 BAND = 8  # words an alignment may drift beyond the diagonals hit
 MATCH, OTHER, GAP = 2, -1, -1  # scores of the alignment
 
-# Notices and characteristic passages of widespread licenses.
+# Short notices and opening passages of widespread licenses; whole texts and headers lie in ``licenses``.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0 header": "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+    "Apache-2.0 opening": "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
     "http://www.apache.org/licenses/LICENSE-2.0",
-    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "BSD opening": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
     "conditions are met",
     "CC-BY": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+    "GPL opening": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
     "published by the Free Software Foundation",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+    "ISC opening": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
     "the above copyright notice and this permission notice appear in all copies.",
     "MIT": "Released under the MIT License.",
-    "MIT text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+    "MIT opening": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
     "(the \"Software\"), to deal in the Software without restriction",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "MPL-2.0 opening": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Unlicense opening": "This is free and unencumbered software released into the public domain.",
 }
 
 
+@cache
+def production() -> dict[str, str]:
+    """``TEMPLATES``, every whole license text ("<license> text") and every standard header ("<license> header")."""
+    files = {f.name: f for f in resources.files("staylytics.llm").joinpath("licenses").iterdir() if f.name.endswith(".txt")}
+    named = {n.removesuffix(".txt").replace(".header", " header") if ".header" in n else n.removesuffix(".txt") + " text": n for n in sorted(files)}
+    return TEMPLATES | {name: files[n].read_text(encoding="utf-8") for name, n in named.items()}
+
+
 @dataclass(frozen=True)
 class Index:
     names: list[str]
     words: list[np.ndarray]
+    vocabularies: list[tuple[np.ndarray, np.ndarray]]  # distinct words, ascending, and how often
     needs: list[int]  # equal words of a match
     places: dict[int, list[tuple[int, int]]]  # fingerprint: (template, place)
     prints: np.ndarray  # all fingerprints, ascending
@@ -70,7 +81,8 @@ def index(templates: Mapping[str, str], least: float) -> Index:
         rare = sorted(range(len(hashed)), key=lambda i: (common[int(hashed[i])], i))
         for at in rare[: len(hashed) - needs[t] + 1]:
             places[int(hashed[at])].append((t, at))
-    return Index(names, words, needs, dict(places), np.array(sorted(places), np.uint64))
+    vocabularies = [np.unique(t, return_counts=True) for t in words]
+    return Index(names, words, vocabularies, needs, dict(places), np.array(sorted(places), np.uint64))
 
 
 def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int, int]:
@@ -110,13 +122,24 @@ def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[
     return best
 
 
-def _within(template: np.ndarray, need: int, text: np.ndarray, held: np.ndarray, ats: np.ndarray, diagonals: np.ndarray, lo: int, hi: int) -> list[tuple[int, int, int]]:
+def _codes(hashed: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """Place of each word among the distinct ones, their number if it is none of them."""
+    at = np.minimum(np.searchsorted(distinct, hashed), len(distinct) - 1)
+    return np.where(distinct[at] == hashed, at, len(distinct))
+
+
+def _common(codes: np.ndarray, times: np.ndarray) -> int:
+    """Words in common with a template, each counted as often as both have it: no alignment has more equal words."""
+    return int(np.minimum(np.bincount(codes, minlength=len(times) + 1)[:-1], times).sum())
+
+
+def _within(template: np.ndarray, times: np.ndarray, need: int, text: np.ndarray, codes: np.ndarray, ats: np.ndarray, diagonals: np.ndarray, lo: int, hi: int) -> list[tuple[int, int, int]]:
     """(equal words, first word, last word + 1) of the matches between ``lo`` and ``hi``: the best, then those beside it."""
     out, open_ = [], [(lo, hi)]
     while open_:
         a, b = open_.pop()
         x, y = np.searchsorted(ats, (a, b))
-        if x == y or held[b] - held[a] < need:  # too few words of the template at all
+        if x == y or b - a < need or _common(codes[a:b], times) < need:
             continue
         low, high = int(diagonals[x:y].min()) - BAND - a, int(diagonals[x:y].max()) + BAND - a
         _, equal, first, end = align(template, text[a:b], low, high)
@@ -142,7 +165,10 @@ def scan(hashed: np.ndarray, ix: Index) -> list[tuple[int, int, int, int]]:
     for t, found in hits.items():
         template, need = ix.words[t], ix.needs[t]
         n = len(template)
-        held = np.concatenate([[0], np.cumsum(np.isin(hashed, template))])
+        distinct, times = ix.vocabularies[t]
+        codes = _codes(hashed, distinct)
+        if _common(codes, times) < need:
+            continue
         regions: list[list[int]] = []
         for diagonal in sorted({d for _, d in found}):
             a, b = max(0, diagonal - BAND), min(len(hashed), diagonal + n + BAND)
@@ -155,7 +181,7 @@ def scan(hashed: np.ndarray, ix: Index) -> list[tuple[int, int, int, int]]:
         for a, b in regions:
             while b - a >= need:
                 end = min(b, a + 2 * half)
-                matches = _within(template, need, hashed, held, ats, diagonals, a, end)
+                matches = _within(template, times, need, hashed, codes, ats, diagonals, a, end)
                 whole = [m for m in matches if end == b or m[1] < a + half]
                 out += [(t, *m) for m in whole]
                 a = b if end == b else max([a + half, *(m[2] for m in whole)])
@@ -166,10 +192,11 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] | None = None, l
     """One row per match in the rows of ``docs`` (doc_id, text): doc_id, license, start, length, matched, words, coverage.
 
     ``start`` and ``length`` are code points of the whole text; ``coverage`` is the share of the template's ``words`` that
-    the alignment pairs with equal words, at least ``least``. Matches of one template never overlap. Null and empty texts
+    the alignment pairs with equal words, at least ``least``. Templates are matched each by itself: a license text is found as
+    its opening and as a whole, and of two versions of a header the one with the higher coverage is meant. Matches of one template never overlap. Null and empty texts
     give no row; repeated rows are scanned each.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(index(TEMPLATES if templates is None else templates, least))
+    shared = docs.sparkSession.sparkContext.broadcast(index(production() if templates is None else templates, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value

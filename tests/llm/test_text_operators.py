@@ -110,6 +110,18 @@ def test_licenses_back_to_back_and_far_from_the_letter(spark):
     assert [r["start"] for r in got if r["doc_id"] == 5] == [32 * k for k in range(3_000)]
 
 
+def test_whole_license_texts_and_versions(spark):
+    ours = license_scan.production()
+    asked = ["MIT text", "BSD-3-Clause text", "ISC text", "Zlib text", "GPL-3 text", "Apache-2.0 text", "CC0-1.0 text", "GPL-2.0 header", "GPL-3.0 header", "AGPL-3.0 header",
+             "LGPL-2.1 header", "EPL-2.0 header", "CC-BY-SA-4.0 header"]
+    docs = [(i, f"Ours. {ours[name]} End.") for i, name in enumerate(asked)] + [(99, ours["MIT text"][:400])]
+    got = license_scan.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    best = {i: {r["license"]: r["coverage"] for r in got if r["doc_id"] == i} for i, _ in docs}
+    assert all(best[i][name] == 1 for i, name in enumerate(asked))
+    assert best[7]["GPL-2.0 header"] > best[7].get("GPL-3.0 header", 0) and best[8]["GPL-3.0 header"] > best[8].get("GPL-2.0 header", 0)
+    assert set(best[99]) == {"MIT opening"}
+
+
 def test_license_alignment_against_plain_dynamic_programming():
     rng = np.random.default_rng(2)
     for _ in range(40):
