@@ -2,7 +2,8 @@
 
 Both models, for accepted and rejected URLs, are variable-order Markov models: the chance of a byte mixes the counts after
 its last ``ORDER`` bytes with the chance given one byte less, down to uniform; contexts never seen fall through. They are
-counted over all URLs that a rule decides (but a fifth of them, kept for calibration) in hashed tables of fixed size. The
+counted over all URLs that a rule decides (but a fifth of them, kept for calibration). A Spark aggregation counts every
+context, and every context with its byte, by a 64-bit hash; the table grows with what the URLs hold (24 bytes each). The
 log-likelihood difference is divided by the number of bytes. Its cut is the one with the least mean of both error
 rates on the kept fifth.
 """
@@ -17,12 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from staylytics.llm import counters
 from staylytics.llm import text as tx
 from staylytics.session import settle
 
 ORDER = 5
-BITS = 17  # each model has 2 ** BITS counters of contexts and as many of context and byte
 PRIOR = 2.0  # weight of the shorter context, in observations
 CUTS = 2000  # score bins of the calibration, 0.01 wide
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -57,50 +56,63 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return text, verdict
 
 
+@dataclass(frozen=True)
+class Counts:
+    keys: np.ndarray  # hashes of contexts and of contexts with a byte, ascending
+    times: np.ndarray  # [rejected, accepted][key]
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """[rejected, accepted][place of keys], 0 for what was never counted."""
+        if not len(self.keys):
+            return np.zeros((2, len(keys)), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.times[:, at], 0)
+
+
 def contexts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For orders 0 to ``ORDER``: which bytes have that many before them in their text, the slot of that context, and the
-    slot of context and byte."""
+    """For orders 0 to ``ORDER``: which bytes have that many before them in their text, the hash of that context, and the
+    hash of context and byte."""
     n = len(data)
     depth = np.arange(n) - np.repeat(offsets[:-1], np.diff(offsets))
     codes = data.astype(np.uint64)
     context = np.zeros(n, np.uint64)
-    shift = np.uint64(64 - BITS)
     for order in range(ORDER + 1):
         if order:
             before = np.zeros(n, np.uint64)
             before[order:] = codes[:-order]
             context = tx.mix(context * np.uint64(257) + before + np.uint64(1))
-        yield depth >= order, tx.mix(context + np.uint64(order)) >> shift, tx.mix(context * np.uint64(263) + codes + np.uint64(7)) >> shift
+        yield depth >= order, tx.mix(context + np.uint64(order)), tx.mix(context * np.uint64(263) + codes + np.uint64(7))
 
 
-def count(urls: DataFrame) -> np.ndarray:
-    """Counters [rejected, accepted][context, context and byte] over all rows of ``urls`` (url, accepted)."""
+def count(urls: DataFrame) -> Counts:
+    """How often each context, and each context with its byte, occurs in all rows of ``urls`` (url, accepted)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((2, 2, 1 << BITS), np.uint32)
         for batch in batches:
             accepted = np.array(batch.column("accepted").to_pylist(), bool)
             for first, data, offsets in tx.pieces(batch.column("url")):
                 kind = np.repeat(accepted[first : first + len(offsets) - 1], np.diff(offsets))
-                for there, context, event in contexts(data, offsets):
-                    for c in (0, 1):
-                        mine = there & (kind == bool(c))
-                        table[c, 0] += np.bincount(context[mine].astype(np.int64), minlength=1 << BITS).astype(np.uint32)
-                        table[c, 1] += np.bincount(event[mine].astype(np.int64), minlength=1 << BITS).astype(np.uint32)
-        yield pa.RecordBatch.from_pydict(counters.ship(table.reshape(-1)))
+                for there, *hashed in contexts(data, offsets):
+                    for keys in hashed:
+                        distinct, at = np.unique(keys[there], return_inverse=True)
+                        times = [np.bincount(at[kind[there] == bool(c)], minlength=len(distinct)).astype(np.int64) for c in (0, 1)]
+                        yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), *map(pa.array, times)], names=["key", "rejected", "accepted"])
 
-    return counters.added(settle(urls.mapInArrow(run, counters.SCHEMA)), 4 << BITS).reshape(2, 2, -1)
+    parts = urls.mapInArrow(run, "key long, rejected long, accepted long")
+    table = parts.groupBy("key").agg(F.sum("rejected").alias("rejected"), F.sum("accepted").alias("accepted")).toArrow()
+    keys = table.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return Counts(keys[order], np.stack([table.column(c).to_numpy()[order] for c in ("rejected", "accepted")]))
 
 
-def ratios(column: pa.Array, table: np.ndarray) -> np.ndarray:
+def ratios(column: pa.Array, table: Counts) -> np.ndarray:
     """Log-likelihood difference (accepted less rejected) per byte of each text; 0 for an empty one."""
     out = np.zeros(len(column))
     for first, data, offsets in tx.pieces(column):
         chance = np.full((2, len(data)), 1 / 256)
         for there, context, event in contexts(data, offsets):
-            for c in (0, 1):
-                mixed = (np.minimum(table[c, 1][event], table[c, 0][context]) + PRIOR * chance[c]) / (table[c, 0][context] + PRIOR)
-                chance[c] = np.where(there, mixed, chance[c])
+            mixed = (table.of(event) + PRIOR * chance) / (table.of(context) + PRIOR)
+            chance = np.where(there, mixed, chance)
         gain = np.concatenate([[0.0], np.cumsum(np.log(chance[1]) - np.log(chance[0]))])
         total = gain[offsets[1:]] - gain[offsets[:-1]]
         out[first : first + len(offsets) - 1] = total / np.maximum(np.diff(offsets), 1)
@@ -121,7 +133,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     known = parts.select("url", (verdict == "allow").alias("accepted"), (F.pmod(F.xxhash64("host", "path"), F.lit(5)) == 0).alias("kept"))
     known = known.where("accepted IS NOT NULL")
-    table = spark.sparkContext.broadcast(count(known.where("NOT kept").select("url", "accepted")))  # 4 * 2 ** BITS counters
+    table = spark.sparkContext.broadcast(count(known.where("NOT kept").select("url", "accepted")))
 
     def ratio(url: pa.Array) -> pa.Array:
         return pa.array(ratios(url, table.value), pa.float64())
@@ -132,7 +144,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     seen = np.zeros((2, CUTS + 1))
     for row in kept:
         seen[int(row["accepted"]), row["bin"]] = row["count"]
-    if table.value[0].any() and table.value[1].any() and seen.sum(1).all():
+    if table.value.times.any(1).all() and seen.sum(1).all():
         below = np.concatenate([np.zeros((2, 1)), np.cumsum(seen, axis=1)], axis=1) / seen.sum(1, keepdims=True)
         cut = (int((below[1] + 1 - below[0]).argmin()) - CUTS // 2) / 100
     else:

@@ -85,6 +85,29 @@ def test_url_model_counts(spark):
     assert np.allclose(got, want)
 
 
+def test_url_model_counts_grow_with_the_urls(spark):
+    rng = np.random.default_rng(5)
+    urls = [("".join(map(chr, rng.integers(97, 123, 40))), bool(i % 2)) for i in range(4_000)]
+    table = url_filter.count(spark.createDataFrame(urls, "url string, accepted boolean"))
+    known = [{}, {}]
+    for url, accepted in urls:
+        for i in range(len(url)):
+            for k in range(min(i, url_filter.ORDER) + 1):
+                for part in ((url[i - k : i], ""), (url[i - k : i], url[i])):
+                    known[accepted][part] = known[accepted].get(part, 0) + 1
+    asked, want = ["".join(map(chr, rng.integers(97, 123, 30))) for _ in range(20)], []
+    for url in asked:
+        total = 0.0
+        for i in range(len(url)):
+            chance = [1 / 256, 1 / 256]
+            for k in range(min(i, url_filter.ORDER) + 1):
+                context = url[i - k : i]
+                chance = [(known[c].get((context, url[i]), 0) + url_filter.PRIOR * chance[c]) / (known[c].get((context, ""), 0) + url_filter.PRIOR) for c in (0, 1)]
+            total += np.log(chance[1]) - np.log(chance[0])
+        want.append(total / len(url))
+    assert len(known[0]) > 1 << 17 and np.allclose(url_filter.ratios(pa.array(asked), table), want)
+
+
 def test_license_spans(spark):
     notice = "Released under the MIT License."
     docs = [
