@@ -5,7 +5,8 @@ its last ``ORDER`` bytes with the chance given one byte less, down to uniform; c
 counted over all URLs that a rule decides (but a fifth of them, kept for calibration). A Spark aggregation counts every
 context, and every context with its byte, by a 64-bit hash; the table grows with what the URLs hold (24 bytes each). The
 log-likelihood difference is divided by the number of bytes. Its cut is the one with the least mean of both error
-rates on the kept fifth.
+rates on the kept fifth of the distinct URLs. Where the fifth or the rest lacks a class (few distinct URLs), both models
+are counted over all URLs that a rule decides, and the cut is 0: the likelier class wins.
 """
 
 from __future__ import annotations
@@ -123,7 +124,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per row of ``pages`` (page_id, url): page_id, host, path, rule, verdict, score.
 
     A rule fits its host and all subdomains where the path starts with the rule's path; the longest decides. Other URLs
-    are allowed if their score reaches the calibrated cut; a null or empty URL is allowed. If the rules leave no
+    are allowed if their score reaches the calibrated cut, or 0 where few distinct URLs leave a part without a class; a null or empty URL is allowed. If the rules leave no
     accepted or no rejected URL there is nothing to compare, and the rest is allowed. ``rules`` is a short list (it becomes
     one expression).
     """
@@ -131,24 +132,27 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     host, path = host_and_path(F.col("url"))
     parts = settle(pages.select("page_id", F.col("url").cast("string"), host.alias("host"), path.alias("path")))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    known = parts.select("url", (verdict == "allow").alias("accepted"), (F.pmod(F.xxhash64("host", "path"), F.lit(5)) == 0).alias("kept"))
+    known = parts.select("url", (verdict == "allow").alias("accepted"), (F.pmod(F.xxhash64("url"), F.lit(5)) == 0).alias("kept"))
     known = known.where("accepted IS NOT NULL")
-    table = spark.sparkContext.broadcast(count(known.where("NOT kept").select("url", "accepted")))
+    parted = {(r["kept"], r["accepted"]) for r in known.select("kept", "accepted").distinct().collect()}
+    classes = {accepted for _, accepted in parted}
+    learnt = known.where("NOT kept") if len(parted) == 4 else known
+    table = spark.sparkContext.broadcast(count(learnt.select("url", "accepted")))
 
     def ratio(url: pa.Array) -> pa.Array:
         return pa.array(ratios(url, table.value), pa.float64())
 
     score = F.arrow_udf(ratio, "double")("url")
-    bin_ = F.greatest(F.lit(0), F.least(F.lit(CUTS - 1), F.floor(score * 100) + CUTS // 2)).cast("int")
-    kept = known.where("kept").select("accepted", bin_.alias("bin")).groupBy("accepted", "bin").count().collect()  # 2 CUTS rows
-    seen = np.zeros((2, CUTS + 1))
-    for row in kept:
-        seen[int(row["accepted"]), row["bin"]] = row["count"]
-    if table.value.times.any(1).all() and seen.sum(1).all():
+    if len(parted) == 4:
+        bin_ = F.greatest(F.lit(0), F.least(F.lit(CUTS - 1), F.floor(score * 100) + CUTS // 2)).cast("int")
+        kept = known.where("kept").select("accepted", bin_.alias("bin")).groupBy("accepted", "bin").count().collect()  # 2 CUTS rows
+        seen = np.zeros((2, CUTS + 1))
+        for row in kept:
+            seen[int(row["accepted"]), row["bin"]] = row["count"]
         below = np.concatenate([np.zeros((2, 1)), np.cumsum(seen, axis=1)], axis=1) / seen.sum(1, keepdims=True)
         cut = (int((below[1] + 1 - below[0]).argmin()) - CUTS // 2) / 100
     else:
-        cut = float("-inf")
+        cut = 0.0 if len(classes) == 2 else float("-inf")
     by_model = F.when((F.coalesce(F.length("url"), F.lit(0)) == 0) | (F.col("score") >= cut), "allow").otherwise("block")
     scored = parts.withColumn("score", score)
     return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_model).alias("verdict"), "score")

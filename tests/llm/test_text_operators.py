@@ -108,6 +108,14 @@ def test_url_model_counts_grow_with_the_urls(spark):
     assert len(known[0]) > 1 << 17 and np.allclose(url_filter.ratios(pa.array(asked), table), want)
 
 
+def test_url_cut_with_few_distinct_urls(spark):
+    for good, bad in (("good/aaaa", "evil/bbbb"), ("nice/abab", "spam/zzzz"), ("ok/one", "no/two"), ("ok/three", "no/four")):
+        rows = [(i, f"http://x.{u}") for i, u in enumerate([f"com/{good}"] * 30 + [f"net/{bad}"] * 30)] + [(98, f"http://y.org/{good}"), (99, f"http://y.org/{bad}")]
+        rules = [url_filter.Rule("com", "/", "allow"), url_filter.Rule("net", "/", "block")]
+        got = {r["page_id"]: r["verdict"] for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+        assert (got[98], got[99]) == ("allow", "block")
+
+
 def test_license_spans(spark):
     notice = "Released under the MIT License."
     docs = [
