@@ -28,9 +28,14 @@ def word_count(text: str | Column = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _place(doc_id: Column) -> Column:
-    """Shuffle key of a document; its first three digits number one of 4096 equal ranges."""
-    return F.md5(F.concat(F.lit("mix:"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary"))
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with place and tie: shuffle key, whose first three digits number one of 4096 equal ranges, and hash of the row.
+
+    The key is of doc_id, or of the whole row where that is null; the tie orders rows that repeat a doc_id.
+    """
+    tie = F.xxhash64(*docs.columns)
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row:"), tie.cast("string")))
+    return docs.select("*", F.md5(F.concat(F.lit("mix:"), name).cast("binary")).alias("place"), tie.alias("tie"))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
@@ -56,12 +61,12 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
 
 
 def _queues(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, place, source_size, target, upto, own): words up to each place of a queue, and of the place itself.
+    """(source, place, tie, source_size, target, upto, own): words up to each row of a queue, and of the row itself.
 
-    Rows that repeat a doc_id have one place. Sources without words have no queue.
+    Equal rows count as one. Sources without words have no queue.
     """
-    queue = rows.groupBy("source", "place").agg(F.sum("size").alias("own")).withColumn("bucket", F.substring("place", 1, 3))
-    upto = Window.partitionBy("source", "bucket").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    queue = rows.groupBy("source", "place", "tie").agg(F.sum("size").alias("own")).withColumn("bucket", F.substring("place", 1, 3))
+    upto = Window.partitionBy("source", "bucket").orderBy("place", "tie").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = queue.groupBy("source", "bucket").agg(F.sum("own").alias("s"))
     carried = carried.select(F.col("source").alias("_s"), F.col("bucket").alias("_b"), F.coalesce(F.sum("s").over(before), F.lit(0)).alias("carry"))
@@ -69,7 +74,7 @@ def _queues(rows: DataFrame, targets: DataFrame) -> DataFrame:
     done = inside.join(carried, inside["source"].eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
     goal = targets.withColumnRenamed("source", "_t")
     done = done.join(goal, done["source"].eqNullSafe(F.col("_t"))).where("target > 0")
-    return done.select("source", "place", "source_size", "target", (F.col("inside") + F.col("carry")).alias("upto"), "own")
+    return done.select("source", "place", "tie", "source_size", "target", (F.col("inside") + F.col("carry")).alias("upto"), "own")
 
 
 def _taken(copy: int) -> Column:
@@ -78,25 +83,40 @@ def _taken(copy: int) -> Column:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    size, place = word_count(), _place(F.col("doc_id"))
-    return settle(docs.select("doc_id", F.col("source").cast("string"), size.alias("size"), place.alias("place")))
+    return settle(_placed(docs).select("doc_id", F.col("source").cast("string"), word_count().alias("size"), "place", "tie"))
+
+
+def _in_order(copies: DataFrame) -> DataFrame:
+    order = ["finish", "place", "tie"]
+    return copies.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def _copies(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """(_p, _q, _r, finish): finish times of the copies of each row (source, place, tie) that lie before the cut."""
+    finish = [F.when(_taken(k), (F.col("upto") + F.col("source_size") * k) / F.col("target")) for k in (0, 1)]
+    held = F.array_compact(F.array(*finish)).alias("finish")
+    queues = _queues(rows, targets).select(F.col("source").alias("_p"), F.col("place").alias("_q"), F.col("tie").alias("_r"), held)
+    return queues.where(F.size("finish") > 0)
+
+
+def _is_of(source: Column) -> Column:
+    return source.eqNullSafe(F.col("_p")) & (F.col("place") == F.col("_q")) & (F.col("tie") == F.col("_r"))
 
 
 def mix_report(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, size, source_size, target, taken.
 
-    ``taken`` counts words, repeats included; it is 0, 1 or 2 times ``size``. A null or empty text has size 0. Rows that
-    repeat a doc_id within a source are taken or left together, and so are rows with a null doc_id. ``most`` is at most 2.
+    ``taken`` counts the words of the row's copies in the mix, repeats included; it is 0, 1 or 2 times ``size``. A null or
+    empty text has size 0. Only rows that are equal in all columns are taken or left together. ``most`` is at most 2.
     """
     rows = _rows(docs)
     targets = settle(source_targets(rows, weights, share, most))
-    # whether a copy is taken only depends on how far its place is in the queue: one end for each copy of a source
-    ends = _queues(rows, targets).groupBy("source").agg(*[F.min(F.when(~_taken(k), F.col("place"))).alias(f"end{k}") for k in (0, 1)])
-    plan = targets.join(ends.withColumnRenamed("source", "_e"), targets["source"].eqNullSafe(F.col("_e")), "left").drop("_e")
-    plan = settle(plan.withColumnRenamed("source", "_p"))  # its size is then known before the rows are placed by source
-    copies = sum((F.coalesce(F.col("place") < F.col(f"end{k}"), F.lit(True)).cast("int") for k in (0, 1)), F.lit(0))
-    both = rows.join(plan, rows["source"].eqNullSafe(F.col("_p")))
-    return both.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"))
+    copies = _copies(rows, targets).select("_p", F.col("_q").alias("place"), F.col("_r").alias("tie"), F.explode("finish").alias("finish"))
+    mixed = settle(_in_order(copies))  # the mix without its texts
+    count = mixed.groupBy("_p", F.col("place").alias("_q"), F.col("tie").alias("_r")).agg(F.count("*").alias("copies"))
+    both = rows.join(count, _is_of(rows["source"]), "left").select("doc_id", "source", "size", F.coalesce("copies", F.lit(0)).alias("copies"))
+    both = both.join(targets.withColumnRenamed("source", "_t"), both["source"].eqNullSafe(F.col("_t")))
+    return both.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -105,10 +125,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     Whole documents only. A source without any word is left out. See ``mix_report``.
     """
     rows = _rows(docs)
-    queues = _queues(rows, settle(source_targets(rows, weights, share, most)))
-    finish = [F.when(_taken(k), (F.col("upto") + F.col("source_size") * k) / F.col("target")) for k in (0, 1)]
-    taken = queues.select(F.col("source").alias("_p"), F.col("place").alias("_q"), F.array_compact(F.array(*finish)).alias("finish")).where(F.size("finish") > 0)
-    held = docs.select(F.struct("*").alias("_row"), F.col("source").cast("string").alias("_source"), _place(F.col("doc_id")).alias("place"))
-    both = held.join(taken.hint("shuffle_hash"), F.col("_source").eqNullSafe(F.col("_p")) & (F.col("place") == F.col("_q")))
-    copies = both.select("_row", F.explode("finish").alias("finish"), "place")
-    return copies.repartitionByRange("finish", "place").sortWithinPartitions("finish", "place").select("_row.*")
+    taken = _copies(rows, settle(source_targets(rows, weights, share, most)))
+    held = _placed(docs).select(F.struct(*docs.columns).alias("_row"), F.col("source").cast("string").alias("_source"), "place", "tie")
+    both = held.join(taken.hint("shuffle_hash"), _is_of(F.col("_source")))
+    return _in_order(both.select("_row", F.explode("finish").alias("finish"), "place", "tie")).select("_row.*")

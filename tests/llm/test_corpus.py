@@ -162,6 +162,17 @@ def test_matches_duckdb(spark, duck, key):
     assert got == sorted(repr([plain(v) for v in r]) for r in cursor.fetchall())
 
 
+def test_mix_takes_rows_without_an_id_one_by_one(spark):
+    rows = [(i, f"w{i} " * 10, "en", "a", 20) for i in range(40)] + [(d, f"v{i} " * 10, "en", s, 30) for i in range(40) for d, s in ((None, "b"), (7777, "c"))]
+    df = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix_report(df).collect()
+    mixed = Counter(r["doc_id"] for r in mixing.mix(df).collect())
+    for doc in (None, 7777):
+        mine = [r for r in got if r["doc_id"] == doc]
+        taken = sum(r["taken"] for r in mine)
+        assert len(mine) == 40 and taken == 10 * mixed[doc] and abs(taken - mine[0]["target"]) <= 5
+
+
 def test_mix_follows_targets(spark):
     rng = np.random.default_rng(4)
     rows = [(i, " ".join("w" * 1 for _ in range(int(rng.integers(1, 60)))), "en", f"s{min(7, int(rng.exponential(2)))}", 0) for i in range(3000)]
