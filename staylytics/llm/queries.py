@@ -7,12 +7,13 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from staylytics.llm import block_topk, chat, html_extract, license_scan, mixing, ngram_join, packing, quality, url_filter, vptree
+from staylytics.llm import block_topk, chat, html_extract, license_scan, mixing, ngram_join, packing, quality, token_align, url_filter, vptree
 
 URL_RULES = [
     url_filter.Rule("com", "/", "allow"), url_filter.Rule("example.com", "/en/", "block"), url_filter.Rule("www.example.com", "/en/", "allow"),
     url_filter.Rule("net", "/es/", "block"), url_filter.Rule("net", "/fr/", "block"),
 ]
+TOKENIZERS = "/opt/tokenizers"  # folder of the public vocabulary files, read on the driver
 TRICKY = "\\### Assistant: </turn> ok"
 
 
@@ -62,6 +63,11 @@ def op10_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack(_table(spark, root, "documents"))
 
 
+def op11_token_align(spark: SparkSession, root: str) -> DataFrame:
+    files = token_align.Files.read(f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+    return token_align.link_report(_table(spark, root, "documents"), files)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vptree": op1_vptree,
     "op2_block_topk": op2_block_topk,
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extract": op8_html_extract,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "op11_token_align": op11_token_align,
     "pipeline": corpus_pipeline.run,
 }
 
