@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from staylytics.llm import block_topk, chat, html_extract, license_scan, mixing, ngram_join, packing, quality, token_align, url_filter, vptree
+from staylytics.llm import block_topk, chat, html_extract, license_scan, mixing, multi_pattern, ngram_join, packing, quality, token_align, url_filter, vptree
 
 URL_RULES = [
     url_filter.Rule("com", "/", "allow"), url_filter.Rule("example.com", "/en/", "block"), url_filter.Rule("www.example.com", "/en/", "allow"),
@@ -68,6 +68,10 @@ def op11_token_align(spark: SparkSession, root: str) -> DataFrame:
     return token_align.link_report(_table(spark, root, "documents"), files)
 
 
+def op13_decontaminate(spark: SparkSession, root: str) -> DataFrame:
+    return multi_pattern.leak_report(_table(spark, root, "documents"), _table(spark, root, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vptree": op1_vptree,
     "op2_block_topk": op2_block_topk,
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
     "op11_token_align": op11_token_align,
+    "op13_decontaminate": op13_decontaminate,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -150,3 +155,24 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM
 least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents LEFT JOIN sizes USING (doc_id) JOIN least ON a = doc_id
 """
+
+ORACLES["op13_decontaminate"] = r"""
+WITH item_words AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)),
+doc_words AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+places AS (
+    SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM doc_words, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)),
+met AS (SELECT r, p.k, i, item_id FROM places p JOIN windows USING (k, g)),
+hits AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS j FROM (SELECT DISTINCT r, i, k FROM met)) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS names FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM met WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+"""
