@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from staylytics.llm import block_topk, chat, html_extract, license_scan, mixing, multi_pattern, ngram_join, packing, quality, token_align, url_filter, vptree
+from staylytics.llm import block_topk, chat, html_extract, license_scan, mixing, multi_pattern, ngram_join, packing, quality, token_align, turn_repair, url_filter, vptree
 
 URL_RULES = [
     url_filter.Rule("com", "/", "allow"), url_filter.Rule("example.com", "/en/", "block"), url_filter.Rule("www.example.com", "/en/", "allow"),
@@ -68,6 +68,10 @@ def op11_token_align(spark: SparkSession, root: str) -> DataFrame:
     return token_align.link_report(_table(spark, root, "documents"), files)
 
 
+def op12_turn_repair(spark: SparkSession, root: str) -> DataFrame:
+    return turn_repair.repair_report(turn_repair.damage(_table(spark, root, "conversations")))
+
+
 def op13_decontaminate(spark: SparkSession, root: str) -> DataFrame:
     return multi_pattern.leak_report(_table(spark, root, "documents"), _table(spark, root, "benchmark"))
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
     "op11_token_align": op11_token_align,
+    "op12_turn_repair": op12_turn_repair,
     "op13_decontaminate": op13_decontaminate,
     "pipeline": corpus_pipeline.run,
 }
@@ -176,3 +181,60 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
 """
+
+# crc32 byte by byte: 8 steps of the reflected polynomial 0xEDB88320
+ORACLES["op12_turn_repair"] = r"""
+WITH RECURSIVE named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+bits AS (SELECT DISTINCT name, list_transform(range(1, len(name) + 1), lambda i: ascii(name[i])) AS codes FROM named),
+hashed AS (
+    SELECT name, xor(list_reduce(codes, lambda c, b: list_reduce(range(0, 9),
+               lambda v, k: CASE WHEN k = 0 THEN v WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, xor(c, b)), 4294967295), 4294967295) % 20 AS kind
+    FROM (SELECT name, list_transform(codes, lambda x: CAST(x AS BIGINT)) AS codes FROM bits)),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM named JOIN hashed USING (name) WHERE kind <> 0),
+placed AS (
+    SELECT coalesce(conv_id, -9223372036854775807) AS c, turn, role, text, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again FROM damaged),
+faulty AS (
+    SELECT c, turn, role, text, i, left(role, 1) AS r, bare = '' AS blank, bare <> '' AND again AS duplicate,
+           bare <> '' AND NOT again AND right(bare, 1) NOT IN ('.', '!', '?') AS truncated,
+           lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal FROM placed),
+begins(mid_from, ins, mid, said) AS (VALUES
+    (0, '', 0, ''), (1, '', 1, ''), (2, '', 2, ''), (3, '', 3, ''),
+    (0, 'I', 2, 'user:' || chr(10)), (1, 'I', 2, 'user:' || chr(10)), (2, 'I', 3, 'assistant:' || chr(10)), (3, 'I', 2, 'user:' || chr(10))),
+edits(mid, edit, state) AS (VALUES
+    (0, 'D', 0), (1, 'D', 1), (2, 'D', 2), (3, 'D', 3), (0, 'R', 2), (1, 'R', 2), (2, 'R', 3), (3, 'R', 2),
+    (0, 'S', 1), (0, 'K', 2), (1, 'K', 2), (2, 'K', 3), (3, 'K', 2)),
+walk(c, i, state, cost, audit, said) AS (
+    SELECT DISTINCT c, CAST(0 AS BIGINT), 0, 0, '', '' FROM faulty
+    UNION ALL
+    SELECT c, i, state, cost, audit, said FROM (
+        SELECT w.c, f.i, e.state, w.cost + 5 * length(b.ins) + CASE e.edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN f.truncated AND e.edit <> 'D' THEN 5 ELSE 0 END AS cost,
+               w.audit || b.ins || CASE e.edit WHEN 'S' THEN 'K' ELSE e.edit END AS audit,
+               w.said || b.said || CASE e.edit WHEN 'D' THEN '' WHEN 'R' THEN CASE e.state WHEN 2 THEN 'user' ELSE 'assistant' END || ':' || f.text || chr(10)
+                                   ELSE f.role || ':' || f.text || chr(10) END AS said,
+               row_number() OVER (PARTITION BY w.c, e.state ORDER BY w.cost + 5 * length(b.ins) + CASE e.edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+                   + CASE WHEN f.truncated AND e.edit <> 'D' THEN 5 ELSE 0 END, w.audit || b.ins || CASE e.edit WHEN 'S' THEN 'K' ELSE e.edit END) AS place
+        FROM walk w JOIN faulty f ON f.c = w.c AND f.i = w.i + 1 JOIN begins b ON b.mid_from = w.state JOIN edits e ON e.mid = b.mid
+        WHERE e.edit = 'D' OR NOT f.blank AND NOT f.duplicate AND (e.edit = 'R' OR e.edit = 'S' AND f.r = 's'
+              OR e.edit = 'K' AND f.r = CASE e.state WHEN 2 THEN 'u' ELSE 'a' END)) WHERE place = 1),
+ends(state, ins, said) AS (VALUES (0, '', ''), (3, '', ''), (2, 'I', 'assistant:' || chr(10)), (1, 'II', 'user:' || chr(10) || 'assistant:' || chr(10))),
+finished AS (
+    SELECT w.c, w.cost + 5 * length(e.ins) AS cost, w.audit || e.ins AS audit, w.said || e.said AS said,
+           row_number() OVER (PARTITION BY w.c ORDER BY w.cost + 5 * length(e.ins), w.audit || e.ins) AS place
+    FROM walk w JOIN ends e USING (state) WHERE w.i = (SELECT max(i) FROM faulty f WHERE f.c = w.c)),
+counted AS (
+    SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+           count(*) FILTER (WHERE truncated) AS truncated, count(*) FILTER (WHERE illegal) AS illegal FROM faulty GROUP BY c)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(left(said, greatest(length(said) - 1, 0)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted k ON k.c = coalesce(o.conv_id, -9223372036854775807)
+LEFT JOIN finished f ON f.c = k.c AND place = 1
+"""
