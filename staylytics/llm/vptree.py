@@ -58,14 +58,29 @@ class Tree:
         return out
 
 
+def fixed_dots(queries: np.ndarray, vecs: np.ndarray, q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Inner products of ``queries[q]`` and ``vecs[v]``, pair by pair, each added up from the first component to the last.
+
+    Matrix products add in an order that depends on where a row stands, so equal vectors could differ in the last bit.
+    """
+    out = np.zeros(len(q))
+    for k in range(queries.shape[1]):
+        out += queries[q, k] * vecs[v, k]
+    return out
+
+
 def find(ids: np.ndarray, vecs: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple:
-    """The k rows of one shard found nearest to each query, as flat (query_id, vec_id, score)."""
+    """The k rows of one shard found nearest to each query, as flat (query_id, vec_id, score).
+
+    Matrix products sort out what cannot be among the k; the rest is scored in one fixed order of addition.
+    """
     norms = (vecs * vecs).sum(1)
     largest = norms.max()
     points = np.column_stack([vecs, np.sqrt(np.maximum(largest - norms, 0))])
     tree = Tree(points)
     bound = tree.bounds(np.column_stack([queries, np.zeros(len(queries))]))
-    reach = (queries * queries).sum(1) + largest
+    lengths = (queries * queries).sum(1)
+    reach, rounding = lengths + largest, SLACK * np.sqrt(lengths * largest)
     order = np.argsort(bound, axis=1, kind="stable")
     score = np.full((len(queries), k), -np.inf)
     best = np.full((len(queries), k), np.iinfo(np.int64).max)
@@ -80,13 +95,21 @@ def find(ids: np.ndarray, vecs: np.ndarray, query_ids: np.ndarray, queries: np.n
         for part in np.split(active, np.flatnonzero(np.diff(leaf[active])) + 1):
             rows = tree.leaves[leaf[part[0]]]
             dots = queries[part] @ vecs[rows].T
-            dots[query_ids[part][:, None] == ids[rows]] = -np.inf
-            better = (dots >= score[part, -1][:, None]).any(1)
-            part, dots = part[better], dots[better]
+            own = query_ids[part][:, None] == ids[rows]
+            dots[own] = -np.inf
+            floor = score[part, -1]
+            if len(rows) > k:
+                floor = np.maximum(floor, -np.partition(-dots, k - 1, axis=1)[:, k - 1])
+            near = (dots >= (floor - rounding[part])[:, None]) & ~own
+            better = near.any(1)
+            part, near = part[better], near[better]
             if not len(part):
                 continue
-            all_scores = np.concatenate([score[part], dots], axis=1)
-            all_ids = np.concatenate([best[part], np.broadcast_to(ids[rows], dots.shape)], axis=1)
+            q, v = np.nonzero(near)
+            exact = np.full(near.shape, -np.inf)
+            exact[q, v] = fixed_dots(queries, vecs, part[q], rows[v])
+            all_scores = np.concatenate([score[part], exact], axis=1)
+            all_ids = np.concatenate([best[part], np.where(near, ids[rows], np.iinfo(np.int64).max)], axis=1)
             chosen = vs.top(all_scores, all_ids, k)
             score[part] = np.take_along_axis(all_scores, chosen, 1)
             best[part] = np.take_along_axis(all_ids, chosen, 1)

@@ -103,3 +103,40 @@ def test_recall_on_the_embeddings_table(spark):
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     assert got.keys() == want.keys()
     assert sum(len(got[k] & {x for x, _ in v}) for k, v in want.items()) >= 0.99 * sum(map(len, want.values()))
+
+
+def test_copies_of_a_vector_rank_by_id_in_every_shard(spark, monkeypatch):
+    """Equal vectors must get equal scores, wherever they stand in a matrix."""
+    monkeypatch.setattr(vptree, "SHARD_ROWS", 700)
+    rng = np.random.default_rng(11)
+    data = rng.normal(size=(1500, 64)).astype(np.float32)
+    copies = rng.choice(1500, 400, replace=False)
+    data[copies] = data[copies[0]]
+    df = spark.createDataFrame([(i, [float(x) for x in v], "x") for i, v in enumerate(data)], SCHEMA)
+    vecs = data.astype(float)
+    got = {}
+    for r in sorted(vptree.nearest(df, every=5, factor=1.0).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    for q in range(0, 1500, 5):
+        s = np.zeros(1500)
+        for k in range(64):
+            s += vecs[q, k] * vecs[:, k]
+        order = sorted((j for j in range(1500) if j != q), key=lambda j: (-s[j], j))[:20]
+        assert got[q] == [(j, s[j]) for j in order]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_ties_inside_a_shard(seed):
+    rng = np.random.default_rng(seed)
+    vecs = rng.normal(size=(1500, 64))
+    copies = rng.choice(1500, 400, replace=False)
+    vecs[copies] = vecs[copies[0]]
+    ids = np.arange(1500)
+    queries = np.arange(0, 1500, 20)
+    q, v, s = vptree.find(ids, vecs, queries, vecs[queries], 20, 1.0)
+    for query in queries:
+        score = np.zeros(1500)
+        for k in range(64):
+            score += vecs[query, k] * vecs[:, k]
+        order = sorted((j for j in range(1500) if j != query), key=lambda j: (-score[j], j))[:20]
+        assert v[q == query].tolist() == order and s[q == query].tolist() == score[order].tolist()
