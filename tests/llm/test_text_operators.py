@@ -197,9 +197,87 @@ def test_wrapper_drops_what_a_host_repeats():
 
 
 def test_tree_matching():
-    one, two = (html_extract.parse(h)[0] for h in ("<body><p>a</p><div>b</div><p>c</p>", "<body><p>x</p><p>y</p>"))
-    size, pairs = html_extract.match_trees(one, two)
-    assert size == 4 and [(a.texts, b.texts) for a, b in pairs if a.tag == "p"] == [(["c"], ["y"]), (["a"], ["x"])]
+    forest = html_extract.Forest()
+    one, two = (html_extract.facts(h, forest)[1] for h in ("<body><p>a</p><div>b</div><p>c</p>", "<body><p>x</p><p>y</p>"))
+    size, pairs = forest.match(one, two)
+    assert size == 6 and pairs == ((0, 0),)  # root, body, two paragraphs with their texts
+    assert forest.places(one, two) == [(3, True), (7, True)]
+    assert forest.dump(forest.merge(two, one)) == ["#", ["body", ["p", 0], ["div", 0], ["p", 0]]]
+
+
+def brute_match(a, b):
+    """Size of the largest matching of two dumped trees, by trying every pairing of children."""
+    if a == 0 or b == 0:
+        return int(a == b)
+    if a[0] != b[0]:
+        return 0
+
+    def best(x, y):
+        if not x or not y:
+            return 0
+        return max(best(x[1:], y), best(x, y[1:]), brute_match(x[0], y[0]) + best(x[1:], y[1:]))
+
+    return 1 + best(a[1:], b[1:])
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_tree_matching_equals_brute_force(seed):
+    import random
+
+    rng = random.Random(seed)
+
+    def tree(depth):
+        return 0 if not depth or rng.random() < 0.3 else [rng.choice("ab"), *(tree(depth - 1) for _ in range(rng.randint(0, 4)))]
+
+    for _ in range(20):
+        forest = html_extract.Forest()
+        a, b = (["r", *(tree(3) for _ in range(rng.randint(0, 4)))] for _ in range(2))
+        x, y = forest.load(a), forest.load(b)
+        assert forest.match(x, y)[0] == brute_match(a, b)
+        both = forest.merge(x, y)
+        for part in (x, y):  # a merged tree holds each of its parts
+            places = forest.places(both, part)
+            assert [n for n, own in places if own] == sorted({n for n, own in places if own}) and forest.dump(x) == a
+
+
+def test_shared_paragraphs_stay_and_boxes_go_at_any_number_of_pages(spark):
+    box = '<div class="newsletter">Get {w} by mail</div><div class="ad">Buy {w}</div><form>Your {w} mail</form><section class="comments"><p>{w} says hi</p></section>'
+    for n in (1, 2, 3, 10):
+        words = [f"w{i}" for i in range(n)]
+        pages = ["<article><h1>Title {w}</h1><p>{w} tells one story and then another.</p><p>This paragraph stands in every article of the site.</p>{box}</article>".format(
+            w=w, box=box.format(w=w)) for w in words]
+        assert extracted(spark, pages) == {
+            i: f"Title {w}\n{w} tells one story and then another.\nThis paragraph stands in every article of the site." for i, w in enumerate(words)}
+
+
+def test_menu_of_most_pages_goes(spark):
+    menu = "<div class=top><div>Home page</div><div>Our offers</div></div>"
+    pages = [f"<body>{menu if i % 5 else '<div class=top><div>Other start</div><div>Other offers</div></div>'}<div class=x><p>{'word ' * 9}{i}</p><p>more words of {i}</p></div>" for i in range(20)]
+    got = extracted(spark, pages)
+    assert all(got[i] == f"{'word ' * 9}{i}\nmore words of {i}" for i in range(20) if i % 5)
+
+
+def test_second_paragraph_is_told_from_the_first(spark):
+    """Equal paths: a constant text after a varying one stands at a node of its own."""
+    pages = [f"<body><div class=x><p>{w * 30} varies</p><p>Always the same line</p><p>{w * 20} too</p></div>" for w in "abcd"]
+    assert extracted(spark, pages) == {i: f"{w * 30} varies\n{w * 20} too" for i, w in enumerate("abcd")}
+
+
+def test_spark_wrappers_equal_induce(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(html_extract, "MERGED_TREES", 3)
+    rng = random.Random(4)
+    pages = []
+    for i in range(40):
+        parts = [f"<p>{rng.random()} words of page {i}</p>" for _ in range(rng.randint(1, 6))]
+        parts.insert(rng.randint(0, len(parts)), "<p>Fixed line</p>")
+        pages.append(f"<body><div class=h><b>Site</b> name</div><div class=x>{''.join(parts)}</div><div class=f>All rights</div>")
+    got = extracted(spark, pages)
+    assert all("All rights" not in t and "Site name" not in t for t in got.values())
+    assert all(re.findall(r"0\.\d+ words of page \d+", got[i]) == re.findall(r"0\.\d+ words of page \d+", p) for i, p in enumerate(pages))
+    wrapper = html_extract.induce(pages)
+    assert [html_extract.extract(p, wrapper).split("\n")[0] for p in pages] == [got[i].split("\n")[0] for i in range(40)]
 
 
 def test_html_edges(spark):
