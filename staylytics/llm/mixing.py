@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from staylytics.llm.frames import all_columns, row_hash
 from staylytics.operators.ordering import with_global_index
 from staylytics.session import settle
 
@@ -29,13 +30,17 @@ def word_count(text: str | Column = "text") -> Column:
 
 
 def _placed(docs: DataFrame) -> DataFrame:
-    """``docs`` with place and tie: shuffle key, whose first three digits number one of 4096 equal ranges, and hash of the row.
+    """(row, doc_id, source, size, place, tie) of ``docs``: the whole row, what the mix needs of it, its shuffle key, whose first
+    three digits number one of 4096 equal ranges, and a hash of the row.
 
     The key is of doc_id, or of the whole row where that is null; the tie orders rows that repeat a doc_id.
     """
-    tie = F.xxhash64(*docs.columns)
+    tie = row_hash(docs)
     name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row:"), tie.cast("string")))
-    return docs.select("*", F.md5(F.concat(F.lit("mix:"), name).cast("binary")).alias("place"), tie.alias("tie"))
+    return docs.select(
+        F.struct(*all_columns(docs)).alias("row"), "doc_id", F.col("source").cast("string").alias("source"), word_count().alias("size"),
+        F.md5(F.concat(F.lit("mix:"), name).cast("binary")).alias("place"), tie.alias("tie"),
+    )
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
@@ -83,7 +88,7 @@ def _taken(copy: int) -> Column:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    return settle(_placed(docs).select("doc_id", F.col("source").cast("string"), word_count().alias("size"), "place", "tie"))
+    return settle(_placed(docs).drop("row"))
 
 
 def _in_order(copies: DataFrame) -> DataFrame:
@@ -122,10 +127,11 @@ def mix_report(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: flo
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The mix itself: every taken row of ``docs``, columns unchanged, once per copy, range-sorted by virtual finish time.
 
-    Whole documents only. A source without any word is left out. See ``mix_report``.
+    Whole documents only. A source without any word is left out. Other columns may have any name and type. See
+    ``mix_report``.
     """
     rows = _rows(docs)
     taken = _copies(rows, settle(source_targets(rows, weights, share, most)))
-    held = _placed(docs).select(F.struct(*docs.columns).alias("_row"), F.col("source").cast("string").alias("_source"), "place", "tie")
-    both = held.join(taken.hint("shuffle_hash"), _is_of(F.col("_source")))
-    return _in_order(both.select("_row", F.explode("finish").alias("finish"), "place", "tie")).select("_row.*")
+    held = _placed(docs).select("row", "source", "place", "tie")
+    both = held.join(taken.hint("shuffle_hash"), _is_of(F.col("source")))
+    return _in_order(both.select("row", F.explode("finish").alias("finish"), "place", "tie")).select("row.*")

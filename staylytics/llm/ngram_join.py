@@ -27,14 +27,15 @@ from pyspark.sql import functions as F
 from staylytics.llm import counters
 from staylytics.llm import text as tx
 from staylytics.llm.components import components
+from staylytics.llm.frames import row_hash
 from staylytics.session import settle
 
 SKETCH_BITS = 20  # counters of the shingle order
-KEYS_PER_PART = 1_000_000
+KEYS_PER_PART = 400_000
 HOT_KEY = 200_000  # classes under one key above which the key is dealt over several parts
 MEMBER_WEIGHT = 400  # fixed weight of a set beside its length
 GROUP_WEIGHT = 400_000  # weight of one chunk of a pivot group
-TASK_WEIGHT = 2_000_000
+TASK_WEIGHT = 1_000_000
 FILTER_BITS = 24  # bits of the filter on identifiers whose texts are fetched
 
 
@@ -75,6 +76,7 @@ def profile(docs: DataFrame, width: int) -> DataFrame:
         table = counters.ship(counts)
         none = pa.nulls(len(table["slice"]), pa.int64())
         yield pa.RecordBatch.from_pydict({"doc_id": none, "class": none, "n": none, **table})
+        tx.release()
 
     schema = f"doc_id long, class long, n long, {counters.SCHEMA}"
     return settle(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema))
@@ -119,6 +121,7 @@ def _keys(docs: DataFrame, shared, width: int, num: int, den: int, parts: int) -
                     size = 0
         if held:
             yield flush()
+        tx.release()
 
     return docs.select(F.col("text").cast("string")).mapInArrow(run, "part long, entries binary")
 
@@ -146,6 +149,7 @@ def _routes(keys: DataFrame, shared, num: int, den: int) -> DataFrame:
         met = pivot != e["c"]
         pairs = np.unique(np.stack([pivot[met], e["c"][met]]), axis=1)
         tops = first & dealt
+        tx.release()
         return pa.table({
             "dealt": np.concatenate([np.zeros(pairs.shape[1], bool), np.ones(tops.sum(), bool)]),
             "a": np.concatenate([pairs[0], e["h"][tops].view(np.int64)]), "b": np.concatenate([pairs[1], pivot[tops]]),
@@ -278,6 +282,8 @@ def _meet(docs: DataFrame, wanted: DataFrame, shared, width: int, num: int, den:
                 found = _trie_links([m[0] for m in members.values()], counts, num, den, None if probe[0] is None else np.array(probe))
                 edges += [(names[i], names[j]) for i, j in found]
         a, b = zip(*edges, strict=True) if edges else ((), ())
+        groups.clear()
+        tx.release()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return sent.groupBy("task").applyInArrow(run, "a long, b long")
@@ -362,7 +368,8 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 75, den: int = 100) ->
     """``docs`` without all but one document of each component: the one with the smallest doc_id stays.
 
     Rows equal in doc_id and text count as one. Rows that repeat a doc_id with other texts go only if none of them is
-    the smallest of its component. Rows with a null doc_id cannot be told apart and stay.
+    the smallest of its component. Rows with a null doc_id cannot be told apart and stay. Other columns may have any
+    name and type; of rows equal in doc_id and text the one with the smallest hash stays.
     """
     found = ngram_components(docs, width, num, den)
     gone = found.groupBy("doc_id").agg(F.bool_and(F.col("doc_id") != F.col("component_id")).alias("gone")).where("gone").select("doc_id")
@@ -371,5 +378,5 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 75, den: int = 100) ->
     if twice.isEmpty():
         return left
     repeated = left.join(twice, "doc_id", "left_semi")
-    once = repeated.groupBy("doc_id", "text").agg(F.min(F.struct("*")).alias("row")).select("row.*")
+    once = repeated.groupBy("doc_id", "text").agg(F.min_by(F.struct("*"), row_hash(repeated)).alias("row")).select("row.*")
     return left.join(twice, "doc_id", "left_anti").unionByName(once)

@@ -7,12 +7,13 @@ texts without a shuffle.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staylytics.llm import text as tx
@@ -76,12 +77,20 @@ def _leader(rows: Iterator[tuple[np.ndarray, np.ndarray, int]], s: Settings) ->
     return w[:-1], float(w[-1])
 
 
+def _epochs(places: array, values: array, ends: array, labels: array, epochs: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    p, v = np.frombuffer(places, np.uint32) if places else np.zeros(0, np.uint32), np.frombuffer(values, np.float32) if values else np.zeros(0, np.float32)
+    for _ in range(epochs):
+        for lo, hi, y in zip(ends[:-1], ends[1:], labels, strict=True):
+            yield p[lo:hi], v[lo:hi], y
+
+
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, s: Settings = Settings()) -> Model:
     """Learn ``labels.quality`` from ``docs.text``.
 
     ``usable`` is a condition on ``doc_id`` that labelled rows must meet. Rows with a null identifier or a label other
     than 0 and 1 are ignored; an identifier with both labels counts as 1. Of the rest the ``max_rows`` with the
-    smallest identifier hash are read. Without any usable row the model is neutral: every score is 0.5.
+    smallest identifier hash are read; of texts that share an identifier, the one with the smallest hash. Without any
+    usable row the model is neutral: every score is 0.5.
     """
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     if usable is not None:
@@ -93,14 +102,23 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, s: Set
         .limit(s.max_rows)
     )
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
+    least = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))  # limited map-side
+    rows = rows.withColumn("copy", least).where("copy = 1").drop("copy")
     rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(1)), "doc_id", "text")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [(p.astype(np.uint32), v.astype(np.float32), y)
-                for b in batches
-                for (p, v), y in zip(features(b.column("text"), s.bits), b.column("y").to_pylist(), strict=True)]
-        weights, bias = _leader((row for _ in range(s.epochs) for row in seen), s)
+        # three flat arrays, not two small ones a row
+        places, values, ends, labels = array("I"), array("f"), array("q", [0]), array("b")
+        for b in batches:
+            for p, v in features(b.column("text"), s.bits):
+                places.frombytes(p.astype(np.uint32).tobytes())
+                values.frombytes(v.astype(np.float32).tobytes())
+                ends.append(len(places))
+            labels.extend(b.column("y").to_pylist())
+        weights, bias = _leader(_epochs(places, values, ends, labels, s.epochs), s)
         yield pa.RecordBatch.from_pydict({"weights": [weights.astype(np.float32).tobytes()], "bias": [bias]})
+        del places, values
+        tx.release()
 
     got = rows.mapInArrow(train, "weights binary, bias double").collect()  # one row of 2 ** bits floats
     if not got:

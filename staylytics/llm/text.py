@@ -1,18 +1,21 @@
 """Vectorised word hashing over Arrow string arrays, shared by the operators that read whole texts inside tasks.
 
-Texts are handled as UTF-8 bytes in pieces of bounded size, so memory follows the longest single text and not the
-Arrow batch. Hashes are 64 bits wide and the same in every process.
+Texts are handled as UTF-8 bytes in pieces of bounded size, so memory follows the longest single text (about twelve
+bytes per byte of it) and not the Arrow batch. Hashes are 64 bits wide and the same in every process.
 """
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 500_000  # bytes of texts handled together
+CHUNK_BYTES = 1 << 16  # bytes hashed together, also inside a long text
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -38,16 +41,20 @@ def _byte_values(fold_case: bool) -> np.ndarray:
 
 
 _FOLDED, _EXACT = _byte_values(True), _byte_values(False)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+def _powers(base: np.uint64) -> np.ndarray:
+    steps = np.full(CHUNK_BYTES + 1, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps)
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) <= n:
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            steps = np.full(max(n, PIECE_BYTES) + 1, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps)
-    return _powers
+_POWER, _INVERSE = _powers(_BASE), _powers(_BASE_INVERSE)
+
+
+def release() -> None:
+    """Give memory that this task no longer needs back to the system; the worker process goes on to other tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc keeps freed memory for itself
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def as_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
@@ -84,10 +91,22 @@ def _runs(inside: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> np.ndarray:
-    power, inverse = _power_tables(len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * power[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _STEP)
+    """Hashes of the stretches ``starts`` to ``ends``, ascending and apart, from sums over chunks of the bytes; a stretch
+    that goes on in the next chunk carries its sum along."""
+    out = np.zeros(len(starts), np.uint64)
+    for lo in range(0, len(data), CHUNK_BYTES):
+        piece = data[lo : lo + CHUNK_BYTES]
+        a, b = np.searchsorted(ends, lo, "right"), np.searchsorted(starts, lo + len(piece))
+        if a == b:
+            continue
+        total = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(values[piece] * _POWER[: len(piece)], out=total[1:])
+        begin, end = np.maximum(starts[a:b] - lo, 0), np.minimum(ends[a:b] - lo, len(piece))
+        part = (total[end] - total[begin]) * _INVERSE[begin]
+        if starts[a] < lo:
+            part[:1] *= np.array([pow(int(_BASE), lo - int(starts[a]), 1 << 64)], np.uint64)
+        out[a:b] += part
+    return mix(out + (ends - starts).astype(np.uint64) * _STEP)
 
 
 def _row_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
