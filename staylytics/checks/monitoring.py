@@ -96,11 +96,43 @@ def _(lake):
     return ops.ks_drift(drift_values(lake), ["column_name"]).withColumn("ks", F.round("ks", 6))
 
 
+view("drift_texts", """
+SELECT 'event_type' AS column_name, ts >= TIMESTAMP '2024-01-16' AS cur, event_type AS v FROM events
+UNION ALL SELECT 'props', ts >= TIMESTAMP '2024-01-16', props FROM events
+UNION ALL SELECT 'weekday', ts >= TIMESTAMP '2024-01-16', strftime(ts, '%A') FROM events
+UNION ALL SELECT 'week_half', ts >= TIMESTAMP '2024-01-16', CASE WHEN day(ts) < 10 THEN 'early' WHEN day(ts) < 20 THEN 'mid' ELSE 'late' END FROM events""")
+_TEXT_DRIFT = """
+SELECT column_name, n_ref, n_cur, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS distance
+FROM (SELECT column_name, n_ref, n_cur, sum(r) / n_ref AS p, sum(c) / n_cur AS q FROM (
+  SELECT *, sum(r) OVER (PARTITION BY column_name) AS n_ref, sum(c) OVER (PARTITION BY column_name) AS n_cur FROM (
+    SELECT column_name, v, (count(*) FILTER (WHERE NOT cur))::BIGINT AS r, (count(*) FILTER (WHERE cur))::BIGINT AS c FROM drift_texts WHERE v IS NOT NULL GROUP BY 1, 2))
+  GROUP BY column_name, n_ref, n_cur, CASE WHEN r + c >= (n_ref + n_cur) * 0.005::DOUBLE THEN v END) GROUP BY 1, 2, 3"""
+
+
+def events_with_texts(lake):
+    ts = F.col("ts")
+    part = F.when(F.day(ts) < 10, "early").when(F.day(ts) < 20, "mid").otherwise("late")
+    return lake.table("events").withColumns({
+        "weekday": F.date_format(ts, "EEEE"), "week_half": part, "k": F.get_json_object("props", "$.k").cast("double"),
+        "hour": F.hour(ts).cast("double"), "day": F.day(ts).cast("double"),
+    })
+
+
+_IS_CURRENT = "ts >= timestamp_ntz'2024-01-16'"
+
+
+@query("A20_text_column_drift", f"SELECT column_name, n_ref::BIGINT AS n_ref, n_cur::BIGINT AS n_cur, round(distance, 6) AS distance, distance > 0.1 AS drifted FROM ({_TEXT_DRIFT})")
+def _(lake):
+    found = ops.column_drift(events_with_texts(lake), F.expr(_IS_CURRENT), ["event_type", "props", "weekday", "week_half"])
+    return found.drop("test").withColumn("distance", F.round("distance", 6))
+
+
 @query("A20_drift_share", f"""
 SELECT count(*) AS n_columns, count(*) FILTER (WHERE drifted) AS n_drifted, count(*) FILTER (WHERE drifted) / count(*) AS drift_score
-FROM ({_ks(['column_name'])})""")
+FROM (SELECT drifted FROM ({_ks(['column_name'])}) UNION ALL SELECT distance > 0.1 FROM ({_TEXT_DRIFT}))""")
 def _(lake):
-    return ops.drift_share(ops.ks_drift(drift_values(lake), ["column_name"]))
+    columns = ["value", "k", "hour", "day", "event_type", "props", "weekday", "week_half"]
+    return ops.drift_share(ops.column_drift(events_with_texts(lake), F.expr(_IS_CURRENT), columns))
 
 
 _ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]

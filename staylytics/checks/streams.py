@@ -8,7 +8,8 @@ from staylytics.checks.views import view
 from staylytics.operators import monitoring
 from staylytics.session import scratch_path
 from staylytics.sources.models import prediction_log
-from staylytics.streaming import jobs
+from staylytics.streaming import drift, jobs, memory
+from staylytics.streaming.sinks import disk_state, each_batch
 
 _CLOSED = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM events)"
 _TS = "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
@@ -55,7 +56,8 @@ GROUP BY user_id, s"""
 
 @query("T4_session_stream", _SESSIONS + f" HAVING max(ts) + INTERVAL 30 MINUTE <= {_CLOSED}")
 def _(lake):
-    return jobs.drained(jobs.sessions(jobs.event_stream(lake.spark, lake.root)), "sessions")
+    with jobs.merged_sessions(lake.spark):
+        return jobs.drained(jobs.sessions(jobs.event_stream(lake.spark, lake.root)), "sessions")
 
 
 @query("T4_session_batch", _SESSIONS)
@@ -65,7 +67,38 @@ def _(lake):
 
 @query("T5_document_dedupe_stream", "SELECT DISTINCT sha256(text) AS hash FROM documents")
 def _(lake):
-    return jobs.drained(jobs.distinct_documents(jobs.file_stream(lake.spark, lake.root, "documents.parquet")), "dedupe")
+    return jobs.distinct_documents(jobs.file_stream(lake.spark, lake.root, "documents.parquet"))
+
+
+# Turns arrive in order of time, four turns of all conversations in a batch; a session is idle 30 minutes after its last.
+@query("T4_conversation_memory", """
+SELECT session_id, r.turn, recency, max(r.said_at) OVER (PARTITION BY session_id) + 1800 < (SELECT max(said_at) FROM turns) - 600 AS expired
+FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY said_at DESC, turn DESC) AS recency FROM turns WHERE said_at >= now - 1800) r WHERE recency <= 8""")
+def _(lake):
+    spark, folder, sink = lake.spark, scratch_path(lake.spark, "turns"), scratch_path(lake.spark, "memory")
+    rows = lake.table("conversations").select(F.col("conv_id").alias("session_id"), "turn", "role", "text", (F.lit(1_704_067_200) + F.col("turn") * 300).alias("said_at"))
+    rows.withColumn("part", F.floor(F.col("turn") / 4)).repartition("part").write.partitionBy("part").parquet(f"{folder}/all")
+    parts = [r["part"] for r in spark.read.parquet(f"{folder}/all").select("part").distinct().orderBy("part").collect()]  # a few numbers
+    schema = rows.schema
+    with disk_state(spark):
+        for part in parts:  # each arrival is worked off from the checkpoint of the one before
+            spark.read.schema(schema).parquet(f"{folder}/all/part={part}").write.parquet(f"{folder}/arrived/part={part}")
+            stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{folder}/arrived")
+            jobs.drain(memory.remembered(stream), sink)
+    states = spark.read.schema(memory.MEMORY).parquet(f"{sink}/data")
+    return memory.last_memory(states).select("session_id", "turn", "recency", "expired")
+
+
+@query("T6_drift_per_batch", _DRIFT)
+def _(lake):
+    """Log lines in three arrivals, one file a batch; each arrival restarts the stream from its checkpoint."""
+    spark, lines, path = lake.spark, scratch_path(lake.spark, "lines"), scratch_path(lake.spark, "drift")
+    log = prediction_log(lake)
+    for arrival in range(3):
+        log.where(F.pmod(F.xxhash64("value"), F.lit(3)) == arrival).write.mode("append").text(lines)
+        stream = spark.readStream.option("maxFilesPerTrigger", 1).text(lines)
+        each_batch(stream, path, drift.drift_sink(path))
+    return drift_rounded(drift.drift_report(spark, path))
 
 
 @query("T6_drift_after_ingestion", _DRIFT)
@@ -87,4 +120,5 @@ FROM (SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS w FROM events WHE
 def _(lake):
     events = lake.table("events")
     edge = F.lit("2024-01-11").cast("timestamp_ntz")
-    return jobs.late_data(events.where(F.col("ts") >= edge), events.where(F.col("ts") < edge))
+    late = events.where(F.col("ts") < edge)
+    return jobs.late_data(events.where(F.col("ts") >= edge), late.where("event_id % 2 = 0"), late.where("event_id % 2 = 1"))

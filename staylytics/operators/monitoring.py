@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from staylytics import constants as C
 from staylytics.functions.keys import hash63, joined
 from staylytics.operators.joins import null_safe_join
 from staylytics.operators.ordering import exact_quantile, with_running_totals
+from staylytics.session import settle
 
 # ---- prediction logs -------------------------------------------------------------------------------------------
 
@@ -31,24 +33,33 @@ def parse_log(lines: DataFrame) -> DataFrame:
     ).where(F.col("logged_at").isNotNull())
 
 
+def window_label(t: Column, now: Column, window_days: int) -> Column:
+    """'recent' in the window that ends at ``now``, 'prior' in the one before it, else NULL."""
+    span = F.expr(f"INTERVAL {int(window_days)} DAYS")
+    return F.when(t > now - span, "recent").when(t > now - span - span, "prior")
+
+
 def windowed_log(log: DataFrame, window_days: int = 7) -> DataFrame:
     """Records of the two newest windows per domain, labelled; the anchor is the domain's newest record."""
     anchors = log.groupBy("domain").agg(F.max("logged_at").alias("now"))
-    span = F.expr(f"INTERVAL {int(window_days)} DAYS")
-    t, now = F.col("logged_at"), F.col("now")
-    label = F.when(t > now - span, "recent").when((t > now - span - span), "prior")
+    label = window_label(F.col("logged_at"), F.col("now"), window_days)
     return null_safe_join(log, anchors, ["domain"]).withColumn("window", label).where(F.col("window").isNotNull()).drop("now")
 
 
-def log_fields(log: DataFrame) -> DataFrame:
-    """One row per numeric field of each record."""
-    entries = log.select("domain", "window", F.explode_outer("fields").alias("field", "text"))
+def log_fields(log: DataFrame, *keep: str) -> DataFrame:
+    """One row per numeric field of each record, with its domain and the columns to keep."""
+    entries = log.select("domain", *keep, F.explode_outer("fields").alias("field", "text"))
     return entries.withColumn("number", json_number(F.col("text"))).where("number is not null").drop("text")
 
 
+def with_marker(log: DataFrame) -> DataFrame:
+    """A numeric field ``_records`` on every record, so that records are counted in the same aggregate as fields."""
+    return log.withColumn("fields", F.map_concat("fields", F.create_map(F.lit("_records"), F.lit("1"))))
+
+
 def shared_fields(log: DataFrame) -> DataFrame:
     """Numeric fields that occur in both windows of a domain."""
-    fields = log_fields(log)
+    fields = log_fields(log, "window")
     seen = [fields.where(F.col("window") == w).select("domain", "field") for w in ("recent", "prior")]
     return seen[0].intersect(seen[1])
 
@@ -56,18 +67,21 @@ def shared_fields(log: DataFrame) -> DataFrame:
 def prediction_drift(log: DataFrame, window_days: int = 7) -> DataFrame:
     """Mean and population deviation per domain and field in the recent and prior window, with a verdict.
 
-    Domains with fewer than two records in either window, and such fields, are left out. Records are counted in the
-    same aggregate as the fields, through a marker field that every record carries.
+    Domains with fewer than two records in either window, and such fields, are left out.
     """
-    marker = F.create_map(F.lit("_records"), F.lit("1"))
-    labelled = windowed_log(log, window_days).withColumn("fields", F.map_concat("fields", marker))
     recent, prior, n = F.col("window") == "recent", F.col("window") == "prior", F.col("number")
-    stats = log_fields(labelled).groupBy("domain", "field").agg(
+    return drift_verdict(log_fields(with_marker(windowed_log(log, window_days)), "window").groupBy("domain", "field").agg(
         F.count_if(recent).alias("n_recent"), F.count_if(prior).alias("n_prior"),
         F.avg(F.when(recent, n)).alias("recent_mean"), F.stddev_pop(F.when(recent, n)).alias("recent_std"),
         F.avg(F.when(prior, n)).alias("prior_mean"), F.stddev_pop(F.when(prior, n)).alias("prior_std"),
-    )
-    # One row per domain and field from here on.
+    ))
+
+
+def drift_verdict(stats: DataFrame) -> DataFrame:
+    """Fields with two records in both windows, and whether they are stable, from one row per domain and field.
+
+    The marker field carries the numbers of records.
+    """
     per_domain, records = Window.partitionBy("domain"), F.col("field") == "_records"
     stats = stats.withColumns({
         "recent_count": F.max(F.when(records, F.col("n_recent"))).over(per_domain),
@@ -101,6 +115,48 @@ def ks_drift(values: DataFrame, keys: Sequence[str]) -> DataFrame:
     return found.withColumn("drifted", F.col("ks") > bound)
 
 
+TEXT_DRIFT = 0.1  # Jensen-Shannon distance from which a text column has drifted
+RARE_SHARE = 0.005  # values with a smaller share of all rows count as one
+
+
+def text_drift(values: DataFrame, keys: Sequence[str], bound: float = TEXT_DRIFT, rare: float = RARE_SHARE) -> DataFrame:
+    """Jensen-Shannon distance (natural logarithm) per key between the value histograms of rows with ``is_current`` false and
+    true. NULLs are left out; rare values are pooled, so that ids and free texts do not count as drift by themselves."""
+    keys = list(keys)
+    cur = F.col("is_current")
+    hist = settle(values.where("v IS NOT NULL").groupBy(*keys, "v").agg(F.count_if(~cur).alias("ref"), F.count_if(cur).alias("cur")))
+    sizes = hist.groupBy(*keys).agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur")).where("n_ref > 0 AND n_cur > 0")
+    placed = null_safe_join(hist, sizes, keys)
+    name = F.when(F.col("ref") + F.col("cur") >= (F.col("n_ref") + F.col("n_cur")) * rare, F.struct("v"))
+    pooled = placed.groupBy(*keys, "n_ref", "n_cur", name.alias("_name")).agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    p, q = F.col("ref") / F.col("n_ref"), F.col("cur") / F.col("n_cur")
+
+    def towards_middle(x: Column) -> Column:
+        return F.when(x > 0, x * F.log(x / ((p + q) / 2))).otherwise(0.0)
+
+    distance = F.sqrt(F.greatest(F.sum(towards_middle(p) + towards_middle(q)) / 2, F.lit(0.0)))
+    return pooled.groupBy(*keys, "n_ref", "n_cur").agg(distance.alias("distance")).withColumn("drifted", F.col("distance") > bound)
+
+
+def column_drift(df: DataFrame, is_current: Column, columns: Sequence[str]) -> DataFrame:
+    """(column_name, test, n_ref, n_cur, distance, drifted) of columns of any simple type: text and boolean columns by
+    ``text_drift``, numbers by ``ks_drift``."""
+    kinds = {c: t for c, t in df.dtypes if c in columns}
+    text = [c for c in columns if kinds[c] in ("string", "boolean")]
+
+    def entries(names: Sequence[str], kind: str) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast(kind).alias("v")) for c in names])
+        return df.select(is_current.alias("is_current"), F.inline(pairs))
+
+    parts = []
+    if text:
+        parts.append(text_drift(entries(text, "string"), ["column_name"]).withColumn("test", F.lit("jensen_shannon")))
+    if len(text) < len(columns):
+        numeric = ks_drift(entries([c for c in columns if c not in text], "double"), ["column_name"]).withColumnRenamed("ks", "distance")
+        parts.append(numeric.withColumn("test", F.lit("kolmogorov_smirnov")))
+    return reduce(DataFrame.unionByName, parts).select("column_name", "test", "n_ref", "n_cur", "distance", "drifted")
+
+
 def drift_share(columns: DataFrame) -> DataFrame:
     return columns.agg(
         F.count("*").alias("n_columns"), F.count_if("drifted").alias("n_drifted"),

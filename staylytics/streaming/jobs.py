@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -9,11 +11,12 @@ from pyspark.sql.streaming.query import StreamingQuery
 from staylytics.operators.joins import null_safe_join
 from staylytics.operators.ordering import with_running_totals
 from staylytics.session import scratch_path, settle
+from staylytics.streaming.sinks import batches, counting_late_rows, disk_state, each_batch, options, write_batch
 
 DELAY = "10 minutes"
 SESSION_GAP = "30 minutes"
 FILES_A_BATCH = 256  # a backlog is worked off in batches of so many files
-DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_MERGED = {"spark__sql__streaming__sessionWindow__merge__sessions__in__local__partition": "true"}
 
 
 def file_stream(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -79,13 +82,17 @@ def histogram_p95(histogram: DataFrame) -> DataFrame:
 
 def sessions(events: DataFrame) -> DataFrame:
     """Activity sessions per user: closed after 30 minutes without an event. Sessions are merged before the shuffle, so a
-    very active user sends few rows."""
-    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    very active user sends few rows, if the query runs with ``merged_sessions``."""
     return events.groupBy(F.session_window("ts", SESSION_GAP), "user_id").agg(F.count("*").alias("n")).select(
         "user_id", F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "n"
     )
 
 
+def merged_sessions(spark: SparkSession):
+    """Options under which a stream of ``sessions`` merges before its shuffle."""
+    return options(spark, **_MERGED)
+
+
 def _gap_ids(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy(start)
     reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -116,38 +123,52 @@ def batch_sessions(events: DataFrame) -> DataFrame:
     )
 
 
-def distinct_documents(docs: DataFrame) -> DataFrame:
-    """First arrival per content hash; the hashes seen are kept on disk."""
-    docs.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", DISK_STATE)
-    return docs.select(F.sha2("text", 256).alias("hash")).dropDuplicates(["hash"])
+_SEEN = "hash string"
+
+
+def dedupe_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Writer of micro-batches of documents (text): adds the content hashes that no earlier batch has, each once.
+
+    The hashes seen are a table, not operator state, so they neither age nor fill executors. A replay of a batch compares with
+    earlier batches only and writes the same rows again.
+    """
+
+    def write(docs: DataFrame, batch_id: int) -> None:
+        arrived = docs.select(F.sha2("text", 256).alias("hash")).distinct()
+        before = batches(docs.sparkSession, path, _SEEN + ", batch int").where(F.col("batch") < batch_id)
+        write_batch(arrived.join(before, arrived["hash"].eqNullSafe(before["hash"]), "left_anti"), path, batch_id)
+
+    return write
+
+
+def distinct_documents(docs: DataFrame, label: str = "dedupe") -> DataFrame:
+    """First arrival per content hash of everything that a stream of documents has."""
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, label)
+    each_batch(docs, path, dedupe_sink(f"{path}/seen"))
+    return batches(spark, f"{path}/seen", _SEEN).select("hash")
 
 
-def late_data(on_time: DataFrame, late: DataFrame) -> DataFrame:
-    """Feed on-time rows, then late ones, to one checkpointed count; late rows change nothing.
+def late_data(*arrivals: DataFrame) -> DataFrame:
+    """Feed events to one checkpointed count, one arrival after another; late rows change nothing but a counter.
 
-    Rows whose window the watermark had closed when they came are kept in a side table and counted exactly.
+    A row is late if the watermark had closed its window when it came. Rows pass a per-row state with their place in the
+    input as key, which holds a window's rows until the window closes; there Spark counts each late row by itself (behind an
+    aggregate it would count groups), and ``sinks.LateRows`` adds the counts up.
     """
-    spark = on_time.sparkSession
+    spark = arrivals[0].sparkSession
     folder, sink = scratch_path(spark, "arrivals"), scratch_path(spark, "counts")
     columns = ["event_id", "ts", "user_id", "event_type", "value"]
-    on_time.select(*columns).write.parquet(f"{folder}/batch=1")
-    schema = spark.read.parquet(f"{folder}/batch=1").schema
 
-    def counts() -> DataFrame:
+    def counts(schema) -> DataFrame:
         raw = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(folder)
-        timed = with_event_time(raw).withWatermark("ts", DELAY)
-        return timed.groupBy(F.window("ts", "5 minutes"), "domain").agg(F.count("*").alias("n")).select(
-            F.col("window.start").alias("window_start"), "domain", "n"
-        )
-
-    closed = drain(counts(), sink).lastProgress["eventTime"]["watermark"]
-    late.select(*columns).write.parquet(f"{folder}/batch=2")
-    arrived = with_event_time(spark.read.schema(schema).parquet(f"{folder}/batch=2"))
-    refused = settle(arrived.where(F.window("ts", "5 minutes")["end"] <= F.to_timestamp(F.lit(closed))))
-    drain(counts(), sink)
+        place = F.struct("_metadata.file_path", "_metadata.row_index").alias("place")
+        timed = raw.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("domain"), place).withWatermark("ts", DELAY)
+        once = timed.withColumn("window", F.window("ts", "5 minutes")).dropDuplicates(["window", "place"])
+        return once.groupBy("window", "domain").agg(F.count("*").alias("n")).select(F.col("window.start").alias("window_start"), "domain", "n")
+
+    with disk_state(spark), counting_late_rows(spark) as late:
+        for k, arrival in enumerate(arrivals):
+            arrival.select(*columns).write.parquet(f"{folder}/arrival={k}")
+            drain(counts(spark.read.parquet(f"{folder}/arrival=0").schema), sink)
     result = spark.read.schema("window_start timestamp, domain string, n long").parquet(f"{sink}/data")
-    return result.groupBy("domain").agg(F.sum("n").alias("counted"), F.count("*").alias("windows")).withColumn(
-        "dropped_total", refused.agg(F.count("*")).scalar()
-    )
-
-
+    return result.groupBy("domain").agg(F.sum("n").alias("counted"), F.count("*").alias("windows")).withColumn("dropped_total", F.lit(late.dropped).cast("long"))
