@@ -7,7 +7,8 @@ from staylytics.checks.registry import query
 from staylytics.checks.views import pipe, view
 from staylytics.operators import cleaning as ops
 from staylytics.operators import marts, warehouse
-from staylytics.session import settle
+from staylytics.plans import jobs
+from staylytics.session import scratch_path, settle
 from staylytics.sources.bookings import bookings, raw_bookings
 
 STRIP = r"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
@@ -247,7 +248,8 @@ SELECT step_no, step, rows_before, rows_after, values_changed::BIGINT AS values_
  UNION ALL SELECT 10, 'build_arrival_date', k.n, k.n, k.n, unparseable FROM k, d
  UNION ALL SELECT 11, 'convert_dtypes', k.n, k.n, 3, NULL FROM k)""")
 def _(lake):
-    return ops.clean_audit(raw_bookings(lake))
+    _, audit = jobs.audited_clean_job(lake, scratch_path(lake.spark, "clean"))
+    return audit
 
 
 @query("P20_anchored_snapshot", f"""

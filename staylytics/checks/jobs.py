@@ -9,7 +9,8 @@ from staylytics.checks import monitoring as mon
 from staylytics.checks import retrieval as ret
 from staylytics.checks.models import SIZES
 from staylytics.checks.registry import ORACLES, query
-from staylytics.operators import insights
+from staylytics.checks.reviews import topic_facts
+from staylytics.operators import insights, inverted
 from staylytics.operators import retrieval as ops
 from staylytics.operators.chunking import chunk_rows, chunk_text
 from staylytics.plans import index, jobs, review_report
@@ -71,18 +72,26 @@ def _(lake):
     return review_report.get_trends(lake.spark, path, "monthly")
 
 
+@query("Z5_review_topics", "SELECT unnest(range(5))::INT AS topic_id, 6 AS words, 6 AS known, 5 AS different")
+def _(lake):
+    path = scratch_path(lake.spark, "reviews")
+    review_report.analyze(reviews(lake), path)
+    return topic_facts(review_report.get_topics(lake.spark, path), lake)
+
+
 @query("Z6_index_and_answer", "SELECT query_id, true AS asks, true AS shaped, true AS answered FROM asked")
 def _(lake):
     """Chunk the stored documents, retrieve per question over the chunks, and assemble the prompts."""
     docs = ret.store(lake).withColumn("metadata", F.create_map(F.lit("source"), F.col("doc_type"), F.lit("branch_id"), F.col("branch_id")))
-    path = scratch_path(lake.spark, "chunks")
-    pieces = chunk_rows(chunk_text(docs, "text"), "doc_id")
-    keyed = pieces.withColumn("chunk_id", F.xxhash64("doc_id", "chunk_index"))
-    keyed.join(docs.select("doc_id", "doc_type", "branch_id", "date", "embedding"), "doc_id").write.parquet(path)
-    store = lake.spark.read.parquet(path).select(
-        F.col("chunk_id").alias("doc_id"), "text", "doc_type", "branch_id", "date", "embedding"
-    )
-    context = ops.compress_context(ops.hybrid(store, ret.asked(lake)))
+    path, keywords = scratch_path(lake.spark, "chunks"), scratch_path(lake.spark, "keywords")
+    pieces = chunk_rows(chunk_text(docs, "text"), "doc_id").withColumn("chunk_id", F.xxhash64("doc_id", "chunk_index"))
+    pieces.select("chunk_id", "doc_id", "text", F.element_at("metadata", "source").alias("doc_type"), F.element_at("metadata", "branch_id").alias("branch_id")).write.parquet(path)
+    chunks = lake.spark.read.parquet(path)
+    dates = docs.select(F.col("doc_id").alias("_doc"), "date")
+    store = chunks.join(dates, F.col("doc_id") == F.col("_doc")).select(F.col("chunk_id").alias("doc_id"), "text", "doc_type", "branch_id", "date")
+    vectors = chunks.select("chunk_id", "doc_id").join(ret.vectors(lake), "doc_id").select(F.col("chunk_id").alias("doc_id"), "embedding")
+    inverted.build(store.select("doc_id", "text"), keywords)
+    context = ops.compress_context(ops.hybrid(store, vectors, inverted.load(lake.spark, keywords), ret.asked(lake)))
     texts = ret.asked(lake).join(context, "query_id", "left").select(
         "query_id", "query_text", ops.prompt(F.col("query_text"), F.col("context"), F.lit(None).cast("string")).alias("prompt"),
         ops.fallback_answer(F.col("query_text"), F.col("context")).alias("answer"),

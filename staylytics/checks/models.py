@@ -58,6 +58,20 @@ def _(lake):
     return found.select("branch_id", "occupancy_date", ordered.alias("ordered"), "model_used")
 
 
+# Forecasts of ten past months per branch, each from the days before it; compared on days whose naive value is known.
+@query("M12_forecast_backtest", """
+SELECT d.branch_id, count(*) AS n, true AS covered, true AS beats_naive FROM (
+  SELECT branch_id, occupancy_date, max(occupancy_date) OVER (PARTITION BY branch_id) - (((max(occupancy_date) OVER (PARTITION BY branch_id) - occupancy_date) // 30 + 1) * 30)::INT AS cut,
+    (max(occupancy_date) OVER (PARTITION BY branch_id) - occupancy_date) // 30 AS w FROM daily_base) d
+JOIN daily_base p ON p.branch_id = d.branch_id AND p.occupancy_date = d.occupancy_date - (ceil((d.occupancy_date - cut) / 7) * 7)::INT
+WHERE w < 10 GROUP BY 1""")
+def _(lake):
+    found = ml.backtest(settle(daily(lake)))
+    return found.select(
+        "branch_id", "n", F.col("covered").between(0.90, 0.99).alias("covered"), (F.col("mae") < F.col("naive_mae")).alias("beats_naive")
+    )
+
+
 @query("R4_forecast_sentences", """
 SELECT 'forecast/' || branch_id || '/' || (last + step)::DATE AS path, 'Occupancy forecast for branch ' || branch_id || ' on ' || (last + step)::DATE AS head, true AS whole
 FROM (SELECT branch_id, max(occupancy_date) AS last FROM daily_base GROUP BY 1), (SELECT unnest(range(1, 31))::INT AS step)""")
@@ -94,8 +108,12 @@ def _(lake):
 SELECT branch_id, date::VARCHAR AS date, meal, true AS sound FROM mart_restaurant, (VALUES {', '.join(f"('{m}')" for m in C.MEALS)}) v(meal)""")
 def _(lake):
     df = settle(ml.restaurant_table(marts.mart_restaurant_daily(lake), calendar(lake)))
-    sound = (F.col("expected_quantity") >= 0) & (F.col("expected_revenue") >= 0)
-    return ml.score_meals(ml.fit_meals(df, SIZES["restaurant"]), df).select("branch_id", "date", "meal", sound.alias("sound"))
+    scored = ml.score_meals(ml.fit_meals(df, SIZES["restaurant"]), df).join(df.select("branch_id", "date", "avg_item_value"), ["branch_id", "date"])
+    # quantity and revenue are rounded apart, to a tenth of an item and to a cent
+    off = F.abs(F.col("expected_quantity") * F.col("avg_item_value") - F.col("expected_revenue"))
+    sound = F.when(F.coalesce(F.col("avg_item_value"), F.lit(0.0)) == 0, F.col("expected_quantity") == 0).otherwise(
+        off <= 0.051 * F.abs("avg_item_value") + 0.0051)
+    return scored.select("branch_id", "date", "meal", sound.alias("sound"))
 
 
 @query("M15_meal_arithmetic", """

@@ -9,10 +9,10 @@ from staylytics import constants as C
 from staylytics.checks.marts import daily
 from staylytics.checks.registry import query
 from staylytics.checks.views import view
-from staylytics.operators import chunking, marts
+from staylytics.operators import chunking, inverted, marts
 from staylytics.operators import retrieval as ops
 from staylytics.plans import index
-from staylytics.session import scratch_path
+from staylytics.session import scratch_path, settle
 
 _STRIP = r"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
 view("squeezed", f"""
@@ -62,12 +62,21 @@ def _(lake):
     return cut.select("path", kept.alias("digest"), F.forall("chunks", lambda c: F.length(c) <= C.CHUNK_SIZE).alias("fits"))
 
 
-@query("D5_table_function_native", "SELECT source, count(*) AS documents, true AS fits FROM squeezed WHERE length(t) > 0 GROUP BY 1")
+# Chunks of the table function: their places must hold them, cover the text but for separators, and be those of R5.
+@query("D5_table_function_native", f"""
+SELECT source, count(*) AS documents, sum(length(regexp_replace(t, '{_PLAIN}', '', 'g')))::BIGINT AS kept_chars, true AS placed, 0 AS differing
+FROM squeezed WHERE length(t) > 0 GROUP BY 1""")
 def _(lake):
-    fits = F.length("text") <= C.CHUNK_SIZE + C.CHUNK_OVERLAP + 1
-    return recursive(lake).groupBy(F.element_at("metadata", "source").alias("source")).agg(
-        F.count_distinct("path").alias("documents"), F.bool_and(fits).alias("fits")
-    )
+    docs = lake.table("documents").select("doc_id", "source", chunking.squeeze(F.col("text")).alias("t"))
+    found = settle(chunking.lateral_chunks(docs, "t").withColumn(
+        "placed", F.expr("substring(t, begin + 1, end - begin) = chunk") & (F.col("end") - F.col("begin") <= C.CHUNK_SIZE)).drop("t"))
+    other = chunking.by_separators(docs, "t").select("doc_id", F.posexplode("chunks").alias("chunk_index", "other"))
+    both = found.join(other, ["doc_id", "chunk_index"], "full_outer")
+    differing = both.agg(F.count_if(~F.col("chunk").eqNullSafe(F.col("other"))).cast("int")).scalar()
+    return found.groupBy("source").agg(
+        F.count_distinct("doc_id").alias("documents"), F.sum(F.length(F.regexp_replace("chunk", _PLAIN, ""))).alias("kept_chars"),
+        F.bool_and("placed").alias("placed"),
+    ).withColumn("differing", differing)
 
 
 _H = r"<h[1-3][ >]"
@@ -113,31 +122,57 @@ query("R3_mart_sentences", _SENTENCES)(_mart_sentences)
 query("D6_template_callables_native", _SENTENCES)(_mart_sentences)
 
 
-# ---- store and queries: documents with vectors; every benchmark item with a vector is a query ----
+# ---- store and queries: all documents, some with vectors; every benchmark item is a query ----
 
 view("store", """
 SELECT doc_id, text, source AS doc_type, lang AS branch_id, CASE WHEN doc_id % 3 <> 0 THEN DATE '2024-01-01' + (doc_id % 365)::INT END AS date, embedding
-FROM documents JOIN embeddings ON vec_id = doc_id""")
-view("asked", "SELECT item_id AS query_id, text AS query_text, embedding FROM benchmark JOIN embeddings ON vec_id = item_id")
-view("dense_all", """
-SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM (
-  SELECT query_id, doc_id, round(list_inner_product(q.embedding::DOUBLE[], s.embedding::DOUBLE[]), 9) AS score FROM asked q CROSS JOIN store s)""")
+FROM documents LEFT JOIN embeddings ON vec_id = doc_id""")
+view("asked", "SELECT item_id AS query_id, text AS query_text, embedding FROM benchmark LEFT JOIN embeddings ON vec_id = item_id")
+view("dense_pairs", """
+SELECT query_id, doc_id, round(list_inner_product(q.embedding::DOUBLE[], s.embedding::DOUBLE[]), 9) AS score
+FROM asked q CROSS JOIN store s WHERE q.embedding IS NOT NULL AND s.embedding IS NOT NULL""")
+view("dense_all", "SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM dense_pairs")
 
 
 def store(lake):
-    docs = lake.table("documents")
     date = F.when(F.col("doc_id") % 3 != 0, F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int")))
-    return docs.join(lake.table("embeddings"), F.col("doc_id") == F.col("vec_id")).select(
-        "doc_id", "text", F.col("source").alias("doc_type"), F.col("lang").alias("branch_id"), date.alias("date"), "embedding"
-    )
+    return lake.table("documents").select("doc_id", "text", F.col("source").alias("doc_type"), F.col("lang").alias("branch_id"), date.alias("date"))
+
+
+def vectors(lake):
+    return lake.table("embeddings").select(F.col("vec_id").alias("doc_id"), "embedding").join(lake.table("documents").select("doc_id"), "doc_id", "left_semi")
 
 
 def asked(lake):
-    return lake.table("benchmark").join(lake.table("embeddings"), F.col("item_id") == F.col("vec_id")).select(
+    return lake.table("benchmark").join(lake.table("embeddings"), F.col("item_id") == F.col("vec_id"), "left").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query_text"), "embedding"
     )
 
 
+_stored = {}  # path of the keyword index of each input, built once per application
+
+
+def keyword_index(lake):
+    """The stored index of all documents; a later query of the application finds it and only reads it."""
+    key = lake.spark.sparkContext.applicationId, lake.root
+    if key not in _stored or not inverted.exists(lake.spark, _stored[key]):
+        _stored[key] = scratch_path(lake.spark, "keywords")
+        inverted.build(lake.table("documents").select("doc_id", "text"), _stored[key])
+    return inverted.load(lake.spark, _stored[key])
+
+
+def updated_index(lake):
+    """The same documents in two segments: four fifths written at once, some with outdated texts and some that go, the rest and
+    the right texts as an update."""
+    path, docs = scratch_path(lake.spark, "keywords"), lake.table("documents").select("doc_id", "text")
+    late = F.col("doc_id") % 5 == 0
+    old = docs.withColumn("text", F.when(F.col("doc_id") % 50 == 1, F.concat(F.lit("outdated "), "text")).otherwise(F.col("text")))
+    removed = docs.where("doc_id % 50 = 2").select((-F.col("doc_id") - 1).alias("doc_id"), "text")
+    inverted.build(old.where(~late).unionByName(removed), path)
+    inverted.update(path, 1, docs.where(late | (F.col("doc_id") % 50 == 1)), removed.select("doc_id"))
+    return inverted.load(lake.spark, path)
+
+
 @query("K3_vector_top_k", """
 SELECT query_id, vec_id, round(score, 6) AS score, rank FROM (SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
   SELECT query_id, e.vec_id, round(list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 9) AS score FROM asked q CROSS JOIN embeddings e)) WHERE rank <= 15""")
@@ -153,35 +188,41 @@ view("qterms", rf"""SELECT query_id, term, count(*) AS qn FROM (SELECT query_id,
 view("bm25", """
 SELECT query_id, doc_id, sum(qn * idf * tf * 2.5::DOUBLE / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / (SELECT avg(len(t)) FROM toks)))) AS bm25
 FROM postings JOIN qterms USING (term) JOIN idf1 USING (term) GROUP BY 1, 2""")
-view("sparse_all", "SELECT query_id, doc_id, bm25, bm25 / CASE WHEN max(bm25) OVER (PARTITION BY query_id) > 0 THEN max(bm25) OVER (PARTITION BY query_id) ELSE 1 END AS sparse FROM bm25")
+view("sparse_all", """
+SELECT query_id, doc_id, bm25, bm25 / CASE WHEN max(bm25) OVER (PARTITION BY query_id) > 0 THEN max(bm25) OVER (PARTITION BY query_id) ELSE 1 END AS sparse,
+  row_number() OVER (PARTITION BY query_id ORDER BY round(bm25, 9) DESC, doc_id) AS rank FROM bm25""")
 
 
-@query("R9_bm25_scores", "SELECT query_id, doc_id, round(bm25, 6) AS bm25, round(sparse, 6) AS sparse FROM sparse_all")
+@query("R9_bm25_scores", "SELECT query_id, doc_id, rank, round(bm25, 6) AS bm25, round(sparse, 6) AS sparse FROM sparse_all WHERE rank <= 15")
 def _(lake):
-    return ops.bm25_scores(store(lake), asked(lake)).withColumns({c: F.round(c, 6) for c in ("bm25", "sparse")})
+    found = inverted.top_k(updated_index(lake), asked(lake), 15)
+    return inverted.scaled(found.top).select("query_id", "doc_id", "rank", *[F.round(c, 6).alias(c) for c in ("bm25", "sparse")])
 
 
-@query("J14_sparse_lookup", """
-SELECT d.query_id, d.doc_id, round(coalesce(s.sparse, 0), 6) AS sparse FROM dense_all d LEFT JOIN sparse_all s USING (query_id, doc_id) WHERE d.rank <= 15""")
+view("candidates", """
+SELECT query_id, doc_id, coalesce(p.score, 0) AS dense, coalesce(b.sparse, 0) AS sparse, CASE WHEN d.rank <= 15 THEN d.rank END AS dense_rank,
+  CASE WHEN b.rank <= 15 THEN b.rank END AS sparse_rank
+FROM (SELECT query_id, doc_id FROM dense_all WHERE rank <= 15 UNION SELECT query_id, doc_id FROM sparse_all WHERE rank <= 15)
+LEFT JOIN dense_pairs p USING (query_id, doc_id) LEFT JOIN dense_all d USING (query_id, doc_id) LEFT JOIN sparse_all b USING (query_id, doc_id)""")
+
+
+@query("J14_sparse_lookup", "SELECT query_id, doc_id, round(dense, 6) AS dense, round(sparse, 6) AS sparse FROM candidates")
 def _(lake):
-    dense = ops.dense_top_k(store(lake).select(F.col("doc_id").alias("vec_id"), "embedding"), asked(lake), 15)
-    sparse = ops.bm25_scores(store(lake), asked(lake)).select("query_id", "doc_id", "sparse")
-    return dense.select("query_id", F.col("vec_id").alias("doc_id")).join(sparse, ["query_id", "doc_id"], "left").select(
-        "query_id", "doc_id", F.round(F.coalesce("sparse", F.lit(0.0)), 6).alias("sparse")
-    )
+    found = ops.candidates(vectors(lake), keyword_index(lake), asked(lake), 15)
+    return found.select("query_id", "doc_id", F.round("dense", 6).alias("dense"), F.round("sparse", 6).alias("sparse"))
 
 
 _HYBRID = """
 SELECT query_id, doc_id, text, doc_type, branch_id, date, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS position FROM (
-  SELECT d.query_id, d.doc_id, s.text, s.doc_type, s.branch_id, s.date, round(0.6::DOUBLE * d.score + (1 - 0.6::DOUBLE) * coalesce(b.sparse, 0), 9) AS score,
-    row_number() OVER (PARTITION BY d.query_id, s.text ORDER BY d.rank) AS r
-  FROM dense_all d JOIN store s USING (doc_id) LEFT JOIN sparse_all b ON b.query_id = d.query_id AND b.doc_id = d.doc_id WHERE d.rank <= 15 AND {cond}) WHERE r = 1"""
+  SELECT c.query_id, c.doc_id, s.text, s.doc_type, s.branch_id, s.date, round(0.6::DOUBLE * c.dense + (1 - 0.6::DOUBLE) * c.sparse, 9) AS score,
+    row_number() OVER (PARTITION BY c.query_id, s.text ORDER BY c.dense_rank NULLS LAST, c.sparse_rank NULLS LAST) AS r
+  FROM candidates c JOIN store s USING (doc_id) WHERE {cond}) WHERE r = 1"""
 view("hybrid_all", f"SELECT * FROM ({_HYBRID.format(cond='true')}) WHERE position <= 5")
 _FILTER = "s.branch_id = 'en' AND (s.date IS NULL OR s.date >= DATE '2024-03-01') AND (s.date IS NULL OR s.date <= DATE '2024-11-30')"
 
 
 def hybrid(lake, flt=None, pre=False):
-    return ops.hybrid(store(lake), asked(lake), flt=flt, pre_filter=pre)
+    return ops.hybrid(store(lake), vectors(lake), keyword_index(lake), asked(lake), flt=flt, pre_filter=pre)
 
 
 @query("R10_hybrid_retrieval", "SELECT query_id, doc_id, position, round(score, 6) AS score FROM hybrid_all")
@@ -197,13 +238,11 @@ def _(lake):
 
 
 @query("U5_keep_first_by_text", """
-SELECT query_id, doc_id FROM (SELECT d.query_id, d.doc_id, row_number() OVER (PARTITION BY d.query_id, s.text ORDER BY d.rank) AS r
-FROM dense_all d JOIN store s USING (doc_id) WHERE d.rank <= 15) WHERE r = 1""")
+SELECT query_id, doc_id FROM (SELECT c.query_id, c.doc_id, row_number() OVER (PARTITION BY c.query_id, s.text ORDER BY c.dense_rank NULLS LAST, c.sparse_rank NULLS LAST) AS r
+FROM candidates c JOIN store s USING (doc_id)) WHERE r = 1""")
 def _(lake):
-    dense = ops.dense_top_k(store(lake).select(F.col("doc_id").alias("vec_id"), "embedding"), asked(lake), 15)
-    found = dense.join(store(lake).select(F.col("doc_id").alias("vec_id"), "text"), "vec_id")
-    first = found.groupBy("query_id", "text").agg(F.min_by("vec_id", "rank").alias("doc_id"))
-    return first.select("query_id", "doc_id")
+    found = ops.candidates(vectors(lake), keyword_index(lake), asked(lake), 15).join(store(lake).select("doc_id", "text"), "doc_id")
+    return ops.keep_first(found).select("query_id", "doc_id")
 
 
 @query("R11_citations", """
@@ -329,13 +368,19 @@ def _(lake):
     return ops.manifest_diff(index.manifest(earlier_documents(lake)), index.manifest(index.documents(lake.table("documents"))))
 
 
-# One text file per document; the writer ends each with a newline.
-@query("S12_document_hashes", "SELECT 'doc-' || doc_id AS path, sha256(text || chr(10)) AS hash FROM documents")
+# Documents as lines of sixteen text files, line breaks escaped; each file is read whole and hashed.
+@query("S12_document_hashes", """
+SELECT part, sha256(string_agg(line || chr(10), '' ORDER BY line)) AS hash, sum(length(line) + 1)::BIGINT AS n_chars FROM (
+  SELECT doc_id % 16 AS part, 'doc-' || doc_id || ' ' || replace(replace(replace(text, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r') AS line FROM documents)
+GROUP BY part""")
 def _(lake):
-    folder = scratch_path(lake.spark, "texts")
-    lake.table("documents").select("doc_id", "text").write.partitionBy("doc_id").text(folder)
+    folder, text = scratch_path(lake.spark, "texts"), F.col("text")
+    for raw, escaped in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(raw), F.lit(escaped))
+    lines = lake.table("documents").select((F.col("doc_id") % 16).alias("part"), F.concat(F.lit("doc-"), "doc_id", F.lit(" "), text).alias("value"))
+    lines.repartition("part").sortWithinPartitions("part", "value").write.partitionBy("part").text(folder)
     found = index.scan_text_files(lake.spark, folder)
-    return found.select(F.concat(F.lit("doc-"), F.regexp_extract("path", r"doc_id=(\d+)", 1)).alias("path"), "hash")
+    return found.select(F.regexp_extract("path", r"part=(\d+)", 1).cast("long").alias("part"), "hash", F.length("text").cast("long").alias("n_chars"))
 
 
 @query("R7_index_build", f"""

@@ -96,7 +96,16 @@ def _(lake):
 
 @query("D3_grouped_aggregate_callable", "SELECT hotel_id, csat FROM csat_hotel")
 def _(lake):
-    return ops.csat_by_hotel(reviews(lake))
+    return ops.csat_by_function(reviews(lake))
+
+
+@query("D3_window_aggregate_callable", """
+SELECT hotel_id, period, round_even((sum(total) OVER w / sum(n) OVER w - 1) / 4 * 100, 2) AS csat
+FROM (SELECT hotel_id, strftime(date_trunc('week', date), '%Y-%m-%d') || '/' || strftime(date_trunc('week', date) + INTERVAL 6 DAY, '%Y-%m-%d') AS period,
+  sum(rating) AS total, count(*) AS n FROM reviews GROUP BY 1, 2)
+WINDOW w AS (PARTITION BY hotel_id ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""")
+def _(lake):
+    return ops.csat_rolling(reviews(lake))
 
 
 @query("W10_csat_trend", "SELECT * FROM csat_trends")
@@ -139,10 +148,19 @@ def _(lake):
     return ops.top_keywords(ops.english(reviews(lake)), "doc_id", "review", 15)
 
 
-@query("X5_lda_topics", "SELECT unnest(range(5))::INT AS topic_id, 6 AS words")
+# Every topic has six different words, all of which occur in the English reviews, and no two topics have the same six.
+@query("X5_lda_topics", "SELECT unnest(range(5))::INT AS topic_id, 6 AS words, 6 AS known, 5 AS different")
 def _(lake):
-    found = ops.topics(ops.english(reviews(lake)), "review")
-    return found.select("topic_id", F.size(F.array_distinct("keywords")).alias("words"))
+    return topic_facts(ops.topics(ops.english(reviews(lake)), "review"), lake)
+
+
+def topic_facts(found, lake):
+    known = ops.topic_tokens(ops.english(reviews(lake)), "review").select(F.explode("tokens").alias("word")).distinct()
+    words = found.select("topic_id", F.explode("keywords").alias("word")).distinct()
+    different = found.agg(F.count_distinct(F.array_sort("keywords")).cast("int")).scalar()
+    return words.join(known.withColumn("is_known", F.lit(True)), "word", "left").groupBy("topic_id").agg(
+        F.count("*").cast("int").alias("words"), F.count_if("is_known").cast("int").alias("known")
+    ).withColumn("different", different)
 
 
 @query("X8_english_subset", "SELECT hotel_id, count(*) AS row_count, sum(length(review))::BIGINT AS chars FROM reviews WHERE language = 'en' GROUP BY 1")
@@ -155,7 +173,8 @@ def _(lake):
 @query("X6_review_report", """
 SELECT 'complaint' AS part, category AS name, n::DOUBLE AS value, '' AS label FROM complaint_totals
 UNION ALL SELECT 'csat', hotel_id, csat, '' FROM csat_hotel UNION ALL SELECT 'trend', hotel_id, NULL, trend FROM csat_trends
-UNION ALL (SELECT 'keyword', term, round(sum(weight), 6) AS s, '' FROM weights_en GROUP BY 2 ORDER BY s DESC, term LIMIT 15)""")
+UNION ALL (SELECT 'keyword', term, round(sum(weight), 6) AS s, '' FROM weights_en GROUP BY 2 ORDER BY s DESC, term LIMIT 15)
+UNION ALL SELECT 'topic', unnest(range(5))::VARCHAR, 6.0, ''""")
 def _(lake):
     from staylytics.plans.review_report import review_report
 
@@ -169,3 +188,13 @@ def _(lake):
     path = scratch_path(lake.spark, "reviews")
     report.analyze(reviews(lake), path)
     return report.get_trends(lake.spark, path, "weekly")
+
+
+@query("X7_persisted_annotations", """
+SELECT doc_id, sentiment, emotion, array_to_string(c.complaints, ',') AS complaints FROM annotated JOIN complaints c USING (doc_id)""")
+def _(lake):
+    from staylytics.plans import review_report as report
+
+    path = scratch_path(lake.spark, "reviews")
+    report.write_annotated(reviews(lake), path)
+    return report.get_annotated(lake.spark, path).select("doc_id", "sentiment", "emotion", F.concat_ws(",", "complaints").alias("complaints"))

@@ -9,9 +9,11 @@ from staylytics import constants as C
 from staylytics.checks.registry import query
 from staylytics.checks.views import _HASHED, hash63, pipe, view
 from staylytics.functions import keys
-from staylytics.operators import cleaning, marts
+from staylytics.operators import cleaning, marts, sketches
 from staylytics.operators import warehouse as ops
 from staylytics.operators.ordering import with_global_index
+from staylytics.session import scratch_path, settle
+from staylytics.sources import io
 from staylytics.sources.bookings import bookings, raw_bookings
 
 
@@ -216,3 +218,44 @@ def _(lake):
     target = ops.dim_guest(rows.where(old)).select(*columns)
     source = ops.dim_guest(rows.where(~old)).select(*columns)
     return ops.upsert(target, source, ["guest_key"])
+
+
+# The stored table is dealt over 32 folders; guests of four of them get one more booking, and the other folders stay untouched.
+@query("S10_partial_rewrite", f"""
+SELECT guest_key, nationality, lifetime_bookings + (guest_key % 97 = 0)::INT AS lifetime_bookings, true AS kept_files FROM ({_DIM_SPLIT.format(cond="true")})""")
+def _(lake):
+    path, parts = scratch_path(lake.spark, "guests"), 32
+    guests = settle(ops.dim_guest(bookings(lake)).select("guest_key", "nationality", "lifetime_bookings"))
+    io.write_keyed(guests, path, ["guest_key"], parts)
+    before = _files(lake.spark, path)
+    changed = guests.where("guest_key % 97 = 0").withColumn("lifetime_bookings", F.col("lifetime_bookings") + 1)
+    rewritten = set()
+    for part in range(4):  # four small upserts
+        rewritten |= set(io.upsert_keyed(changed.where(F.pmod(F.xxhash64("guest_key"), F.lit(parts)) % 4 == part), path, ["guest_key"], parts))
+    kept = {f: t for f, t in before.items() if int(f.split("_part=")[1].split("/")[0]) not in rewritten}
+    after = _files(lake.spark, path)
+    same = all(after.get(f) == t for f, t in kept.items())
+    return io.read_keyed(lake.spark, path).withColumn("kept_files", F.lit(same))
+
+
+def _files(spark, path):
+    """File names below a table with their times, from the metadata of its rows."""
+    rows = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_modification_time").distinct().collect()  # a file a folder
+    return {r[0]: r[1] for r in rows}
+
+
+# Sketches kept per day; distinct guests and the median rate of any range come from united sketches, within the stated error.
+@query("A8_distinct_from_sketches", """
+SELECT hotel, strftime(date_trunc('month', arrival_date), '%Y-%m') AS month, count(*) AS row_count, true AS guests_close, true AS median_close FROM guest_rows GROUP BY 1, 2""")
+def _(lake):
+    rows = settle(bookings(lake).select("hotel", "arrival_date", keys.guest_key().alias("guest_key"), "adr_cents"))
+    path = scratch_path(lake.spark, "sketches")
+    sketches.daily(rows, ["hotel"], "arrival_date", "guest_key", "adr_cents").write.parquet(path)
+    month = F.date_format("day", "yyyy-MM")
+    found = sketches.united(lake.spark.read.parquet(path).withColumn("month", month), ["hotel", "month"], 0.5)
+    exact = rows.groupBy("hotel", F.date_format("arrival_date", "yyyy-MM").alias("month")).agg(
+        F.count_distinct("guest_key").alias("guests"), F.percentile("adr_cents", F.array(F.lit(0.5 - sketches.RANK_ERROR), F.lit(0.5 + sketches.RANK_ERROR))).alias("band"))
+    both = found.join(exact, ["hotel", "month"])
+    near = F.abs(F.col("distinct_count") - F.col("guests")) <= F.greatest(F.lit(2.0), F.col("guests") * sketches.DISTINCT_ERROR)
+    inside = F.col("quantile").between(F.col("band")[0] - 1, F.col("band")[1] + 1)
+    return both.select("hotel", "month", F.col("n").alias("row_count"), near.alias("guests_close"), inside.alias("median_close"))

@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from staylytics import constants as C
 from staylytics.operators.cleaning import strip
@@ -66,6 +68,32 @@ def by_separators(df: DataFrame, text: str, out: str = "chunks", size: int = C.C
     return df.withColumn(out, F.coalesce(_separator_chunker(size)(text), F.array().cast("array<string>")))
 
 
+class SeparatorChunks:
+    """Table function over (text, size): the pieces of ``separator_spans`` one by one, with their places in the text."""
+
+    @staticmethod
+    def analyze(text: AnalyzeArgument, size: AnalyzeArgument) -> AnalyzeResult:
+        if not isinstance(text.dataType, (T.StringType, T.NullType)):
+            raise ValueError(f"separator_chunks takes a text, not {text.dataType.simpleString()}")
+        if not isinstance(size.dataType, T.IntegralType) or size.isConstantExpression and (size.value is None or size.value < 1):
+            raise ValueError("separator_chunks takes a positive whole size")
+        return AnalyzeResult(T.StructType().add("chunk_index", T.IntegerType()).add("begin", T.IntegerType()).add("end", T.IntegerType()).add("chunk", T.StringType()))
+
+    def eval(self, text: str | None, size: int):
+        for index, (begin, end) in enumerate(separator_spans(text or "", size)):
+            yield index, begin, end, text[begin:end]
+
+
+def separator_chunks():
+    """``SeparatorChunks`` as a function for ``DataFrame.lateralJoin`` or, registered, for SQL."""
+    return F.udtf(SeparatorChunks)
+
+
+def lateral_chunks(df: DataFrame, text: str, size: int = C.CHUNK_SIZE) -> DataFrame:
+    """Every row of ``df`` once per piece of ``text``, with chunk_index, begin, end and chunk; rows without pieces go."""
+    return df.lateralJoin(separator_chunks()(F.col(text).outer(), F.lit(size)))
+
+
 def with_overlap(chunks: Column, overlap: int = C.CHUNK_OVERLAP) -> Column:
     """Prefix every chunk after the first with the tail of the one before it.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from staylytics import constants as C
@@ -61,9 +61,13 @@ def normalize_categoricals(df: DataFrame) -> DataFrame:
     return df.withColumns({c: strip(F.col(c)) for c in C.CATEGORICAL_COLUMNS})
 
 
-def build_arrival_date(df: DataFrame) -> DataFrame:
+def _arrival_date() -> Column:
     parts = F.concat_ws("-", "arrival_date_year", "arrival_date_month", "arrival_date_day_of_month")
-    return df.withColumn("arrival_date", F.try_to_date(parts, "yyyy-MMMM-d"))
+    return F.try_to_date(parts, "yyyy-MMMM-d")
+
+
+def build_arrival_date(df: DataFrame) -> DataFrame:
+    return df.withColumn("arrival_date", _arrival_date())
 
 
 def convert_types(df: DataFrame) -> DataFrame:
@@ -78,83 +82,80 @@ def changed_types(before: DataFrame, after: DataFrame) -> list[str]:
     return [n for n, t in after.dtypes if n in old and old[n] != t]
 
 
-def clean(df: DataFrame) -> DataFrame:
+def hits(condition: Column) -> Column:
+    return F.count_if(F.coalesce(condition, F.lit(False)))
+
+
+def total(conditions: list[Column]) -> Column:
+    return F.sum(sum((F.coalesce(c, F.lit(False)).cast("long") for c in conditions), F.lit(0).cast("long")))
+
+
+class CleanAudit:
+    """Counts of the cleaning steps, observed while their rows are written; ``table`` reads them once both writes are done."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.conversions = spark, 0
+        self.raw, self.unique, self.final = (Observation(name) for name in ("raw rows", "unique rows", "rated rows"))
+
+    def on_raw(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.raw, F.count("*").alias("raw"))
+
+    def on_unique(self, df: DataFrame) -> DataFrame:
+        return df.observe(
+            self.unique, F.count("*").alias("unique"), total([F.col(c) == "Undefined" for c in C.SENTINEL_COLUMNS]).alias("undefined"),
+            hits(F.col("children").isNull()).alias("children"), hits(F.col("country").isNull()).alias("country"), hits(F.col("country") == "CN").alias("cn"),
+        )
+
+    def on_rated(self, df: DataFrame) -> DataFrame:
+        """Rows behind the rate cap, before categoricals are trimmed."""
+        parsed = build_arrival_date(df)
+        self.conversions = len(changed_types(parsed, convert_types(parsed)))
+        trimmed = [F.col(c) != strip(F.col(c)) for c in C.CATEGORICAL_COLUMNS]
+        return df.observe(
+            self.final, F.count("*").alias("kept"), hits(F.col(RATE) > F.col("winsor_cap")).alias("capped"), hits(F.col("adults") > 10).alias("outliers"),
+            hits(cancellation_mismatch()).alias("mismatch"), total(trimmed).alias("trimmed"), hits(_arrival_date().isNull()).alias("unparseable"),
+        )
+
+    def table(self) -> DataFrame:
+        """(step_no, step, rows_before, rows_after, values_changed, extra) of the 11 steps."""
+        raw, u, k = self.raw.get["raw"], self.unique.get, self.final.get
+        unique, kept = u["unique"], k["kept"]
+        steps = [
+            ("dedupe_full_row", raw, unique, raw - unique, None),
+            ("replace_undefined_with_null", unique, unique, u["undefined"] or 0, None),
+            ("impute_missing_children", unique, unique, u["children"], None),
+            ("impute_missing_country", unique, unique, u["country"], None),
+            ("fix_country_code_cn", unique, unique, u["cn"], None),
+            ("clean_adr", unique, kept, k["capped"], unique - kept),
+            ("flag_adults_outliers", kept, kept, k["outliers"], None),
+            ("check_cancellation_consistency", kept, kept, 0, k["mismatch"]),
+            ("normalize_categoricals", kept, kept, k["trimmed"] or 0, None),
+            ("build_arrival_date", kept, kept, kept, k["unparseable"]),
+            ("convert_dtypes", kept, kept, self.conversions, None),
+        ]
+        schema = "step_no int, step string, rows_before long, rows_after long, values_changed long, extra long"
+        return self.spark.createDataFrame([(i + 1, *step) for i, step in enumerate(steps)], schema)
+
+
+def clean(df: DataFrame, audit: CleanAudit | None = None) -> DataFrame:
     """All steps in order: one shuffle for the dedupe, one small one for the rate cap, the rest fused.
 
-    The deduplicated rows are settled, so that the rate cap reads one column of them and not the whole input again.
+    The deduplicated rows are settled, so that the rate cap reads one column of them and not the whole input again. With
+    ``audit`` the steps are counted on the way, without a pass of their own.
     """
-    return (
-        settle(dedupe_full_row(df))
+    unique = dedupe_full_row(audit.on_raw(df) if audit else df)
+    rated = (
+        settle(audit.on_unique(unique) if audit else unique)
         .transform(replace_undefined_with_null)
         .transform(impute_constants)
         .transform(fix_country_code)
         .transform(drop_negative_rates)
         .transform(winsorize_rates)
+    )
+    return (
+        (audit.on_rated(rated) if audit else rated)
         .transform(flag_adults_outliers)
         .transform(normalize_categoricals)
         .transform(build_arrival_date)
         .transform(convert_types)
     )
-
-
-def clean_audit(df: DataFrame) -> DataFrame:
-    """Rows before/after and values changed for each of the 11 steps, from one pass over the deduplicated rows."""
-    columns = df.columns
-    unique = settle(df.groupBy(*columns).agg(F.count("*").alias("copies")))
-    kept = F.col(RATE) >= 0
-    cap = exact_quantile(drop_negative_rates(unique), RATE, 0.995).scalar()
-    country = F.coalesce(F.col("country"), F.lit("UNK"))
-    parsed = build_arrival_date(df.limit(0))  # schema only
-    conversions = len(changed_types(parsed, convert_types(parsed)))
-
-    def hits(condition: Column) -> Column:
-        return F.count_if(F.coalesce(condition, F.lit(False)))
-
-    def total(conditions: list[Column]) -> Column:
-        out = hits(conditions[0])
-        for c in conditions[1:]:
-            out = out + hits(c)
-        return out
-
-    trimmed = [
-        kept & ((country if c == "country" else F.col(c)) != strip(country if c == "country" else F.col(c)))
-        for c in C.CATEGORICAL_COLUMNS
-    ]
-    rated = build_arrival_date(unique.withColumn("_cap", cap))
-    row = rated.agg(
-        F.sum("copies").alias("raw"),
-        F.count("*").alias("unique"),
-        F.count_if(kept).alias("kept"),
-        total([F.col(c) == "Undefined" for c in C.SENTINEL_COLUMNS]).alias("undefined"),
-        hits(F.col("children").isNull()).alias("children"),
-        hits(F.col("country").isNull()).alias("country"),
-        hits(F.col("country") == "CN").alias("cn"),
-        hits(kept & (F.col(RATE) > F.col("_cap"))).alias("capped"),
-        hits(kept & (F.col("adults") > 10)).alias("outliers"),
-        hits(kept & cancellation_mismatch()).alias("mismatch"),
-        total(trimmed).alias("trimmed"),
-        hits(kept & F.col("arrival_date").isNull()).alias("unparseable"),
-    )
-    zero, none = F.lit(0), F.lit(None).cast("long")
-    u, k = F.col("unique"), F.col("kept")
-    steps = [
-        ("dedupe_full_row", F.col("raw"), u, F.col("raw") - u, none),
-        ("replace_undefined_with_null", u, u, F.col("undefined"), none),
-        ("impute_missing_children", u, u, F.col("children"), none),
-        ("impute_missing_country", u, u, F.col("country"), none),
-        ("fix_country_code_cn", u, u, F.col("cn"), none),
-        ("clean_adr", u, k, F.col("capped"), u - k),
-        ("flag_adults_outliers", k, k, F.col("outliers"), none),
-        ("check_cancellation_consistency", k, k, zero, F.col("mismatch")),
-        ("normalize_categoricals", k, k, F.col("trimmed"), none),
-        ("build_arrival_date", k, k, k, F.col("unparseable")),
-        ("convert_dtypes", k, k, F.lit(conversions), none),
-    ]
-    entries = [
-        F.struct(
-            F.lit(i + 1).alias("step_no"), F.lit(n).alias("step"), a.cast("long").alias("rows_before"),
-            b.cast("long").alias("rows_after"), v.cast("long").alias("values_changed"), x.cast("long").alias("extra"),
-        )
-        for i, (n, a, b, v, x) in enumerate(steps)
-    ]
-    return row.select(F.inline(F.array(*entries)))

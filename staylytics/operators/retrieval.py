@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from staylytics import constants as C
 from staylytics.functions.arrays import exploded
-from staylytics.operators.cleaning import strip
+from staylytics.operators import inverted
+from staylytics.operators.inverted import whitespace_tokens
 from staylytics.operators.joins import lookup_join, salted_join
 from staylytics.session import settle
 
@@ -24,15 +25,24 @@ _BM25_K1, _BM25_B, _BM25_EPSILON = 1.5, 0.75, 0.25
 # ---- dense -----------------------------------------------------------------------------------------------------
 
 
+def usable(embedding: str = "embedding") -> Column:
+    """Vectors that can be compared: not null or empty, all components finite."""
+    broken = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.col(embedding).isNotNull() & (F.size(embedding) > 0) & ~F.coalesce(broken, F.lit(False))
+
+
 def dense_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The k vectors with the largest inner product per query, exactly.
 
+    Vectors and queries that are null, empty or hold null or non-finite components take no part; a query meets vectors of
+    its own length only.
+
     Vectors are dealt over shards and queries over blocks of bounded size; each task meets one shard with one block and
     returns k rows per query. Nothing passes through the driver, and a task's memory does not depend on the number
     of queries.
     """
-    vectors = vectors.select(F.col("vec_id").cast("long"), "embedding")
-    queries = queries.select(F.col("query_id").cast("long"), "embedding")
+    vectors = vectors.where(usable()).select(F.col("vec_id").cast("long"), "embedding")
+    queries = queries.where(usable()).select(F.col("query_id").cast("long"), "embedding")
     shards = max(1, -(-vectors.count() // SHARD_VECTORS))
     blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
     left = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -42,15 +52,19 @@ def dense_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         empty = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         if held.empty or asked.empty:
             return empty
-        ids, rows = held["vec_id"].to_numpy(), np.stack(held["embedding"].to_numpy()).astype(np.float64)
-        names, wanted = asked["query_id"].to_numpy(), np.stack(asked["embedding"].to_numpy()).astype(np.float64)
-        found = []
-        for at in range(0, len(wanted), PRODUCT_QUERIES):
-            for name, scores in zip(names[at : at + PRODUCT_QUERIES], np.round(wanted[at : at + PRODUCT_QUERIES] @ rows.T, 9), strict=True):
-                # all that reach the k-th score, then by score and identifier
-                keep = np.flatnonzero(scores >= np.partition(scores, -k)[-k]) if len(scores) > k else np.arange(len(scores))
-                keep = keep[np.lexsort((ids[keep], -scores[keep]))][:k]
-                found.append(pd.DataFrame({"query_id": name, "vec_id": ids[keep], "score": scores[keep]}))
+        found = [empty]
+        for size, part in asked.groupby(asked["embedding"].map(len)):
+            fit = held[held["embedding"].map(len) == size]
+            if fit.empty:
+                continue
+            ids, rows = fit["vec_id"].to_numpy(), np.stack(fit["embedding"].to_numpy()).astype(np.float64)
+            names, wanted = part["query_id"].to_numpy(), np.stack(part["embedding"].to_numpy()).astype(np.float64)
+            for at in range(0, len(wanted), PRODUCT_QUERIES):
+                for name, scores in zip(names[at : at + PRODUCT_QUERIES], np.round(wanted[at : at + PRODUCT_QUERIES] @ rows.T, 9), strict=True):
+                    # all that reach the k-th score, then by score and identifier
+                    keep = np.flatnonzero(scores >= np.partition(scores, -k)[-k]) if len(scores) > k else np.arange(len(scores))
+                    keep = keep[np.lexsort((ids[keep], -scores[keep]))][:k]
+                    found.append(pd.DataFrame({"query_id": name, "vec_id": ids[keep], "score": scores[keep]}))
         return pd.concat(found)
 
     scored = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(score, "query_id long, vec_id long, score double")
@@ -61,12 +75,9 @@ def dense_top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 # ---- sparse ----------------------------------------------------------------------------------------------------
 
 
-def whitespace_tokens(text: Column) -> Column:
-    return F.filter(F.split(strip(F.lower(text)), r"\s+"), lambda w: w != "")
-
-
 def bm25_scores(docs: DataFrame, queries: DataFrame) -> DataFrame:
-    """BM25 of every matching (query, document), scaled by the query's maximum over the corpus.
+    """BM25 of every matching (query, document), scaled by the query's maximum over the corpus: the definition, for small
+    corpora. ``inverted.top_k`` finds the best documents of a query without scoring all.
 
     ``docs`` has doc_id and text, ``queries`` query_id and query_text. Postings of frequent terms are salted, and only
     terms that some query uses take part in the scored join.
@@ -124,24 +135,62 @@ class MetadataFilter:
         return out
 
 
-def hybrid(store: DataFrame, queries: DataFrame, k: int = C.RETRIEVER_TOP_K, flt: MetadataFilter | None = None,
-           dense_weight: float = 0.6, pre_filter: bool = False) -> DataFrame:
-    """Dense candidates (3k per query) blended with BM25, deduplicated by text, best k.
+def _dot(a: str, b: str) -> Column:
+    terms = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    return F.when(F.size(a) == F.size(b), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x))
+
+
+def candidates(vectors: DataFrame, index: inverted.Index, queries: DataFrame, n: int) -> DataFrame:
+    """(query_id, doc_id, dense, sparse, dense_rank, sparse_rank): the n best by vector and the n best by keywords.
+
+    Both scores are given for each, whichever list it comes from: 0 for the vector score where the document or the query has no
+    vector, 0 for the keyword score without a common term. A rank is null where the list does not hold the document.
+    """
+    vectors = vectors.select(F.col("doc_id").cast("long"), "embedding")
+    dense = dense_top_k(vectors.withColumnRenamed("doc_id", "vec_id"), queries, n)
+    dense = dense.select("query_id", F.col("vec_id").alias("doc_id"), F.col("score").alias("dense"), F.col("rank").alias("dense_rank"))
+    keyword = settle(inverted.scaled(inverted.top_k(index, queries, n).top))
+    peak = keyword.where("rank = 1").select("query_id", F.when(F.col("bm25") > 0, F.col("bm25")).otherwise(1.0).alias("peak"))
+    keyword = keyword.select("query_id", "doc_id", "sparse", F.col("rank").alias("sparse_rank"))
+    both = settle(dense.join(keyword, ["query_id", "doc_id"], "full_outer"))
+    # at most n pairs a query lack either score
+    exact = inverted.score_pairs(index, inverted.query_terms(index, queries), both.where("sparse IS NULL").select("query_id", "doc_id"))
+    exact = exact.join(peak, "query_id").select("query_id", "doc_id", (F.col("bm25") / F.col("peak")).alias("other_sparse"))
+    asked = queries.where(usable()).select("query_id", F.col("embedding").alias("_q"))
+    near = both.where("dense IS NULL").select("query_id", "doc_id").join(vectors.where(usable()), "doc_id").join(asked, "query_id")
+    near = near.select("query_id", "doc_id", F.round(_dot("embedding", "_q"), 9).alias("other_dense"))
+    filled = both.join(exact, ["query_id", "doc_id"], "left").join(near, ["query_id", "doc_id"], "left")
+    zero = F.lit(0.0)
+    return filled.select(
+        "query_id", "doc_id", F.coalesce("dense", "other_dense", zero).alias("dense"), F.coalesce("sparse", "other_sparse", zero).alias("sparse"),
+        "dense_rank", "sparse_rank",
+    )
+
+
+def keep_first(found: DataFrame) -> DataFrame:
+    """The first of equal texts per query: by vector rank, then, outside that list, by keyword rank."""
+    order = [F.col("dense_rank").asc_nulls_last(), F.col("sparse_rank").asc_nulls_last()]
+    first = Window.partitionBy("query_id", "text").orderBy(*order)
+    return found.withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r")
+
+
+def hybrid(store: DataFrame, vectors: DataFrame, index: inverted.Index, queries: DataFrame, k: int = C.RETRIEVER_TOP_K,
+           flt: MetadataFilter | None = None, dense_weight: float = 0.6, pre_filter: bool = False) -> DataFrame:
+    """The 3k best per query by vector and the 3k best by keywords, blended, deduplicated by text, best k.
 
-    The filter applies after the dense cut and may leave fewer than k rows; ``pre_filter`` applies it before.
+    ``store`` holds all documents, ``vectors`` (doc_id, embedding) those that have one, ``index`` their keywords. The filter
+    applies after both cuts and may leave fewer than k rows; ``pre_filter`` applies it before.
     """
     condition = F.lit(True) if flt is None else flt.condition()
-    searched = store.where(condition) if pre_filter else store
-    dense = dense_top_k(searched.select(F.col("doc_id").alias("vec_id"), "embedding"), queries, max(3 * k, k))
-    sparse = bm25_scores(store, queries).select("query_id", "doc_id", "sparse")
-    found = dense.select("query_id", F.col("vec_id").alias("doc_id"), F.col("score").alias("dense"), "rank")
-    found = found.join(store.drop("embedding").where(condition), "doc_id").join(sparse, ["query_id", "doc_id"], "left")
-    blended = F.lit(dense_weight) * F.col("dense") + F.lit(1 - dense_weight) * F.coalesce("sparse", F.lit(0.0))
-    # At most 3k rows per query from here on.
-    first = Window.partitionBy("query_id", "text").orderBy("rank")
-    unique = found.withColumn("score", F.round(blended, 9)).withColumn("_r", F.row_number().over(first)).where("_r = 1")
+    if pre_filter:
+        allowed = settle(store.where(condition).select("doc_id"))
+        vectors, index = vectors.join(allowed, "doc_id", "left_semi"), inverted.restricted(index, allowed)
+    found = candidates(vectors, index, queries, 3 * k).join(store.where(condition), "doc_id")
+    blended = F.lit(dense_weight) * F.col("dense") + F.lit(1 - dense_weight) * F.col("sparse")
+    # At most 6k rows per query from here on.
+    unique = keep_first(found.withColumn("score", F.round(blended, 9)))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return unique.drop("_r", "rank").withColumn("position", F.row_number().over(best)).where(F.col("position") <= k)
+    return unique.drop("dense_rank", "sparse_rank").withColumn("position", F.row_number().over(best)).where(F.col("position") <= k)
 
 
 def citations(chunks: DataFrame) -> DataFrame:

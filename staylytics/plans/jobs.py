@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from staylytics import constants as C
 from staylytics.operators import cleaning, features, marts, monitoring, warehouse
 from staylytics.plans import ml
+from staylytics.session import settle
 from staylytics.sources.bookings import bookings, raw_bookings
 from staylytics.sources.calendar import calendar
 from staylytics.sources.io import save_both, write_result
@@ -29,9 +30,16 @@ def clean_job(lake: Lake, path: str) -> DataFrame:
     return lake.spark.read.parquet(path)
 
 
+def audited_clean_job(lake: Lake, path: str) -> tuple[DataFrame, DataFrame]:
+    """``clean_job``, and the audit of its steps, observed in the same passes."""
+    audit = cleaning.CleanAudit(lake.spark)
+    cleaning.clean(raw_bookings(lake), audit).write.mode("overwrite").parquet(path)
+    return lake.spark.read.parquet(path), audit.table()
+
+
 def warehouse_job(lake: Lake, path: str) -> DataFrame:
     """Build and write the star schema, then validate what was written: keys per table, orphans per foreign key."""
-    rows = bookings(lake)
+    rows = settle(bookings(lake))
     tables = {
         "dim_date": warehouse.dim_date(rows), "dim_hotel": warehouse.dim_hotel(rows),
         "dim_room_type": warehouse.dim_room_type(rows), "dim_guest": warehouse.dim_guest(rows),
@@ -65,7 +73,7 @@ def warehouse_job(lake: Lake, path: str) -> DataFrame:
 def feature_job(lake: Lake, path: str, report_columns: list[str]) -> DataFrame:
     """Write the five feature tables and report their sizes, with means and strongest correlations of the occupancy
     table; the daily mart is stored once and read by all that need it."""
-    spark, rows, cal = lake.spark, bookings(lake), calendar(lake)
+    spark, rows, cal = lake.spark, settle(bookings(lake)), calendar(lake)
     fact = warehouse.fact_rows(rows)
     marts.daily_occupancy(fact).write.mode("overwrite").parquet(f"{path}/daily")
     daily = spark.read.parquet(f"{path}/daily")
@@ -100,13 +108,13 @@ def train_domain(lake: Lake, domain: str, sizes: dict[str, tuple[int, int]], pat
     """Train, evaluate, save and report one domain; returns the metrics as (model_name, metric, value)."""
     rows, cal = bookings(lake), calendar(lake)
     if domain == "churn":
-        df = ml.churn_table(warehouse.dim_guest(rows), warehouse.fact_rows(rows)).persist()
+        df = settle(ml.churn_table(warehouse.dim_guest(rows), warehouse.fact_rows(rows)))
         kinds = ["random_forest", "boosted"]
         fits = ml.side_by_side(lambda k: ml.fit_churn(df, k, sizes["forest" if k == "random_forest" else "churn"]), kinds)
         models = dict(zip(kinds, fits, strict=True))
         results = [ml.evaluate_churn(m, df, f"churn_{k}") for k, m in models.items()]
     elif domain == "restaurant":
-        df = ml.restaurant_table(marts.mart_restaurant_daily(lake), cal).persist()
+        df = settle(ml.restaurant_table(marts.mart_restaurant_daily(lake), cal))
         models = ml.fit_meals(df, sizes["restaurant"])
         results = [ml.evaluate_regressor(m, df, f"{k}_revenue", f"restaurant_{k}") for k, m in models.items()]
     else:
@@ -122,7 +130,7 @@ def train_domain(lake: Lake, domain: str, sizes: dict[str, tuple[int, int]], pat
             inputs, label = C.STAFFING_FEATURES, "present_employees"
         else:
             raise ValueError(f"unknown domain {domain}")
-        df = df.persist()
+        df = settle(df)
         models = {"boosted": ml.fit_regressor(df, inputs, label, sizes[domain])}
         results = [ml.evaluate_regressor(models["boosted"], df, label, f"{domain}_boosted")]
     for key, model in models.items():
@@ -130,7 +138,6 @@ def train_domain(lake: Lake, domain: str, sizes: dict[str, tuple[int, int]], pat
     metrics = [c for c in results[0].columns if c not in ("model_name", "n", "tp", "fp", "fn")]
     long = reduce(DataFrame.unionByName, results).unpivot(["model_name"], metrics, "metric", "value")
     write_result(long.select(F.lit(domain).alias("task"), "*"), path, domain)
-    df.unpersist()
     return lake.spark.read.schema("task string, model_name string, metric string, value double").json(f"{path}/latest_{domain}.json")
 
 

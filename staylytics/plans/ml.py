@@ -28,7 +28,7 @@ from staylytics.session import scratch_root, settle
 FULL_SIZES = {"occupancy": (300, 5), "pricing": (300, 5), "restaurant": (250, 4), "staffing": (250, 4), "churn": (300, 5), "forest": (300, 8)}
 
 
-ROWS_A_PARTITION = 1_000_000
+LEAST_ROWS = 4_000  # rows that make a partition of a fit worth its task
 
 
 def date_split(df: DataFrame, day: str, test_share: float = 0.2) -> DataFrame:
@@ -51,13 +51,14 @@ def boosted_regressor(inputs: Sequence[str], label: str, size: tuple[int, int],
 
 
 def _gathered(train: DataFrame) -> DataFrame:
-    """The training rows in partitions of up to ``ROWS_A_PARTITION``: boosting runs thousands of short jobs, each with a task
-    per partition. Checkpoints keep the lineage of the rounds short."""
+    """The training rows dealt over the cores: boosting runs thousands of short jobs, each with a task per partition, so few rows
+    stay together. Tables with more partitions than cores keep them. Checkpoints keep the lineage of the rounds short."""
     context = train.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_root(train.sparkSession))
     train = settle(train)
-    return train.coalesce(max(1, train.count() // ROWS_A_PARTITION))
+    dealt = min(context.defaultParallelism, -(-train.count() // LEAST_ROWS))
+    return train.repartition(max(1, dealt)) if train.rdd.getNumPartitions() <= context.defaultParallelism else train
 
 
 def fit_regressor(df: DataFrame, inputs: Sequence[str], label: str, size: tuple[int, int], out: str = "prediction") -> PipelineModel:
@@ -169,38 +170,102 @@ def score_guests(model: PipelineModel, guests: DataFrame, requests: DataFrame, m
 # ---- forecast --------------------------------------------------------------------------------------------------
 
 
+KNOTS = 25  # possible changes of the trend, evenly over the first nine tenths of the history
+RIDGE = 0.5  # holds changes of the trend down
+ORIGINS = 12  # past days from which the interval is tried out
+COVERAGE = 0.95
+
+
+def _design(days: np.ndarray, span: float) -> np.ndarray:
+    """Level, slope and changes of slope, weekday and yearly waves; ``days`` count from the first day, a Monday-0 week."""
+    t = days / span
+    knots = np.linspace(0, 0.9, KNOTS + 2)[1:-1]
+    year = 2 * np.pi * days / 365.25
+    weekday = (days[:, None] % 7 == np.arange(6)).astype(float)
+    waves = [f(m * year) for m in (1, 2, 3) for f in (np.sin, np.cos)]
+    return np.column_stack([np.ones_like(t), t, np.maximum(t[:, None] - knots, 0), weekday, *waves])
+
+
+def fit_and_extend(days: np.ndarray, values: np.ndarray, future: np.ndarray) -> np.ndarray:
+    """Values at ``future`` days from a least-squares fit whose changes of slope are held down by a ridge."""
+    span = max(float(days[-1]), 1.0)
+    known = _design(days, span)
+    hold = np.zeros(known.shape[1])
+    hold[2 : 2 + KNOTS] = RIDGE
+    hold[2 + KNOTS :] = 1.0
+    weights = np.linalg.lstsq(np.vstack([known, np.diag(np.sqrt(hold))]), np.concatenate([values, np.zeros(len(hold))]), rcond=None)[0]
+    # the slope at the end goes on, but no change of it does
+    return _design(future, span) @ weights
+
+
+def interval_width(days: np.ndarray, values: np.ndarray, horizon: int) -> float:
+    """Half the width that would have held ``COVERAGE`` of the values in forecasts from ``ORIGINS`` earlier days.
+
+    A history too short for that is judged by its own fit.
+    """
+    missed = []
+    for k in range(1, ORIGINS + 1):
+        cut = int(np.searchsorted(days, days[-1] - k * horizon, "right"))
+        if cut < 2 * horizon:
+            break
+        ahead = days[cut:] <= days[cut - 1] + horizon
+        missed.append(np.abs(values[cut:][ahead] - fit_and_extend(days[:cut], values[:cut], days[cut:][ahead])))
+    errors = np.concatenate(missed) if missed else np.abs(values - fit_and_extend(days, values, days))
+    rank = min(1.0, COVERAGE * (1 + 1 / len(errors)))
+    return float(np.quantile(errors, rank))
+
+
 def forecast_occupancy(daily: DataFrame, horizon_days: int = 30) -> DataFrame:
     """Daily forecast per branch with a 95 % interval, starting the day after the branch's last date.
 
-    A least-squares fit of trend, weekday and yearly waves per branch; a branch holds at most one row per day, so the
-    group that reaches one task is bounded by the calendar.
+    Trend with changepoints, weekday and yearly waves; the interval comes from forecasts that start at earlier days of
+    the history. A branch holds at most one row per day, so the group that reaches one task is bounded by the calendar.
     """
     schema = (
         "branch_id int, occupancy_date date, predicted_occupancy_pct double, ci_lower double, ci_upper double, model_used string"
     )
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        def design(days: pd.DatetimeIndex, start: pd.Timestamp) -> np.ndarray:
-            t = (days - start).days.to_numpy(dtype=float)
-            year = 2 * np.pi * t / 365.25
-            weekday = (days.dayofweek.to_numpy()[:, None] == np.arange(6)).astype(float)
-            waves = [f(m * year) for m in (1, 2, 3) for f in (np.sin, np.cos)]
-            return np.column_stack([np.ones_like(t), t, weekday, *waves])
-
         rows = rows.sort_values("occupancy_date")
-        days = pd.DatetimeIndex(pd.to_datetime(rows["occupancy_date"]))
-        values = rows["occupancy_pct"].to_numpy(dtype=float)
-        known = design(days, days[0])
-        coefficients = np.linalg.lstsq(known, values, rcond=None)[0]
-        spread = 1.96 * float(np.std(values - known @ coefficients))
-        future = pd.date_range(days[-1] + pd.Timedelta(days=1), periods=horizon_days, freq="D")
-        predicted = design(future, days[0]) @ coefficients
+        dates = pd.DatetimeIndex(pd.to_datetime(rows["occupancy_date"]))
+        start = dates[0] - pd.Timedelta(days=int(dates[0].dayofweek))
+        days, values = (dates - start).days.to_numpy(dtype=float), rows["occupancy_pct"].to_numpy(dtype=float)
+        known = np.isfinite(values)
+        future = pd.date_range(dates[-1] + pd.Timedelta(days=1), periods=horizon_days, freq="D")
+        predicted = fit_and_extend(days[known], values[known], (future - start).days.to_numpy(dtype=float))
+        width = interval_width(days[known], values[known], horizon_days)
         return pd.DataFrame({
             "branch_id": int(rows["branch_id"].iloc[0]), "occupancy_date": future.date, "predicted_occupancy_pct": predicted,
-            "ci_lower": predicted - spread, "ci_upper": predicted + spread, "model_used": "trend_and_season",
+            "ci_lower": predicted - width, "ci_upper": predicted + width, "model_used": "trend_and_season",
         })
 
-    return daily.select("branch_id", "occupancy_date", "occupancy_pct").groupBy("branch_id").applyInPandas(fit, schema)
+    return daily.where("occupancy_pct IS NOT NULL").select("branch_id", "occupancy_date", "occupancy_pct").groupBy("branch_id").applyInPandas(fit, schema)
+
+
+def backtest(daily: DataFrame, horizon_days: int = 30, windows: int = 10) -> DataFrame:
+    """(branch_id, n, covered, mae, naive_mae): forecasts of the last ``windows`` periods, each from the days before it alone.
+
+    ``covered`` is the share of values inside their interval; the naive forecast is the last known value of the weekday.
+    """
+    last = daily.groupBy("branch_id").agg(F.max("occupancy_date").alias("_last"))
+    # every window is a history of its own, at most ``windows`` copies of the calendar
+    cut = F.explode(F.sequence(F.lit(1), F.lit(windows))).alias("window")
+    placed = daily.select("branch_id", "occupancy_date", "occupancy_pct", cut).join(last, "branch_id")
+    ends = F.date_sub("_last", F.col("window") * horizon_days)
+    known = placed.where(F.col("occupancy_date") <= ends).withColumn("key", F.col("branch_id") * windows + F.col("window") - 1)
+    found = forecast_occupancy(known.select(F.col("key").alias("branch_id"), "occupancy_date", "occupancy_pct"), horizon_days)
+    found = found.select(F.floor(F.col("branch_id") / windows).cast("int").alias("branch_id"), F.pmod("branch_id", F.lit(windows)).alias("window"), "occupancy_date", "predicted_occupancy_pct", "ci_lower", "ci_upper")
+    truth = placed.where(F.col("occupancy_date") > ends).withColumn("window", F.col("window") - 1)
+    weeks = F.ceil(F.datediff("occupancy_date", F.date_sub("_last", (F.col("window") + 1) * horizon_days)) / 7).cast("int")
+    truth = truth.select("branch_id", "window", "occupancy_date", "occupancy_pct", F.date_sub("occupancy_date", weeks * 7).alias("naive_day"))
+    past = daily.select("branch_id", F.col("occupancy_date").alias("naive_day"), F.col("occupancy_pct").alias("naive"))
+    both = truth.join(found, ["branch_id", "window", "occupancy_date"]).join(past, ["branch_id", "naive_day"])
+    off = F.abs(F.col("occupancy_pct") - F.col("predicted_occupancy_pct"))
+    inside = F.col("occupancy_pct").between(F.col("ci_lower"), F.col("ci_upper"))
+    return both.groupBy("branch_id").agg(
+        F.count("*").alias("n"), F.avg(inside.cast("double")).alias("covered"), F.avg(off).alias("mae"),
+        F.avg(F.abs(F.col("occupancy_pct") - F.col("naive"))).alias("naive_mae"),
+    )
 
 
 # ---- scoring ---------------------------------------------------------------------------------------------------

@@ -58,7 +58,8 @@ HASH_COLUMNS = [c if c != "adr" else "adr_cents" for c in C.RAW_COLUMNS]
 
 
 def _joined(lake: Lake) -> DataFrame:
-    orders = lake.table("orders")
+    # both tables are facts; joined by a shuffle, the derived columns are computed in all its partitions
+    orders = lake.table("orders").hint("merge")
     customers = lake.table("customer")
     nations = lake.table("nation")
     return (

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylytics import constants as C
+from staylytics.session import settle
 
 _TEXT = {*C.CATEGORICAL_COLUMNS, "arrival_date_month", "agent", "company", "reservation_status_date"}
 
@@ -70,6 +73,38 @@ def ensure(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> Da
     return spark.read.parquet(path)
 
 
+def _part(key: list[str], parts: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int")
+
+
+def write_keyed(df: DataFrame, path: str, key: list[str], parts: int) -> None:
+    """Write a table dealt over ``parts`` folders by a hash of its key, as ``upsert_keyed`` expects it."""
+    dealt = df.withColumn("_part", _part(key, parts))
+    dealt.repartition("_part").write.mode("overwrite").partitionBy("_part").parquet(path)
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("_part")
+
+
+def upsert_keyed(source: DataFrame, path: str, key: list[str], parts: int) -> list[int]:
+    """Insert-or-update ``source`` into a table of ``write_keyed``; returns the folders that were rewritten.
+
+    Only folders that hold a key of ``source`` are read and replaced. Their new content is written aside first; then the
+    folders are swapped by a dynamic partition overwrite, so a failure before that leaves the table as it was. Keys are unique
+    in ``source``; null is a key like any other.
+    """
+    spark = source.sparkSession
+    stored = spark.read.parquet(path)
+    arrived = settle(source.select(*[c for c in stored.columns if c != "_part"]).withColumn("_part", _part(key, parts)))
+    touched = sorted(r["_part"] for r in arrived.select("_part").distinct().collect())  # ``parts`` numbers at most
+    old = stored.where(F.col("_part").isin(touched))
+    same = reduce(and_, [old[c].eqNullSafe(arrived[c]) for c in ("_part", *key)])
+    staged = settle(old.join(arrived, same, "left_anti").unionByName(arrived))
+    staged.repartition("_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(path)
+    return touched
+
+
 class MissingTable(RuntimeError):
     """A write or read names a table that does not exist."""
 
