@@ -1,11 +1,18 @@
-"""License scan: words that a match cannot do without pick candidates, banded alignment reports spans and coverage.
-
-Templates and texts are sequences of words (runs of letters and digits, A-Z lower-cased). A match at ``least`` may miss
-n - ceil(least n) of a template's n words, so of any n - ceil(least n) + 1 places it holds one at least, whatever is inserted
-between. The fingerprints of a template are the words at so many of its places, rare ones among the templates first. They
-form an inverted index. The neighbourhoods of the hits of a text are aligned with the template inside a band around the
-diagonals hit, and what is left on both sides of an alignment again, until nothing reaches ``least``. The template set is a
-parameter and bounds the index; texts are only mapped, never shuffled.
+"""License scan: winnowed fingerprints of templates pick candidates, banded alignment reports spans and coverage.
+
+Templates and texts are sequences of words (runs of letters and digits, A-Z lower-cased). Of every ``window`` neighbouring
+grams of words the one with the smallest hash is a fingerprint (``winnowed``), so two sequences that share a run of
+``gram + window - 1`` words share a fingerprint. A match at ``least`` may miss n - need of a template's n words; unless words are
+inserted in the text, its equal words then hold a run of ceil(need / (n - need + 1)), and gram and window of each template are chosen
+to fit that run (``run_length``). The fingerprints form an inverted index.
+
+Matches that winnowing cannot promise to find, of templates whose run is a single word or with words inserted in every run, come
+from a supplement that is exact: a match holds one at least of any n - need + 1 places of the template, so the words at so many of
+its places, rare ones first, are looked up as well. What they hit outside the matches found so far is aligned too.
+
+The neighbourhoods of the hits are aligned with the template inside a band around the diagonals hit, and what is left on
+both sides of an alignment again, until nothing reaches ``least``. The template set is a parameter and bounds the index; texts
+are only mapped, never shuffled.
 """
 
 from __future__ import annotations
@@ -24,6 +31,7 @@ from pyspark.sql import functions as F
 
 from staylytics.llm import text as tx
 
+GRAM = 3  # words of a fingerprint, fewer where a template's run is shorter
 BAND = 8  # words an alignment may drift beyond the diagonals hit
 MATCH, OTHER, GAP = 2, -1, -1  # scores of the alignment
 
@@ -64,7 +72,25 @@ class Index:
     vocabularies: list[tuple[np.ndarray, np.ndarray]]  # distinct words, ascending, and how often
     needs: list[int]  # equal words of a match
     places: dict[int, list[tuple[int, int]]]  # fingerprint: (template, place)
-    prints: np.ndarray  # all fingerprints, ascending
+    prints: np.ndarray  # all of them, ascending
+    grams: dict[tuple[int, int], tuple[np.ndarray, dict[int, list[tuple[int, int]]]]]  # by gram and window: hashes, (template, place)
+
+
+def run_length(n: int, need: int) -> int:
+    """Words in a row that ``need`` equal ones of ``n`` must hold: n - need others cut them in so many runs and one."""
+    return -(-need // (n - need + 1))
+
+
+def winnowed(words: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the fingerprints: the smallest gram hash of every window, the last of equal ones."""
+    if len(words) < gram + window - 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    rolled = np.zeros(len(words) - gram + 1, np.uint64)
+    for k in range(gram):
+        rolled = tx.mix(rolled + words[k : k + len(rolled)])
+    seen = np.lib.stride_tricks.sliding_window_view(rolled, window)[:, ::-1]
+    places = np.unique(np.arange(len(seen)) + window - 1 - seen.argmin(1))
+    return places, rolled[places]
 
 
 def index(templates: Mapping[str, str], least: float) -> Index:
@@ -77,12 +103,19 @@ def index(templates: Mapping[str, str], least: float) -> Index:
     common = Counter(w for t in words for w in t.tolist())
     needs = [max(1, math.ceil(least * len(t) - 1e-9)) for t in words]
     places = defaultdict(list)
+    grams: dict[tuple[int, int], dict[int, list]] = defaultdict(lambda: defaultdict(list))
     for t, hashed in enumerate(words):
+        run = run_length(len(hashed), needs[t]) if len(hashed) else 0
+        if run > 1:
+            shape = min(GRAM, run), run - min(GRAM, run) + 1
+            for at, value in zip(*(x.tolist() for x in winnowed(hashed, *shape)), strict=True):
+                grams[shape][value].append((t, at))
         rare = sorted(range(len(hashed)), key=lambda i: (common[int(hashed[i])], i))
         for at in rare[: len(hashed) - needs[t] + 1]:
             places[int(hashed[at])].append((t, at))
     vocabularies = [np.unique(t, return_counts=True) for t in words]
-    return Index(names, words, vocabularies, needs, dict(places), np.array(sorted(places), np.uint64))
+    by_shape = {shape: (np.array(sorted(found), np.uint64), dict(found)) for shape, found in grams.items()}
+    return Index(names, words, vocabularies, needs, dict(places), np.array(sorted(places), np.uint64), by_shape)
 
 
 def align(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int, int]:
@@ -151,40 +184,65 @@ def _within(template: np.ndarray, times: np.ndarray, need: int, text: np.ndarray
     return out
 
 
+def _hits(at: np.ndarray, values: np.ndarray, known: np.ndarray, places: dict[int, list[tuple[int, int]]], out: dict[int, list]) -> None:
+    """Add (place in the text, diagonal) of the values that the index knows, by template."""
+    if not len(known) or not len(values):
+        return
+    here = np.flatnonzero(known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values)
+    for x, value in zip(at[here].tolist(), values[here].tolist(), strict=True):
+        for t, place in places[value]:
+            out[t].append((x, x - place))
+
+
+def _aligned(found: list[tuple[int, int]], template: np.ndarray, times: np.ndarray, need: int, hashed: np.ndarray, codes: np.ndarray, lo: int, hi: int) -> list[tuple[int, int, int]]:
+    """(equal words, first word, last word + 1) of the matches between ``lo`` and ``hi`` around hits that lie there."""
+    n, out = len(template), []
+    regions: list[list[int]] = []
+    for diagonal in sorted({d for _, d in found}):
+        a, b = max(lo, diagonal - BAND), min(hi, diagonal + n + BAND)
+        if a >= b:
+            continue
+        if regions and a <= regions[-1][1]:
+            regions[-1][1] = max(b, regions[-1][1])
+        else:
+            regions.append([a, b])
+    ats, diagonals = np.array(sorted(found), np.int64).T
+    half = 3 * n + 2 * BAND  # no alignment of positive score is longer than 3 n
+    for a, b in regions:
+        while b - a >= need:
+            end = min(b, a + 2 * half)
+            matches = _within(template, times, need, hashed, codes, ats, diagonals, a, end)
+            whole = [m for m in matches if end == b or m[1] < a + half]
+            out += whole
+            a = b if end == b else max([a + half, *(m[2] for m in whole)])
+    return out
+
+
 def scan(hashed: np.ndarray, ix: Index) -> list[tuple[int, int, int, int]]:
     """(template, equal words, first word, last word + 1) of every match that has the words its template needs."""
-    hits = defaultdict(list)
-    if not len(ix.prints):
-        return []
-    known = ix.prints[np.minimum(np.searchsorted(ix.prints, hashed), len(ix.prints) - 1)] == hashed
-    for at in np.flatnonzero(known).tolist():
-        for t, place in ix.places[int(hashed[at])]:
-            if len(hashed) >= ix.needs[t]:
-                hits[t].append((at, at - place))
+    printed: dict[int, list] = defaultdict(list)
+    for shape, (known, places) in ix.grams.items():
+        _hits(*winnowed(hashed, *shape), known, places, printed)
+    single: dict[int, list] = defaultdict(list)
+    _hits(np.arange(len(hashed)), hashed, ix.prints, ix.places, single)
     out = []
-    for t, found in hits.items():
+    for t in sorted({*printed, *single}):
         template, need = ix.words[t], ix.needs[t]
-        n = len(template)
+        if len(hashed) < need:
+            continue
         distinct, times = ix.vocabularies[t]
         codes = _codes(hashed, distinct)
         if _common(codes, times) < need:
             continue
-        regions: list[list[int]] = []
-        for diagonal in sorted({d for _, d in found}):
-            a, b = max(0, diagonal - BAND), min(len(hashed), diagonal + n + BAND)
-            if regions and a <= regions[-1][1]:
-                regions[-1][1] = max(b, regions[-1][1])
-            else:
-                regions.append([a, b])
-        ats, diagonals = np.array(sorted(found), np.int64).T
-        half = 3 * n + 2 * BAND  # no alignment of positive score is longer than 3 n
-        for a, b in regions:
-            while b - a >= need:
-                end = min(b, a + 2 * half)
-                matches = _within(template, times, need, hashed, codes, ats, diagonals, a, end)
-                whole = [m for m in matches if end == b or m[1] < a + half]
-                out += [(t, *m) for m in whole]
-                a = b if end == b else max([a + half, *(m[2] for m in whole)])
+        matches = _aligned(printed[t], template, times, need, hashed, codes, 0, len(hashed)) if printed[t] else []
+        # the supplement, between the matches that fingerprints led to
+        lo, more = 0, []
+        for _, first, end in [*sorted(matches, key=lambda m: m[1]), (0, len(hashed), len(hashed))]:
+            rest = [h for h in single[t] if lo <= h[0] < first] if first - lo >= need else []
+            if rest:
+                more += _aligned(rest, template, times, need, hashed, codes, lo, first)
+            lo = end
+        out += [(t, *m) for m in matches + more]
     return sorted(out, key=lambda m: (m[2], m[3], m[0]))
 
 

@@ -166,6 +166,55 @@ def test_license_alignment_against_plain_dynamic_programming():
         assert license_scan.align(a, b, -8, 20)[0] == best
 
 
+def test_winnowing_shares_a_fingerprint_in_every_run():
+    rng = np.random.default_rng(8)
+    for gram, window in ((2, 1), (3, 1), (3, 2), (3, 5)):
+        for _ in range(60):
+            run = rng.integers(0, 50, gram + window - 1).astype(np.uint64)
+            a, b = (np.concatenate([rng.integers(100 * k, 100 * k + 90, rng.integers(0, 9)).astype(np.uint64), run,
+                                    rng.integers(100 * k, 100 * k + 90, rng.integers(0, 9)).astype(np.uint64)]) for k in (1, 2))
+            assert set(license_scan.winnowed(a, gram, window)[1].tolist()) & set(license_scan.winnowed(b, gram, window)[1].tolist())
+
+
+def brute_scan(words, template, need):
+    """Spans of whole scans without an index: the best alignment over all diagonals, then what is left on both sides of it."""
+    out, open_ = [], [(0, len(words))]
+    while open_:
+        a, b = open_.pop()
+        if b - a < need:
+            continue
+        _, equal, first, end = license_scan.align(template, words[a:b], -len(template), b - a)
+        if not equal:
+            continue
+        if equal >= need:
+            out.append((equal, a + first, a + end))
+        open_ += [(a, a + first), (a + end, b)]
+    return sorted(out, key=lambda m: m[1])
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_scans_equal_a_scan_without_index(seed):
+    rng = np.random.default_rng(seed)
+    names = [f"t{k}" for k in range(3)]
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 30, n)) for n in (5, 14, 40)]
+    ix = license_scan.index(dict(zip(names, texts)), 0.8)
+    for _ in range(12):
+        parts = []
+        for _ in range(rng.integers(1, 5)):
+            parts += [f"z{x}" for x in rng.integers(0, 99, rng.integers(60, 90))]  # far apart, so alignments do not meet
+            copy = texts[rng.integers(3)].split()
+            for _ in range(rng.integers(0, 4)):
+                at = int(rng.integers(len(copy)))
+                copy[at : at + 1] = [[], ["q"], [copy[at], "q"]][rng.integers(3)]
+            parts += copy
+        parts += ["end"] * 60
+        _, data, offsets = next(text.pieces(pa.array([" ".join(parts)])))
+        hashed = text.terms(data, offsets)[0]
+        got = license_scan.scan(hashed, ix)
+        for t in range(3):
+            assert sorted(m[1:] for m in got if m[0] == t) == sorted(brute_scan(hashed, ix.words[t], ix.needs[t]))
+
+
 def test_every_license_line_of_the_documents_is_found(spark):
     lines = [license_scan.TEMPLATES[k] for k in ("Apache-2.0", "CC-BY-NC-4.0", "GPL-3.0", "MIT")]
     want = sorted((r["doc_id"], line) for r in spark.read.parquet(f"{ROOT}/documents.parquet").collect() for line in lines if line in r["text"])
@@ -347,6 +396,45 @@ def test_quality_on_held_out_rows(spark):
     assert np.mean([r["predicted"] for r in rows if r["quality"] == 1]) > 0.98
 
 
+def plain_leader(rows, s):
+    """Follow-the-regularised-leader of one weight at a time, from its definition."""
+    import math
+
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= s.l1:
+            return 0.0
+        return -(z[i] - math.copysign(s.l1, z[i])) / ((s.beta + math.sqrt(n[i])) / s.alpha + s.l2)
+
+    for _ in range(s.epochs):
+        for places, values, y in rows:
+            entries = [*zip(places, values), (1 << s.bits, 1.0)]
+            p = 1 / (1 + math.exp(-sum(weight(i) * x for i, x in entries)))
+            for i, x, w in [(i, x, weight(i)) for i, x in entries]:
+                g = (p - y) * x
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / s.alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_training_equals_a_plain_loop(spark):
+    s = quality.Settings(bits=10, epochs=2)
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"{'good' if y else 'bad'}{x}" if rng.random() < 0.5 else f"w{x}" for x in rng.integers(0, 40, rng.integers(0, 30))) for y in [0, 1] * 40]
+    rows = [(p.tolist(), v.astype(np.float32).astype(float).tolist(), k % 2) for k, (p, v) in enumerate(quality.features(pa.array(texts), s.bits))]
+    want = plain_leader(rows, s)
+    arrays = [(np.array(p, np.uint32), np.array(v, np.float32), y) for _ in range(s.epochs) for p, v, y in rows]
+    weights, bias = quality._leader(iter(arrays), s)
+    assert bias == pytest.approx(want[1 << s.bits], abs=1e-6)
+    assert all(weights[i] == pytest.approx(w, abs=1e-6) for i, w in want.items() if i < 1 << s.bits) and np.count_nonzero(weights) > 50
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] * 3, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(len(texts))], "doc_id long, quality int")
+    once, thrice = (quality.fit(d, marks, None, s) for d in (docs.dropDuplicates(["doc_id"]), docs))
+    assert np.array_equal(once.weights, thrice.weights) and once.bias == thrice.bias  # rows of one doc_id count once
+
+
 def test_quality_edges(spark):
     docs = [(1, "good words here", "x"), (2, "BAD!! BAD!!", "x"), (3, None, "x"), (4, "", "x"), (1, "good words here", "x"), (None, "good", "x"), (5, "w " * 50_000, "x")]
     df = spark.createDataFrame(docs, "doc_id long, text string, score string")
