@@ -3,8 +3,8 @@
 Both models, for accepted and rejected URLs, are variable-order Markov models: the chance of a byte mixes the counts after
 its last ``ORDER`` bytes with the chance given one byte less, down to uniform; contexts never seen fall through. They are
 counted over all URLs that a rule decides (but a fifth of them, kept for calibration). A Spark aggregation counts every
-context, and every context with its byte, by a 64-bit hash; the table grows with what the URLs hold (24 bytes each). The
-log-likelihood difference is divided by the number of bytes. Its cut is the one with the least mean of both error
+context, and every context with its byte, by a 64-bit hash; the table grows with what the URLs hold, and is sent to the tasks in
+slices of bounded size (``scored``). The log-likelihood difference is divided by the number of bytes. Its cut is the one with the least mean of both error
 rates on the kept fifth of the distinct URLs. Where the fifth or the rest lacks a class (few distinct URLs), both models
 are counted over all URLs that a rule decides, and the cut is 0: the likelier class wins.
 """
@@ -24,6 +24,7 @@ from staylytics.session import settle
 
 ORDER = 5
 PRIOR = 2.0  # weight of the shorter context, in observations
+SLICE_KEYS = 2_000_000  # counts broadcast at once, 24 bytes each
 CUTS = 2000  # score bins of the calibration, 0.01 wide
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -85,8 +86,9 @@ def contexts(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
         yield depth >= order, tx.mix(context + np.uint64(order)), tx.mix(context * np.uint64(263) + codes + np.uint64(7))
 
 
-def count(urls: DataFrame) -> Counts:
-    """How often each context, and each context with its byte, occurs in all rows of ``urls`` (url, accepted)."""
+def counted(urls: DataFrame) -> DataFrame:
+    """(key, rejected, accepted): how often each context, and each context with its byte, occurs in all rows of ``urls`` (url,
+    accepted)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,26 +102,84 @@ def count(urls: DataFrame) -> Counts:
                         yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), *map(pa.array, times)], names=["key", "rejected", "accepted"])
 
     parts = urls.mapInArrow(run, "key long, rejected long, accepted long")
-    table = parts.groupBy("key").agg(F.sum("rejected").alias("rejected"), F.sum("accepted").alias("accepted")).toArrow()
+    return parts.groupBy("key").agg(F.sum("rejected").alias("rejected"), F.sum("accepted").alias("accepted"))
+
+
+def held(counts: DataFrame) -> Counts:
+    """A table of counts in memory: the whole one, or a slice of it."""
+    table = counts.toArrow()
     keys = table.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
     return Counts(keys[order], np.stack([table.column(c).to_numpy()[order] for c in ("rejected", "accepted")]))
 
 
+def count(urls: DataFrame) -> Counts:
+    return held(counted(urls))
+
+
+def looked_up(data: np.ndarray, offsets: np.ndarray, table: Counts) -> np.ndarray:
+    """[order, context or event, rejected or accepted, byte]: the counts that a table has for every byte of some texts."""
+    return np.stack([np.stack([table.of(context), table.of(event)]) for _, context, event in contexts(data, offsets)])
+
+
+def _per_byte(data: np.ndarray, offsets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Log-likelihood difference (accepted less rejected) per byte of each text, from the counts of its bytes; 0 for an empty one."""
+    chance = np.full((2, len(data)), 1 / 256)
+    depth = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
+    for order, (context, event) in enumerate(counts):
+        chance = np.where(depth >= order, (event + PRIOR * chance) / (context + PRIOR), chance)
+    gain = np.concatenate([[0.0], np.cumsum(np.log(chance[1]) - np.log(chance[0]))])
+    return (gain[offsets[1:]] - gain[offsets[:-1]]) / np.maximum(np.diff(offsets), 1)
+
+
 def ratios(column: pa.Array, table: Counts) -> np.ndarray:
-    """Log-likelihood difference (accepted less rejected) per byte of each text; 0 for an empty one."""
+    """``_per_byte`` of each text by one table that holds all counts."""
     out = np.zeros(len(column))
     for first, data, offsets in tx.pieces(column):
-        chance = np.full((2, len(data)), 1 / 256)
-        for there, context, event in contexts(data, offsets):
-            mixed = (table.of(event) + PRIOR * chance) / (table.of(context) + PRIOR)
-            chance = np.where(there, mixed, chance)
-        gain = np.concatenate([[0.0], np.cumsum(np.log(chance[1]) - np.log(chance[0]))])
-        total = gain[offsets[1:]] - gain[offsets[:-1]]
-        out[first : first + len(offsets) - 1] = total / np.maximum(np.diff(offsets), 1)
+        out[first : first + len(offsets) - 1] = _per_byte(data, offsets, looked_up(data, offsets, table))
     return out
 
 
+def scored(parts: DataFrame, counts: DataFrame) -> DataFrame:
+    """``parts`` (url, ...) with score. A task holds at most a slice of ``SLICE_KEYS`` counts; with more, the counts of each URL's bytes
+    are gathered slice by slice in a column of their own, and then scored."""
+    spark = parts.sparkSession
+    counts = settle(counts)
+    slices = max(1, -(-counts.count() // SLICE_KEYS))
+
+    def broadcast(k: int):
+        return spark.sparkContext.broadcast(held(counts.where(F.pmod(F.xxhash64("key"), F.lit(slices)) == k)))
+
+    if slices == 1:
+        table = broadcast(0)
+        return parts.withColumn("score", F.arrow_udf(lambda url: pa.array(ratios(url, table.value), pa.float64()), "double")("url"))
+
+    def gather(table):
+        def run(url: pa.Array, found: pa.Array) -> pa.Array:
+            out = []
+            for first, data, offsets in tx.pieces(url):
+                new = looked_up(data, offsets, table.value).astype(np.int32)
+                for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+                    mine, old = new[..., a:b], found[first + k].as_py()
+                    out.append((mine if old is None else mine + np.frombuffer(old, np.int32).reshape(mine.shape)).tobytes())
+            return pa.array(out, pa.binary())
+
+        return F.arrow_udf(run, "binary")("url", "found")
+
+    def finish(url: pa.Array, found: pa.Array) -> pa.Array:
+        out = []
+        for first, data, offsets in tx.pieces(url):
+            for k, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
+                mine = np.frombuffer(found[first + k].as_py(), np.int32).reshape(ORDER + 1, 2, 2, b - a)
+                out.append(float(_per_byte(data[a:b], np.array([0, b - a]), mine)[0]))
+        return pa.array(out, pa.float64())
+
+    parts = parts.withColumn("found", F.lit(None).cast("binary"))
+    for k in range(slices):
+        parts = settle(parts.withColumn("found", gather(broadcast(k))))
+    return parts.withColumn("score", F.arrow_udf(finish, "double")("url", "found")).drop("found")
+
+
 def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per row of ``pages`` (page_id, url): page_id, host, path, rule, verdict, score.
 
@@ -137,15 +197,11 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     parted = {(r["kept"], r["accepted"]) for r in known.select("kept", "accepted").distinct().collect()}
     classes = {accepted for _, accepted in parted}
     learnt = known.where("NOT kept") if len(parted) == 4 else known
-    table = spark.sparkContext.broadcast(count(learnt.select("url", "accepted")))
-
-    def ratio(url: pa.Array) -> pa.Array:
-        return pa.array(ratios(url, table.value), pa.float64())
-
-    score = F.arrow_udf(ratio, "double")("url")
+    done = settle(scored(parts, counted(learnt.select("url", "accepted"))))
     if len(parted) == 4:
-        bin_ = F.greatest(F.lit(0), F.least(F.lit(CUTS - 1), F.floor(score * 100) + CUTS // 2)).cast("int")
-        kept = known.where("kept").select("accepted", bin_.alias("bin")).groupBy("accepted", "bin").count().collect()  # 2 CUTS rows
+        bin_ = F.greatest(F.lit(0), F.least(F.lit(CUTS - 1), F.floor(F.col("score") * 100) + CUTS // 2)).cast("int")
+        judged = done.select((verdict == "allow").alias("accepted"), bin_.alias("bin")).where(F.pmod(F.xxhash64("url"), F.lit(5)) == 0).where("accepted IS NOT NULL")
+        kept = judged.groupBy("accepted", "bin").count().collect()  # 2 CUTS rows
         seen = np.zeros((2, CUTS + 1))
         for row in kept:
             seen[int(row["accepted"]), row["bin"]] = row["count"]
@@ -154,5 +210,4 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     else:
         cut = 0.0 if len(classes) == 2 else float("-inf")
     by_model = F.when((F.coalesce(F.length("url"), F.lit(0)) == 0) | (F.col("score") >= cut), "allow").otherwise("block")
-    scored = parts.withColumn("score", score)
-    return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_model).alias("verdict"), "score")
+    return done.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, by_model).alias("verdict"), "score")

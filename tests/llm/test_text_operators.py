@@ -57,6 +57,16 @@ def test_url_verdicts(spark):
     assert [r["verdict"] for r in alone] == ["allow"]
 
 
+def test_url_scores_do_not_depend_on_the_slices(spark, monkeypatch):
+    pages = [(i, f"http://{w}.example.{t}/{p}/{i % 7}é", "x") for i, (w, t, p) in enumerate(
+        [("good", "com", "fr"), ("bad", "com", "en"), ("www", "com", "en"), ("m", "net", "es"), ("m", "net", "fr"), ("m", "org", "de")] * 20)] + [(901, "", "x")]
+    df = spark.createDataFrame(pages, "page_id long, url string, found string")
+    judged = lambda: sorted((*r[:-1], round(r["score"], 9)) for r in url_filter.judge(df, URL_RULES).collect())
+    whole = judged()
+    monkeypatch.setattr(url_filter, "SLICE_KEYS", 400)
+    assert judged() == whole
+
+
 def brute_ratio(url, accepted, rejected):
     """The same mixture from exact dictionaries instead of hashed counters."""
     total = 0.0
