@@ -19,11 +19,16 @@ SIZES = ml.FULL_SIZES
 
 
 def _trained(lake, domains):
-    """Metric names of each model and whether every value is in its range; the values themselves depend on the learner."""
-    metrics = jobs.train_domains(lake, domains, SIZES, scratch_path(lake.spark, "train"))
+    """Metric names of each model and whether each value is sound: in its range, the error not above that of the naive predictor by
+    more than a tenth (some targets are nearly noise), the area under the curve well above that of chance. The values
+    themselves depend on the learner."""
+    metrics = settle(jobs.train_domains(lake, domains, SIZES, scratch_path(lake.spark, "train")))
+    naive = metrics.where("metric = 'naive_rmse'").select("model_name", F.col("value").alias("naive"))
     share = F.col("metric").isin("accuracy", "precision", "recall", "f1", "roc_auc")
-    sound = (F.col("value") >= 0) & (~share | (F.col("value") <= 1))
-    return metrics.select("model_name", "metric", F.coalesce(sound, F.lit(False)).alias("in_range"))
+    sound = (F.col("value") >= 0) & (~share | (F.col("value") <= 1)) & ((F.col("metric") != "rmse") | (F.col("value") < 1.1 * F.col("naive")))
+    sound = sound & ((F.col("metric") != "roc_auc") | (F.col("value") > 0.6))
+    found = metrics.where("metric <> 'naive_rmse'").join(naive, "model_name", "left")
+    return found.select("model_name", "metric", F.coalesce(sound, F.lit(False)).alias("in_range"))
 
 
 def _metric_sql(models, metrics):

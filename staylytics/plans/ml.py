@@ -71,8 +71,11 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate_regressor(model: PipelineModel, df: DataFrame, label: str, name: str, out: str = "prediction") -> DataFrame:
-    test = predict(model, df.where("split = 'test'"))
-    return regression_metrics(test, label, out).select(F.lit(name).alias("model_name"), "mae", "rmse", "mape", "n")
+    """Errors on the test part, and the error there of always predicting the mean of the training part."""
+    mean = df.where("split = 'train'").agg(F.avg(label)).scalar()
+    test = predict(model, df.where("split = 'test'")).withColumn("_mean", mean)
+    naive = regression_metrics(test, label, "_mean").select("rmse").scalar()
+    return regression_metrics(test, label, out).select(F.lit(name).alias("model_name"), "mae", "rmse", "mape", naive.alias("naive_rmse"), "n")
 
 
 # ---- domain tables ---------------------------------------------------------------------------------------------
