@@ -48,7 +48,9 @@ def impact(tf: Column, dl: Column, avgdl: Column) -> Column:
 def _write_segment(docs: DataFrame, path: str, segment: int) -> None:
     """Documents (doc_id, text) as a segment; rows that share a doc_id are one document, their texts' tokens together."""
     spark = docs.sparkSession
-    tokens = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), whitespace_tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
+    # placed by document once; counting terms, gathering a document's terms and the join below all keep that placement
+    named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text").repartition("doc_id")
+    tokens = named.select("doc_id", whitespace_tokens(F.coalesce("text", F.lit(""))).alias("tokens"))
     counted = exploded(tokens, "tokens", "term", "doc_id").groupBy("doc_id", "term").agg(F.count("*").cast("int").alias("tf"))
     # a document without tokens still counts towards the corpus
     entry = F.when(F.col("term").isNotNull(), F.struct("term", "tf"))
