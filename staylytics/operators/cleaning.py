@@ -118,8 +118,9 @@ class CleanAudit:
 
     def table(self) -> DataFrame:
         """(step_no, step, rows_before, rows_after, values_changed, extra) of the 11 steps."""
-        raw, u, k = self.raw.get["raw"], self.unique.get, self.final.get
+        u, k = self.unique.get, self.final.get
         unique, kept = u["unique"], k["kept"]
+        raw = self.raw.get["raw"] if unique else 0  # an empty shuffle is planned away, and with it what was to be observed before it
         steps = [
             ("dedupe_full_row", raw, unique, raw - unique, None),
             ("replace_undefined_with_null", unique, unique, u["undefined"] or 0, None),
