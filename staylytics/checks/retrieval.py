@@ -149,16 +149,17 @@ def asked(lake):
     )
 
 
-_stored = {}  # path of the keyword index of each input, built once per application
+_stored = {}  # path and tables of the keyword index of each input, built once per application
 
 
 def keyword_index(lake):
     """The stored index of all documents; a later query of the application finds it and only reads it."""
     key = lake.spark.sparkContext.applicationId, lake.root
-    if key not in _stored or not inverted.exists(lake.spark, _stored[key]):
-        _stored[key] = scratch_path(lake.spark, "keywords")
-        inverted.build(lake.table("documents").select("doc_id", "text"), _stored[key])
-    return inverted.load(lake.spark, _stored[key])
+    if key not in _stored or not inverted.exists(lake.spark, _stored[key][0]):
+        path = scratch_path(lake.spark, "keywords")
+        inverted.build(lake.table("documents").select("doc_id", "text"), path)
+        _stored[key] = path, inverted.load(lake.spark, path)
+    return _stored[key][1]
 
 
 def updated_index(lake):
