@@ -15,14 +15,14 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from staylytics import constants as C
 from staylytics.operators import features as fe
 from staylytics.operators.monitoring import classification_metrics, regression_metrics, roc_auc
 from staylytics.plans.scoring import meal_outputs, price_outputs, risk_level
-from staylytics.session import scratch_root, settle
+from staylytics.session import scratch_path, scratch_root, settle
 
 # Sizes of the models: (boosting rounds or trees, depth). Every round sees a fresh 80 % of the rows, a parameter of the model.
 FULL_SIZES = {"occupancy": (300, 5), "pricing": (300, 5), "restaurant": (250, 4), "staffing": (250, 4), "churn": (300, 5), "forest": (300, 8)}
@@ -128,6 +128,14 @@ def _class_weight(df: DataFrame, label: str, balanced: bool) -> Column:
     return F.when(F.col(label) == 1, F.coalesce(F.try_divide(neg, pos), F.lit(1.0))).otherwise(1.0)
 
 
+def _stored(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The model as read back from the shared folder. A fitted forest holds its training summary, and with that the session, which
+    no task can be sent once it has observed metrics; a stored model has no summary."""
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    return PipelineModel.read().session(spark).load(path)
+
+
 def fit_churn(df: DataFrame, kind: str, size: tuple[int, int]) -> PipelineModel:
     train = df.where("split = 'train'")
     weighted = train.withColumn("_weight", _class_weight(train, "churn", kind == "random_forest"))
@@ -137,7 +145,8 @@ def fit_churn(df: DataFrame, kind: str, size: tuple[int, int]) -> PipelineModel:
     else:
         learner = GBTClassifier(maxIter=size[0], stepSize=0.05, subsamplingRate=0.8, checkpointInterval=20, **shared)
     rows = _gathered(weighted.select(*C.CHURN_FEATURES, "churn", "_weight"))
-    return Stages(stages=[VectorAssembler(inputCols=C.CHURN_FEATURES, outputCol="_x"), learner]).fit(rows)
+    fitted = Stages(stages=[VectorAssembler(inputCols=C.CHURN_FEATURES, outputCol="_x"), learner]).fit(rows)
+    return _stored(fitted, df.sparkSession)
 
 
 def churn_probabilities(model: PipelineModel, df: DataFrame) -> DataFrame:
