@@ -20,9 +20,12 @@ _MERGED = {"spark__sql__streaming__sessionWindow__merge__sessions__in__local__pa
 
 
 def file_stream(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """Stream of the parquet files in a folder that match a name pattern; the schema comes from those files."""
-    schema = spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", FILES_A_BATCH).parquet(folder)
+    """Stream of the parquet tables in a folder that match a name pattern, each a file or a folder of files; the schema comes
+    from those files."""
+    tables = f"{folder}/{pattern}"
+    schema = spark.read.parquet(tables).schema
+    found = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", FILES_A_BATCH)
+    return found.parquet(tables)
 
 
 def event_stream(spark: SparkSession, folder: str, pattern: str = "events.parquet") -> DataFrame:
