@@ -196,11 +196,18 @@ def column_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def top_correlations(df: DataFrame, columns: list[str], n: int = 10) -> DataFrame:
-    """Strongest distinct column pairs by absolute Pearson correlation; all pairs in one aggregate."""
+    """Strongest distinct column pairs by absolute Pearson correlation; all pairs in one aggregate. Where one of two columns does not
+    vary the correlation is not a number, which sorts first, as in SQL."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+
+    def strength(a: str, b: str) -> Column:
+        # corr() itself divides by the deviations, which fails where one is 0
+        x, y = (F.when(F.col(other).isNotNull(), F.col(own).cast("double")) for own, other in ((a, b), (b, a)))
+        found = F.round(F.abs(F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))), 6)
+        return F.when(F.count(x + y) > 0, F.coalesce(found, F.lit(float("nan"))))
+
     rows = F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.round(F.abs(F.corr(a, b)), 6).alias("abs_corr"))
-        for a, b in pairs
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), strength(a, b).alias("abs_corr")) for a, b in pairs
     ])
     listed = df.agg(rows.alias("r")).select(F.inline("r"))
     return listed.where("abs_corr is not null").orderBy(F.desc("abs_corr"), "feature_a", "feature_b").limit(n)
