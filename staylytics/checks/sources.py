@@ -6,7 +6,7 @@ from staylytics import constants as C
 from staylytics.checks.marts import daily
 from staylytics.checks.registry import query
 from staylytics.operators import monitoring
-from staylytics.session import scratch_path
+from staylytics.session import scratch_path, settle
 from staylytics.sources import io
 from staylytics.sources.bookings import raw_bookings
 from staylytics.sources.models import model_records
@@ -79,7 +79,7 @@ def _(lake):
     from staylytics.sources.bookings import bookings
 
     path = scratch_path(lake.spark, "versions")
-    guests = dim_guest(bookings(lake)).select("guest_key", "lifetime_bookings")
+    guests = settle(dim_guest(bookings(lake)).select("guest_key", "lifetime_bookings"))  # written twice, counted once
     io.write_result(guests, path, "guests")
     io.write_result(guests, path, "guests")
     history = lake.spark.read.json(f"{path}/history/guests").agg(F.count("*").alias("row_count"))
