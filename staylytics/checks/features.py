@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from staylytics import constants as C
 from staylytics.checks.marts import daily, rounded
 from staylytics.checks.registry import query
 from staylytics.checks.views import calendar_columns, hash63, view
@@ -157,8 +158,15 @@ WHERE g.lifetime_bookings >= 1"""
 view("churn_features", f"SELECT *, (recency_days > 180)::INT AS churn FROM ({_CHURN})")
 
 
-def churn_features(lake):
-    rows = bookings(lake)
+def guest_rows(lake):
+    """What guests, stays and daily occupancy need of the bookings, joined and stored once for all that read it."""
+    columns = {*C.GUEST_FIELDS, "country", "arrival_date", "stays_in_weekend_nights", "stays_in_week_nights", "adr_cents",
+               "reservation_status", "hotel", "assigned_room_type"}
+    return settle(bookings(lake).select(*sorted(columns)))
+
+
+def churn_features(lake, rows=None):
+    rows = guest_rows(lake) if rows is None else rows
     return ops.churn_features(settle(warehouse.dim_guest(rows)), warehouse.fact_rows(rows))
 
 

@@ -5,12 +5,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staylytics.checks.features import churn_features
+from staylytics.checks.features import churn_features, guest_rows
 from staylytics.checks.marts import daily
 from staylytics.checks.registry import query
 from staylytics.checks.views import view
 from staylytics.operators import insights as ops
-from staylytics.operators import marts
+from staylytics.operators import marts, warehouse
 from staylytics.operators import reviews as rv
 from staylytics.session import settle
 from staylytics.sources.reviews import reviews
@@ -96,10 +96,10 @@ view("scored_findings", """SELECT *, round_even((CASE severity WHEN 'critical' T
   + ln(1 + abs(coalesce(metric_delta, 0))) / 10, 4) AS priority_score FROM all_findings""")
 
 
-def churn_scored(lake):
+def churn_scored(lake, rows=None):
     """Deterministic stand-in for a model score: recency against the churn window."""
     p = F.round(F.col("recency_days") / (F.col("recency_days") + 180), 4)
-    return churn_features(lake).select(F.col("guest_key").alias("guest_id"), p.alias("churn_probability"), "total_nights")
+    return churn_features(lake, rows).select(F.col("guest_key").alias("guest_id"), p.alias("churn_probability"), "total_nights")
 
 
 def review_findings(lake):
@@ -112,15 +112,17 @@ def review_findings(lake):
 def all_findings(lake, categories=None):
     """Findings of all rules, or of the rules of some categories only: others are not computed at all.
 
-    The order lines are summed per branch and day once, and that table is stored and read by all rules that need it.
+    The order lines are summed per branch and day once, and that table is stored and read by all rules that need it; so are the
+    bookings behind occupancy and churn.
     """
+    rows = guest_rows(lake) if categories is None or set(categories) & {"occupancy", "churn"} else None
     days = settle(marts.branch_days(lake)) if categories is None or set(categories) & {"revenue", "pricing", "anomaly", "restaurant"} else None
     revenue_mart = settle(marts.mart_revenue_daily(lake, days)) if days is not None else None
     rules = {
-        "revenue": lambda: ops.revenue(revenue_mart), "occupancy": lambda: ops.occupancy(marts.mart_occupancy_daily(daily(lake))),
+        "revenue": lambda: ops.revenue(revenue_mart), "occupancy": lambda: ops.occupancy(marts.mart_occupancy_daily(marts.daily_occupancy(warehouse.fact_rows(rows)))),
         "pricing": lambda: ops.pricing(revenue_mart), "restaurant": lambda: ops.restaurant_waste(marts.mart_restaurant_daily(lake, days)),
         "staff": lambda: ops.staff(marts.mart_staff_daily(lake)), "anomaly": lambda: ops.anomaly(revenue_mart, "total_revenue"),
-        "churn": lambda: ops.churn(churn_scored(lake)), "guest_experience": lambda: review_findings(lake),
+        "churn": lambda: ops.churn(churn_scored(lake, rows)), "guest_experience": lambda: review_findings(lake),
     }
     parts = [rule() for category, rule in rules.items() if categories is None or category in categories]
     return settle(reduce(DataFrame.unionByName, parts))
