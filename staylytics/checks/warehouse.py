@@ -14,7 +14,7 @@ from staylytics.operators import warehouse as ops
 from staylytics.operators.ordering import with_global_index
 from staylytics.session import scratch_path, settle
 from staylytics.sources import io
-from staylytics.sources.bookings import bookings, raw_bookings
+from staylytics.sources.bookings import booking_parts, bookings, raw_bookings
 
 
 @query("A2_dim_date", """
@@ -196,9 +196,7 @@ def _(lake):
 @query("J11_night_expansion", """
 SELECT branch_key, hotel, stay_date::VARCHAR AS stay_date, adr_cents, count(*) AS rooms FROM room_nights GROUP BY ALL""")
 def _(lake):
-    return marts.occupied_nights(ops.fact_rows(bookings(lake))).groupBy(
-        "branch_key", "hotel", "stay_date", "adr_cents"
-    ).agg(F.count("*").alias("rooms"))
+    return marts.rooms_by_rate(ops.fact_rows(bookings(lake)), booking_parts(lake))
 
 
 _DIM_SPLIT = """SELECT guest_key, min(country) AS nationality, count(*) AS lifetime_bookings,

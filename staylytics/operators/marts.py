@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from staylytics import constants as C
 from staylytics.functions.dates import is_weekend
 from staylytics.functions.keys import lookup
+from staylytics.operators.joins import placed
 from staylytics.operators.windows import trailing_mean
 from staylytics.sources.lake import Lake
 
@@ -39,6 +40,14 @@ def occupied_nights(fact: DataFrame) -> DataFrame:
     )
 
 
+def rooms_by_rate(fact: DataFrame, parts: int | None = None) -> DataFrame:
+    """Rooms per (branch, night, rate). Rates can be as many as bookings: with ``parts`` the nights are dealt over that many tasks
+    first, so that none holds the groups of more."""
+    groups = ["branch_key", "hotel", "stay_date", "adr_cents"]
+    nights = occupied_nights(fact).select(*groups)
+    return (nights if parts is None else placed(nights, parts, *groups)).groupBy(*groups).agg(F.count("*").alias("rooms"))
+
+
 def nightly_totals(fact: DataFrame) -> DataFrame:
     """Rooms and rate cents per (branch, night). Stays with equal branch, arrival and length are summed before the
     expansion, so the exploded input is bounded by the calendar and not by the number of bookings."""

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from staylytics import constants as C
 from staylytics.functions import keys
+from staylytics.operators.joins import parts_of
 from staylytics.sources.lake import Lake
 
+TASK_BOOKINGS = 500_000  # what a task of the join below holds
+
 _ROOM_LETTERS = "ABCDEFGHIKLP"
 
 
@@ -57,14 +60,21 @@ _BOOKING_COLUMNS = {
 HASH_COLUMNS = [c if c != "adr" else "adr_cents" for c in C.RAW_COLUMNS]
 
 
+def booking_parts(lake: Lake) -> int | None:
+    """Parts of ``TASK_BOOKINGS``, where the width of a shuffle would give larger ones."""
+    return parts_of(lake.spark, lake.rows("lineitem"), TASK_BOOKINGS)
+
+
 def _joined(lake: Lake) -> DataFrame:
     # both tables are facts; joined by a shuffle, the derived columns are computed in all its partitions
-    orders = lake.table("orders").hint("merge")
+    orders, lines, parts = lake.table("orders"), lake.table("lineitem"), booking_parts(lake)
+    if parts is not None:
+        orders, lines = orders.repartition(parts, "o_orderkey"), lines.repartition(parts, "l_orderkey")
     customers = lake.table("customer")
     nations = lake.table("nation")
     return (
-        lake.table("lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines
+        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     )
