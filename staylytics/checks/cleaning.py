@@ -9,7 +9,7 @@ from staylytics.operators import cleaning as ops
 from staylytics.operators import marts, warehouse
 from staylytics.plans import jobs
 from staylytics.session import scratch_path, settle
-from staylytics.sources.bookings import bookings, raw_bookings
+from staylytics.sources.bookings import booking_parts, bookings, raw_bookings
 
 STRIP = r"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
 
@@ -212,7 +212,7 @@ def _(lake):
 SELECT count(*) AS rows_before, count(arrival_date) AS rows_after, count(*) - count(arrival_date) AS excluded
 FROM cleaned""")
 def _(lake):
-    fact = warehouse.fact_rows(ops.clean(raw_bookings(lake)))
+    fact = warehouse.fact_rows(ops.clean(raw_bookings(lake), parts=booking_parts(lake)))
     bad = F.col("check_in_date_key").isNull() | F.col("check_out_date_key").isNull()
     return fact.agg(
         F.count("*").alias("rows_before"), F.count_if(~bad).alias("rows_after"), F.count_if(bad).alias("excluded")

@@ -11,7 +11,7 @@ from staylytics import constants as C
 from staylytics.operators import cleaning, features, marts, monitoring, warehouse
 from staylytics.plans import ml
 from staylytics.session import settle
-from staylytics.sources.bookings import bookings, raw_bookings
+from staylytics.sources.bookings import booking_parts, bookings, raw_bookings
 from staylytics.sources.calendar import calendar
 from staylytics.sources.io import save_both, write_result
 from staylytics.sources.lake import Lake
@@ -26,14 +26,14 @@ REQUIRED = {"fact_booking": ["surrogate_key", "room_key", "branch_key", "guest_k
 
 def clean_job(lake: Lake, path: str) -> DataFrame:
     """Clean the raw rows, write them, and return what was written."""
-    cleaning.clean(raw_bookings(lake)).write.mode("overwrite").parquet(path)
+    cleaning.clean(raw_bookings(lake), parts=booking_parts(lake)).write.mode("overwrite").parquet(path)
     return lake.spark.read.parquet(path)
 
 
 def audited_clean_job(lake: Lake, path: str) -> tuple[DataFrame, DataFrame]:
     """``clean_job``, and the audit of its steps, observed in the same passes."""
     audit = cleaning.CleanAudit(lake.spark)
-    cleaning.clean(raw_bookings(lake), audit).write.mode("overwrite").parquet(path)
+    cleaning.clean(raw_bookings(lake), audit, booking_parts(lake)).write.mode("overwrite").parquet(path)
     return lake.spark.read.parquet(path), audit.table()
 
 

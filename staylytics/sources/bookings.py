@@ -25,7 +25,7 @@ _BOOKING_COLUMNS = {
     "is_canceled": "cast(l_returnflag = 'R' as bigint)",
     "lead_time": "cast(abs(datediff(l_shipdate, o_orderdate)) as bigint)",
     "arrival_date_year": "cast(year(l_shipdate) as bigint)",
-    "arrival_date_month": "date_format(l_shipdate, 'MMMM')",
+    "arrival_date_month": f"element_at(array({', '.join(repr(m) for m in C.MONTH_DAYS)}), month(l_shipdate))",
     "arrival_date_week_number": "cast(weekofyear(l_shipdate) as bigint)",
     "arrival_date_day_of_month": "cast(day(l_shipdate) as bigint)",
     "stays_in_weekend_nights": "cast(l_linenumber % 3 as bigint)",
@@ -53,8 +53,8 @@ _BOOKING_COLUMNS = {
     "total_of_special_requests": "l_partkey % 3",
     "reservation_status": "CASE WHEN l_returnflag = 'R' THEN 'Canceled' "
     "WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'No-Show' ELSE 'Check-Out' END",
-    "reservation_status_date": "date_format(date_add(cast(l_shipdate as date), "
-    "cast(l_linenumber % 3 + cast(l_quantity as bigint) % 6 as int)), 'yyyy-MM-dd')",
+    "reservation_status_date": "cast(date_add(cast(l_shipdate as date), "
+    "cast(l_linenumber % 3 + cast(l_quantity as bigint) % 6 as int)) as string)",
 }
 
 HASH_COLUMNS = [c if c != "adr" else "adr_cents" for c in C.RAW_COLUMNS]

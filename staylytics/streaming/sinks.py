@@ -10,21 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
-DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
+from staylytics.session import options
 
-@contextmanager
-def options(spark: SparkSession, **conf: str) -> Iterator[None]:
-    """Session options for queries started inside, put back afterwards; a stream keeps those it was started with."""
-    names = {name.replace("__", "."): value for name, value in conf.items()}
-    before = {name: spark.conf.get(name, None) for name in names}
-    for name, value in names.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def disk_state(spark: SparkSession):

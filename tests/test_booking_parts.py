@@ -49,3 +49,35 @@ def test_nights_are_dealt_over_more_tasks(spark, root, monkeypatch):
     many = found()
     assert many.rdd.getNumPartitions() > _width(spark)
     assert _rows(few) == _rows(many) and few.count() > 100
+
+
+def test_copies_are_found_by_more_tasks(spark, root, monkeypatch):
+    seen = []
+    settle = cleaning.settle
+    monkeypatch.setattr(cleaning, "settle", lambda df: seen.append(df.rdd.getNumPartitions()) or settle(df))
+    few = _rows(jobs.clean_job(Lake(spark, root), scratch_path(spark, "clean")))
+    monkeypatch.setattr(source, "TASK_BOOKINGS", 10)
+    width = _width(spark)
+    with cleaning.options(spark, spark__sql__adaptive__enabled="false"):
+        many = _rows(jobs.clean_job(Lake(spark, root), scratch_path(spark, "clean")))
+    assert seen[1] == source.booking_parts(Lake(spark, root)) > width == _width(spark)
+    assert few == many and len(few) > 100
+
+
+def test_dates_put_together_are_those_parsed(spark):
+    """What is cast or put together against the parser alone, on texts that it takes or refuses."""
+    years = [2015, 999, 1000, 9999, 10000, -5, 0, None]
+    days = [1, 9, 28, 29, 30, 31, 32, 0, -1, None]
+    months = ["July", "july", "February", "Feb", "April", " July", "July ", "", "7", None]
+    parts = spark.createDataFrame([(y, m, d) for y in years for m in months for d in days], "arrival_date_year long, arrival_date_month string, arrival_date_day_of_month long")
+    texts = [*((str(y), "July", d) for y in (2015, " 2015", "02015", "+2015", "2015.0", "x", "") for d in ("5", "05", " 5", "5 ", "28", "31", "x", None)), ("2015", "May", "1")]
+    text = spark.createDataFrame(texts, "arrival_date_year string, arrival_date_month string, arrival_date_day_of_month string")
+    for df in (parts, text):
+        parsed = F.try_to_date(F.concat_ws("-", *df.columns), "yyyy-MMMM-d")
+        wrong = cleaning.build_arrival_date(df).where(~F.col("arrival_date").eqNullSafe(parsed)).collect()
+        assert wrong == []
+        assert cleaning.build_arrival_date(df).where("arrival_date IS NOT NULL").count() > 0
+    days = ["2015-07-01", "2015-7-1", "2015-02-29", "2016-02-29", "2015-13-01", "2015-07-01 ", " 2015-07-01", "2015-07-01\n", "2015-07-01T", "2015-07-01 10:00:00", "0000-01-01",
+            "0999-12-31", "1500-02-29", "1582-10-10", "9999-12-31", "10000-01-01", "+2015-07-01", "-2015-07-01", "2015", "2015-07", "unknown", "", "٢٠١٥-٠٧-٠١", None]
+    found = spark.createDataFrame([(d,) for d in days], "reservation_status_date string").select("reservation_status_date", cleaning._status_date().alias("day"))
+    assert found.where(~F.col("day").eqNullSafe(F.try_to_date("reservation_status_date", "yyyy-MM-dd"))).collect() == []
