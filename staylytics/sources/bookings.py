@@ -25,7 +25,7 @@ _BOOKING_COLUMNS = {
     "is_canceled": "cast(l_returnflag = 'R' as bigint)",
     "lead_time": "cast(abs(datediff(l_shipdate, o_orderdate)) as bigint)",
     "arrival_date_year": "cast(year(l_shipdate) as bigint)",
-    "arrival_date_month": f"element_at(array({', '.join(repr(m) for m in C.MONTH_DAYS)}), month(l_shipdate))",
+    "arrival_date_month": f"CASE WHEN l_shipdate IS NOT NULL THEN element_at(array({', '.join(repr(m) for m in C.MONTH_DAYS)}), month(l_shipdate)) END",
     "arrival_date_week_number": "cast(weekofyear(l_shipdate) as bigint)",
     "arrival_date_day_of_month": "cast(day(l_shipdate) as bigint)",
     "stays_in_weekend_nights": "cast(l_linenumber % 3 as bigint)",

@@ -81,3 +81,11 @@ def test_dates_put_together_are_those_parsed(spark):
             "0999-12-31", "1500-02-29", "1582-10-10", "9999-12-31", "10000-01-01", "+2015-07-01", "-2015-07-01", "2015", "2015-07", "unknown", "", "٢٠١٥-٠٧-٠١", None]
     found = spark.createDataFrame([(d,) for d in days], "reservation_status_date string").select("reservation_status_date", cleaning._status_date().alias("day"))
     assert found.where(~F.col("day").eqNullSafe(F.try_to_date("reservation_status_date", "yyyy-MM-dd"))).collect() == []
+
+
+def test_month_names_and_dates_are_those_formatted(spark):
+    days = spark.range(0, 800).select(F.when(F.col("id") % 9 != 8, F.timestamp_seconds(F.lit(-90_000_000_000) + F.col("id") * 250_000_000)).alias("l_shipdate"), F.lit(2).alias("l_linenumber"), F.lit(4.0).alias("l_quantity"))
+    for name, want in (("arrival_date_month", "date_format(l_shipdate, 'MMMM')"), ("reservation_status_date", "date_format(date_add(cast(l_shipdate as date), 6), 'yyyy-MM-dd')")):
+        found = days.select(F.expr(source._BOOKING_COLUMNS[name]).alias("found"), F.expr(want).alias("want"))
+        assert found.where("NOT found <=> want").collect() == []
+        assert found.where("found IS NULL").count() == 88
