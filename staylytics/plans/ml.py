@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
@@ -12,7 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml import Pipeline as Stages
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -28,7 +29,9 @@ from staylytics.session import scratch_path, scratch_root, settle
 FULL_SIZES = {"occupancy": (300, 5), "pricing": (300, 5), "restaurant": (250, 4), "staffing": (250, 4), "churn": (300, 5), "forest": (300, 8)}
 
 
-LEAST_ROWS = 4_000  # rows that make a partition of a fit worth its task
+LEAST_ROWS = 4_000  # rows that make a partition of a boosted model worth its tasks
+BAG_ROWS = 4_000  # the same for a forest, whose task reads a row once for every tree
+CHECKPOINT_ROUNDS = 20  # every task of a round is sent the lineage since the last checkpoint
 
 
 def date_split(df: DataFrame, day: str, test_share: float = 0.2) -> DataFrame:
@@ -46,18 +49,18 @@ def boosted_regressor(inputs: Sequence[str], label: str, size: tuple[int, int],
     return Stages(stages=[
         VectorAssembler(inputCols=list(inputs), outputCol="_x", handleInvalid="keep"),
         GBTRegressor(featuresCol="_x", labelCol=label, predictionCol=out, maxIter=rounds, maxDepth=depth, stepSize=0.05,
-                     subsamplingRate=0.8, checkpointInterval=20, seed=42),
+                     subsamplingRate=0.8, checkpointInterval=CHECKPOINT_ROUNDS, seed=42),
     ])
 
 
-def _gathered(train: DataFrame) -> DataFrame:
+def _gathered(train: DataFrame, least: int = LEAST_ROWS) -> DataFrame:
     """The training rows dealt over the cores: boosting runs thousands of short jobs, each with a task per partition, so few rows
     stay together. Tables with more partitions than cores keep them. Checkpoints keep the lineage of the rounds short."""
     context = train.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_root(train.sparkSession))
     train = settle(train)
-    dealt = min(context.defaultParallelism, -(-train.count() // LEAST_ROWS))
+    dealt = min(context.defaultParallelism, -(-train.count() // least))
     return train.repartition(max(1, dealt)) if train.rdd.getNumPartitions() <= context.defaultParallelism else train
 
 
@@ -116,10 +119,46 @@ def churn_table(dim_guest: DataFrame, fact: DataFrame) -> DataFrame:
 # ---- churn -----------------------------------------------------------------------------------------------------
 
 
-def _class_weight(df: DataFrame, label: str, balanced: bool) -> Column:
-    """Balanced: n / (2 * class size) for both classes; otherwise positives weigh negatives / positives."""
+BINS = 32  # values of a feature that the trees tell apart, as by default in pyspark.ml
+PARTS = 50_000  # a part of equal rows holds at most this share of the training rows
+_BINNED = [f"_{c}" for c in C.CHURN_FEATURES]
+
+
+def _edges(rows: DataFrame, columns: Sequence[str]) -> list[list[float]]:
+    """Where the bins of each column begin: between all values of a column that has at most ``BINS`` of them, at quantiles otherwise."""
+    cuts = [i / BINS for i in range(1, BINS)]
+    typed = rows.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    first = typed.agg(*[F.struct(F.approx_count_distinct(c).alias("n"), F.percentile_approx(c, cuts, 10_000).alias("q")).alias(c) for c in columns]).first()
+    few = [c for c in columns if first[c]["n"] <= 2 * BINS]  # the count is near, so a set that is collected stays small
+    sets = typed.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in few]).first() if few else {}
+    edges = []
+    for c in columns:
+        if c in few and len(sets[c]) <= BINS:
+            found = [(a + b) / 2 for a, b in zip(sets[c], sets[c][1:])]
+        else:
+            found = first[c]["q"]
+        edges.append([-math.inf, *(sorted({x for x in found if math.isfinite(x)}) or [0.0]), math.inf])
+    return edges
+
+
+def _parts(train: DataFrame, label: str, binned: Bucketizer, balanced: bool) -> DataFrame:
+    """The training rows by bins and label, with the weight of their class as often as they occur.
+
+    Trees see nothing but bins, so equal rows count as one of their joint weight, and the table stays small when the rows grow. Draws of rows
+    (bags, rounds) take a part or leave it: equal rows make several parts if they are more than the ``PARTS``-th share of all.
+    """
+    cells = settle(binned.transform(train).groupBy(*_BINNED, label).agg(F.count("*").alias("_rows")))
+    most = F.ceil(cells.agg(F.sum("_rows")).scalar() / PARTS)
+    parts = F.ceil(F.col("_rows") / most)
+    weighted = cells.withColumn("_weight", _class_weight(cells, label, "_rows", balanced) * F.col("_rows") / parts)
+    return weighted.select(*_BINNED, label, "_weight", F.explode(F.sequence(F.lit(1), parts.cast("int")))).drop("col")
+
+
+def _class_weight(df: DataFrame, label: str, rows: str, balanced: bool) -> Column:
+    """Balanced: n / (2 * class size) for both classes; otherwise positives weigh negatives / positives. ``rows`` counts equal rows."""
     sizes = df.agg(F.struct(
-        F.count("*").alias("n"), F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
+        F.sum(rows).alias("n"), F.sum(F.when(F.col(label) == 1, F.col(rows)).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col(label) == 0, F.col(rows)).otherwise(0)).alias("neg"),
     )).scalar()
     n, pos, neg = sizes["n"], sizes["pos"], sizes["neg"]
     if balanced:
@@ -137,21 +176,26 @@ def _stored(model: PipelineModel, spark: SparkSession) -> PipelineModel:
 
 
 def fit_churn(df: DataFrame, kind: str, size: tuple[int, int]) -> PipelineModel:
-    train = df.where("split = 'train'")
-    weighted = train.withColumn("_weight", _class_weight(train, "churn", kind == "random_forest"))
-    shared = {"featuresCol": "_x", "labelCol": "churn", "weightCol": "_weight", "maxDepth": size[1], "seed": 42}
-    if kind == "random_forest":
+    train = df.where("split = 'train'").select(*C.CHURN_FEATURES, "churn")
+    binned = Bucketizer(splitsArray=_edges(train, C.CHURN_FEATURES), inputCols=C.CHURN_FEATURES, outputCols=_BINNED)
+    shared = {"featuresCol": "_x", "labelCol": "churn", "weightCol": "_weight", "maxDepth": size[1], "maxBins": BINS, "seed": 42}
+    forest = kind == "random_forest"
+    if forest:
         learner = RandomForestClassifier(numTrees=size[0], **shared)
     else:
-        learner = GBTClassifier(maxIter=size[0], stepSize=0.05, subsamplingRate=0.8, checkpointInterval=20, **shared)
-    rows = _gathered(weighted.select(*C.CHURN_FEATURES, "churn", "_weight"))
-    fitted = Stages(stages=[VectorAssembler(inputCols=C.CHURN_FEATURES, outputCol="_x"), learner]).fit(rows)
+        learner = GBTClassifier(maxIter=size[0], stepSize=0.05, subsamplingRate=0.8, checkpointInterval=CHECKPOINT_ROUNDS, **shared)
+    vectors = VectorAssembler(inputCols=_BINNED, outputCol="_x")
+    rows = _gathered(_parts(train, "churn", binned, balanced=forest), BAG_ROWS if forest else LEAST_ROWS)
+    fitted = PipelineModel([binned, vectors, learner.fit(vectors.transform(rows))])
     return _stored(fitted, df.sparkSession)
 
 
 def churn_probabilities(model: PipelineModel, df: DataFrame) -> DataFrame:
-    scored = model.transform(df)
-    return scored.withColumn("probability", vector_to_array("probability")[1]).drop("_x", "rawPrediction")
+    """``df`` with prediction and probability. Rows of equal bins get the same, so the trees are asked once for them."""
+    binned = model.stages[0].transform(df)
+    found = PipelineModel(model.stages[1:]).transform(binned.select(*_BINNED).distinct())
+    cells = settle(found.select(*_BINNED, "prediction", vector_to_array("probability")[1].alias("probability")))
+    return binned.join(cells, _BINNED).drop(*_BINNED)
 
 
 def evaluate_churn(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
