@@ -31,7 +31,7 @@ FULL_SIZES = {"occupancy": (300, 5), "pricing": (300, 5), "restaurant": (250, 4)
 
 LEAST_ROWS = 4_000  # rows that make a partition of a boosted model worth its tasks
 BAG_ROWS = 4_000  # the same for a forest, whose task reads a row once for every tree
-CHECKPOINT_ROUNDS = 20  # every task of a round is sent the lineage since the last checkpoint
+CHECKPOINT_ROUNDS = 5  # every task of a round is sent the lineage since the last checkpoint
 
 
 def date_split(df: DataFrame, day: str, test_share: float = 0.2) -> DataFrame:
