@@ -29,7 +29,7 @@ from staylytics.session import scratch_path, scratch_root, settle
 FULL_SIZES = {"occupancy": (300, 5), "pricing": (300, 5), "restaurant": (250, 4), "staffing": (250, 4), "churn": (300, 5), "forest": (300, 8)}
 
 
-LEAST_ROWS = 4_000  # rows that make a partition of a boosted model worth its tasks
+LEAST_ROWS = 15_000  # rows that make a partition of a boosted model worth its tasks
 BAG_ROWS = 4_000  # the same for a forest, whose task reads a row once for every tree
 CHECKPOINT_ROUNDS = 5  # every task of a round is sent the lineage since the last checkpoint
 

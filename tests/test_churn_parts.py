@@ -53,3 +53,7 @@ def test_every_row_gets_the_probability_of_the_model(spark):
     found = ml.churn_probabilities(model, df)
     assert found.columns == [*df.columns, "prediction", "probability"]
     assert {r["guest_key"]: (r["prediction"], r["probability"]) for r in found.collect()} == direct
+
+
+def test_boosted_fits_of_few_rows_are_one_task_a_stage(spark):
+    assert ml._gathered(spark.range(12_000)).rdd.getNumPartitions() == 1
