@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+import zlib
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,14 +74,102 @@ def documents(table: DataFrame) -> DataFrame:
     return table.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("path"), "text", metadata.alias("metadata"))
 
 
+def write_text_files(docs: DataFrame, folder: str) -> None:
+    """Every row (file, text) as a text file of its own below ``folder``, ended by a newline; a null text has no file.
+
+    Tasks write to a folder that all of them can open by themselves; elsewhere Spark's writer makes a folder per file.
+    """
+    docs = docs.where("text IS NOT NULL").select("file", F.col("text").cast("binary").alias("text"))
+    place = local_folder(docs.sparkSession, folder)
+    if place is None:
+        texts = docs.select("file", F.col("text").cast("string").alias("text")).repartition("file")
+        return texts.write.option("mapreduce.fileoutputcommitter.algorithm.version", 2).partitionBy("file").text(folder)
+    os.makedirs(place, exist_ok=True)
+    folders = max(1, docs.count() // FILES_READ)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        written = 0
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                # a task that runs again finds the same folders and replaces the same files
+                parent = f"{place}/{zlib.crc32(name.encode()) % folders}"
+                target, part = f"{parent}/file={name}.txt", f"{parent}/.{uuid.uuid4().hex}"
+                try:
+                    out = open(part, "wb")
+                except FileNotFoundError:
+                    os.makedirs(parent, exist_ok=True)
+                    out = open(part, "wb")
+                with out:
+                    out.write(text.as_py())
+                    out.write(b"\n")
+                os.replace(part, target)
+                written += 1
+        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], names=["files"])
+
+    docs.mapInArrow(write, "files long").agg(F.sum("files")).first()
+
+
+def local_folder(spark: SparkSession, folder: str) -> str | None:
+    """Where tasks can open ``folder`` without Hadoop; none for stores that only Spark reaches, and for patterns."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    return uri.getPath() if uri.getScheme() == "file" and not re.search(r"[*?\[{,]", folder) else None
+
+
+_ESCAPED = re.compile(r'[\x00-\x20"#%<>?\[\]\\^`{|}\x7f]')  # what Spark escapes in the path of a file
+
+
+def _shown(name: str) -> bool:
+    return not (name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_"))
+
+
+def _read_files(suffix: str, most: int = 16_000_000):
+    """(folder, part, parts): the files of a part of a folder as (path, text), empty ones left out; about ``most`` bytes are held."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder, part, parts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                paths, texts, held = [], [], 0
+                with os.scandir(folder) as entries:
+                    names = [e.name for e in entries if e.name.endswith(suffix) and _shown(e.name) and zlib.crc32(os.fsencode(e.name)) % parts == part and e.is_file()]
+                for name in names:
+                    with open(f"{folder}/{name}", "rb") as file:
+                        text = file.read()
+                    if not text:
+                        continue
+                    paths.append("file:" + _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", f"{folder}/{name}"))
+                    texts.append(text)
+                    held += len(text)
+                    if held >= most or len(texts) >= 10_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(texts, pa.binary())], names=["path", "text"])
+                        paths, texts, held = [], [], 0
+                if texts:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(texts, pa.binary())], names=["path", "text"])
+
+    return read
+
+
+FILES_READ = 1000  # files of one folder that a task reads at once
+
+
 def scan_text_files(spark: SparkSession, folder: str, suffix: str = ".txt") -> DataFrame:
-    """Whole text files below a folder with their content hash."""
-    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}")
-    metadata = F.create_map(F.lit("source"), F.col("_metadata.file_path"), F.lit("doc_type"), F.lit(suffix.lstrip(".")))
-    return files.select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"), metadata.alias("metadata"),
-        F.sha2("value", 256).alias("hash"),
-    )
+    """Whole text files below a folder with their content hash. Where tasks can open the folder themselves the driver only counts the
+    files of each folder in it, and tasks list and read them."""
+    place = local_folder(spark, folder)
+    if place is None or not os.path.isdir(place):
+        files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"*{suffix}").select("value", F.col("_metadata.file_path").alias("path"))
+    else:
+        rows = []
+        for parent, folders, names in os.walk(place, followlinks=True):
+            folders[:] = [f for f in folders if _shown(f)]
+            parts = -(-sum(n.endswith(suffix) for n in names) // FILES_READ)
+            rows.extend((parent, i, parts) for i in range(parts))
+        width = min(max(len(rows), 1), max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(rows) // 20))
+        dealt = spark.sparkContext.parallelize(rows, width).toDF("folder string, part int, parts int")
+        found = dealt.mapInArrow(_read_files(suffix), "path string, text binary")
+        files = found.select("path", F.col("text").cast("string").alias("value"))
+    metadata = F.create_map(F.lit("source"), F.col("path"), F.lit("doc_type"), F.lit(suffix.lstrip(".")))
+    return files.select("path", F.col("value").alias("text"), metadata.alias("metadata"), F.sha2("value", 256).alias("hash"))
 
 
 def manifest(docs: DataFrame) -> DataFrame:
