@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from staylytics import constants as C
 from staylytics.operators import cleaning, features, marts, monitoring, warehouse
 from staylytics.plans import ml
-from staylytics.session import settle
+from staylytics.session import discard, settle
 from staylytics.sources.bookings import booking_parts, bookings, raw_bookings
 from staylytics.sources.calendar import calendar
 from staylytics.sources.io import save_both, write_result
@@ -47,6 +47,7 @@ def warehouse_job(lake: Lake, path: str) -> DataFrame:
     }
     for name, table in tables.items():
         save_both(table, f"{path}/{name}")
+    discard(rows)  # from here on only what was written is read
     stored = {name: lake.spark.read.parquet(f"{path}/{name}/parquet") for name in tables}
     checks = [
         warehouse.key_check(n, t, PRIMARY_KEYS[n], REQUIRED.get(n, [])).select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staylytics import constants as C
-from staylytics.session import settle
+from staylytics.session import settle, store
 
 _TEXT = {*C.CATEGORICAL_COLUMNS, "arrival_date_month", "agent", "company", "reservation_status_date"}
 
@@ -45,7 +45,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def save_both(df: DataFrame, path: str) -> None:
     """Parquet for engines, CSV for people; the rows are computed once and the CSV is written from the parquet."""
-    df.write.mode("overwrite").parquet(f"{path}/parquet")
+    store(df.write.mode("overwrite"), f"{path}/parquet")
     write_csv(df.sparkSession.read.schema(df.schema).parquet(f"{path}/parquet"), f"{path}/csv")
 
 
