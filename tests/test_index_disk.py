@@ -95,3 +95,14 @@ def test_blocks_follow_their_definition(spark, monkeypatch, limit):
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{path}/docs").collect()}
     assert docs.keys() == words.keys() and all(
         r["dl"] == words[d].total() and r["terms"] == sorted(w.decode() for w in words[d]) and r["tfs"] == [words[d][w.encode()] for w in r["terms"]] for d, r in docs.items())
+
+
+def test_a_pair_given_twice_is_one_row(spark):
+    path = scratch_path(spark, "index")
+    inverted.build(spark.createDataFrame([(1, "a b c"), (2, "b"), (3, "c d e"), (4, "x"), (5, "y z")], "doc_id long, text string"), path)
+    index = inverted.load(spark, path)
+    wanted = inverted.query_terms(index, spark.createDataFrame([(7, "a b")], "query_id long, query_text string"))
+    once, twice, none = (spark.createDataFrame([(7, d) for d in ids], "query_id long, doc_id long") for ids in ((1, 2), (1, 2, 1), (4, 5)))
+    got = {r["doc_id"]: r["bm25"] for r in inverted.score_pairs(index, wanted, once).collect()}
+    again = [(r["doc_id"], r["bm25"]) for r in inverted.score_pairs(index, wanted, twice).collect()]
+    assert sorted(again) == [(1, pytest.approx(2 * got[1])), (2, pytest.approx(got[2]))] and inverted.score_pairs(index, wanted, none).isEmpty()
